@@ -1,0 +1,241 @@
+"""Checks across responses against brute force, with hot keys spread over lanes."""
+
+import itertools
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from surveysieve.functions.box_counts import box_weights, reach
+from surveysieve.operators import bursts
+from surveysieve.operators.attempts import ATTEMPT_TYPES, attempt_counts
+from surveysieve.operators.duplicates import duplicated_text
+from surveysieve.operators.geo_location import countries, locate_points
+from surveysieve.operators.ip_location import ip_number, ip_places
+from surveysieve.operators.skew import join_lookup, join_per_key
+from surveysieve.sources.polygons import POLYGON_SCHEMA, polygon_edges
+
+INF = float("inf")
+
+
+def as_dict(df):
+    return {row[0]: tuple(row)[1:] if len(row) > 2 else row[1] for row in df.collect()}
+
+
+def test_join_per_key_spreads_hot_keys(spark):
+    rows = spark.createDataFrame([(i, "hot" if i % 3 else f"k{i % 9}") for i in range(300)], "id long, k string")
+    stats = rows.groupBy("k").agg(F.count("*").alias("n"), F.max("id").alias("m"))
+    for hot_rows in (1, 50, 10_000):
+        joined = join_per_key(rows, stats, ["k"], "n", F.col("id"), hot_rows=hot_rows, lanes=7)
+        assert joined.count() == 300
+        assert joined.where("k = 'hot' AND n = 200 AND m = 299").count() == 200
+
+
+def test_join_lookup(spark):
+    rows = spark.createDataFrame([(i, i % 3) for i in range(30)], "id long, k int")
+    lookup = spark.createDataFrame([(0, "a"), (0, "b"), (1, "c")], "k int, v string")
+    expected = {(i, v) for i in range(30) for k, v in [(0, "a"), (0, "b"), (1, "c")] if i % 3 == k}
+    for small in (True, False):
+        joined = join_lookup(rows, lookup, ["k"], F.col("id"), small, lanes=4)
+        assert {(r.id, r.v) for r in joined.collect()} == expected
+
+
+@pytest.mark.parametrize("attempt_type", ATTEMPT_TYPES)
+def test_attempts(spark, attempt_type):
+    rng = random.Random(1)
+    rows = [
+        (i, rng.choice(["1.2.3.4", "1.2.3.9", "1.2.30.4", "5.6.7.8", None]), rng.choice([1.0, -99.0, None]), rng.choice(["x", None]))
+        for i in range(60)
+    ]
+    df = spark.createDataFrame(rows, "id long, ip string, done double, stop string")
+
+    def counts(done, stop):
+        return {
+            "successful": done is not None,
+            "unsuccessful": done is None,
+            "incomplete": done is None and stop is None,
+            "failed": done is None and stop is not None,
+            "all": True,
+        }[attempt_type]
+
+    net = lambda ip: ip.rsplit(".", 1)[0]
+    expected = {
+        i: sum(counts(d, s) for _, other, d, s in rows if other and net(other) == net(ip)) for i, ip, _, _ in rows if ip
+    }
+    for hot_rows in (10, 100_000):
+        assert as_dict(attempt_counts(df, "id", "ip", "done", attempt_type, "stop", hot_rows=hot_rows)) == expected
+
+
+def test_attempts_errors(spark):
+    df = spark.createDataFrame([(1, "1.1.1.1", 1)], "id long, ip string, done int")
+    with pytest.raises(ValueError):
+        attempt_counts(df, "id", "ip", "done", "other")
+    with pytest.raises(ValueError):
+        attempt_counts(df, "id", "ip", "done", "failed")
+
+
+def test_duplicates(spark):
+    long = "A very long answer, " * 10
+    rows = [
+        (0, "  Same Text", "x"), (1, "same text\xa0", None), (2, None, "same text"), (3, "twice", "TWICE "),
+        (4, long, "y"), (5, long.upper(), "z"), (6, "ab", "q"), (7, "ab", "r"), (8, "only", None),
+    ]
+    df = spark.createDataFrame(rows, "id long, a string, `b.c` string")
+    for hot_rows in (2, 100_000):
+        by_column = as_dict(duplicated_text(df, "id", ["a", "b.c"], 3, INF, "column", ["a", "b"], hot_rows))
+        assert by_column == {i: (True, False) for i in (0, 1, 4, 5)}
+        together = as_dict(duplicated_text(df, "id", ["a", "b.c"], 3, 20, "all", ["a", "b"], hot_rows))
+        assert together == {0: (True, False), 1: (True, False), 2: (False, True), 3: (True, True)}
+    with pytest.raises(ValueError):
+        duplicated_text(df, "id", ["a"], 0, 9, "rows")
+
+
+def brute_force_bursts(t, d, radii):
+    total = np.zeros(len(t), dtype=int)
+    for sign, (seconds, duration) in zip((1, -1), radii, strict=False):
+        near = (np.abs(t[:, None] - t) / 1e6 <= seconds) & (np.abs(d[:, None] - d) <= duration)
+        total += sign * (near.sum(axis=1) - 1)
+    return total
+
+
+@pytest.mark.parametrize(
+    "radii",
+    [[(60, 1.0)], [(60, 1.0), (10, 0.25)], [(0, 0)], [(INF, 0.5)], [(30, INF)], [(INF, INF)], [(5, 1), (900, 20.0)]],
+)
+def test_bursts(spark, radii):
+    rng = np.random.default_rng(5)
+    n = 500
+    t = rng.integers(0, 1500, n) * 1_000_000
+    t[:160] = 5_000_000  # a third of all responses start at once
+    d = np.round(rng.random(n) * 40, 2)
+    d[100:200] = 4.25
+    rows = [(i, int(t[i]), float(d[i])) for i in range(n)] + [(n, None, 1.0), (n + 1, 7, None)]
+    df = spark.createDataFrame(rows, "id long, t long, d double").selectExpr(
+        "id", "timestamp_ntz'1970-01-01 00:00:00' + make_dt_interval(0, 0, 0, t / 1000000) AS start", "d"
+    )
+    flat = list(itertools.chain(*radii))
+    expected = dict(enumerate(brute_force_bursts(t, d, radii).tolist()))
+    got = as_dict(bursts.burst_counts(df, "id", "start", "d", *flat, slice_rows=30, hot_rows=20))
+    assert got == expected
+
+
+def test_bursts_start_as_text(spark):
+    rows = [(0, "5/30/2024 22:57", 71), (1, "5/30/2024 22:57", 72), (2, "2024-05-30 22:58:01", 72), (3, "no date", 72)]
+    df = spark.createDataFrame(rows, "id long, s string, d int")
+    assert as_dict(bursts.burst_counts(df, "id", "s", "d", 60, 1)) == {0: 1, 1: 1, 2: 0}
+    assert as_dict(bursts.burst_counts(df, "id", "s", "d", 61, 1)) == {0: 2, 1: 2, 2: 2}
+    assert as_dict(bursts.burst_counts(df, "id", "s", "d", -1, 1)) == {0: 0, 1: 0, 2: 0}
+
+
+def test_slices_stay_small_when_all_starts_are_equal(spark):
+    n = 4_000
+    df = spark.range(n).selectExpr("id", "timestamp_ntz'2024-01-01 00:00:00' AS s", "cast(id AS double) AS d")
+    rows = df.select("id", F.lit(0).cast("long").alias("t"), "d")
+    layout = bursts._lay_out(rows, bursts._radii((60, 1.0, 1), (None, None, -1)), 250)
+    points = rows.groupBy("t", "d").agg(F.count("*").alias("weight"))
+    records = points.mapInPandas(bursts.partial(bursts._records, layout=layout), bursts._RECORD)
+    largest = records.groupBy("axis", "slice", "copy").count().agg(F.max("count")).first()[0]
+    assert largest < n
+    assert set(as_dict(bursts.burst_counts(df, "id", "s", "d", 60, 1.0, slice_rows=250)).values()) == {1, 2}
+
+
+def test_box_weights():
+    rng = np.random.default_rng(2)
+    x, y, w = rng.integers(-9, 9, 80), rng.integers(0, 9, 80) / 3, rng.integers(1, 5, 80)
+    x_low, y_low = rng.integers(-12, 12, 50), rng.random(50) * 4 - 1
+    x_high, y_high = x_low + rng.integers(-3, 9, 50), y_low + rng.random(50) * 2 - 0.3
+    expected = [
+        w[(x >= a) & (x <= b) & (y >= c) & (y <= e)].sum() for a, b, c, e in zip(x_low, x_high, y_low, y_high, strict=True)
+    ]
+    assert box_weights(x, y, w, x_low, x_high, y_low, y_high).tolist() == expected
+
+
+@pytest.mark.parametrize("radius", [0.0, 0.2, 1.0, 490.0, INF])
+def test_reach(radius):
+    values = np.array([0.1, 0.3, 490.0, 0.0, -0.0, 1.0, -7.3, 1e9])
+    low, high = reach(values, radius)
+    for value, first, last in zip(values, low, high, strict=True):
+        assert abs(first - value) <= radius and abs(last - value) <= radius
+        if radius < INF:
+            assert abs(np.nextafter(first, -INF) - value) > radius
+            assert abs(np.nextafter(last, INF) - value) > radius
+
+
+def ring(name, number, *corners):
+    return (name, name[:3], number, [tuple(map(float, c)) for c in corners])
+
+
+POLYGONS = [
+    ring("Notch", 1, (0, 0), (10, 0), (10, 4), (4, 4), (4, 10), (0, 10)),
+    ring("Notch", 2, (1, 1), (3, 1), (3, 3), (1, 3)),
+    ring("Notch", 3, (6, 6), (9, 6), (7.5, 9)),
+    ring("East", 1, (10, 0), (20, 0), (20, 10), (10, 10)),
+    ring("India", 1, (15, 5), (25, 5), (25, 15), (15, 15)),
+    ring("China", 1, (24, 14), (30, 14), (30, 20), (24, 20)),
+]
+
+
+def test_locations(spark):
+    polygons = spark.createDataFrame(POLYGONS, POLYGON_SCHEMA)
+    places = {
+        (0.5, 0.5): "Notch", (2, 2): None, (1, 2): None, (5, 5): None, (7.5, 7): "Notch", (0, 0): None, (0, 5): None,
+        (10, 2): None, (10.5, 2): "East", (4, 4): None, (8, 2): "Notch", (18, 8): "India", (24.5, 14.5): "China",
+        (50, 50): None, (4, 2): "Notch", (3, 3): None, (12, 10): None,
+    }
+    rows = [(i, float(lat), float(lon)) for i, (lon, lat) in enumerate(places)]
+    rows += [(100, None, 1.0), (101, float("nan"), 1.0)]
+    rows += [(200 + i, 0.5, 0.5) for i in range(20)]
+    df = spark.createDataFrame(rows, "id long, lat double, lon double")
+    expected = {i: name for i, name in enumerate(places.values()) if name} | {200 + i: "Notch" for i in range(20)}
+    for hot_rows, small_rows, cell in ((5, 0, 1.0), (100_000, 200_000, 0.7), (100_000, 200_000, 30.0)):
+        got = as_dict(countries(df, "id", "lat", "lon", polygons, cell_degrees=cell, hot_rows=hot_rows, small_rows=small_rows))
+        assert got == expected
+
+
+def test_locations_match_brute_force(spark):
+    rng = random.Random(4)
+    corners = [(rng.uniform(-3, 3), rng.uniform(-3, 3)) for _ in range(9)]
+    points = [(rng.uniform(-3.5, 3.5), rng.uniform(-3.5, 3.5)) for _ in range(400)]
+
+    def inside(px, py):
+        crossings = 0
+        for (x1, y1), (x2, y2) in zip(corners, corners[1:] + corners[:1], strict=True):
+            crossings += (y1 > py) != (y2 > py) and px < (x2 - x1) * (py - y1) / (y2 - y1) + x1
+        return crossings % 2 == 1
+
+    polygons = spark.createDataFrame([ring("Star", 1, *corners)], POLYGON_SCHEMA)
+    df = spark.createDataFrame([(lat, lon) for lon, lat in points], "lat double, lon double")
+    got = {(r.lon, r.lat) for r in locate_points(df, polygons).collect()}
+    assert got == {p for p in points if inside(*p)}
+
+
+def test_edges_close_rings(spark):
+    closed = ring("C", 1, (0, 0), (1, 0), (1, 1), (0, 0))
+    edges = polygon_edges(spark.createDataFrame([closed, ring("O", 1, (0, 0), (1, 0), (1, 1))], POLYGON_SCHEMA))
+    assert edges.groupBy("name").count().collect()[0][1] == edges.groupBy("name").count().collect()[1][1] == 3
+
+
+def test_ip_number(spark):
+    texts = ["0.0.0.1", "255.255.255.255", "1.2.3", "1.2.3.256", "a.b.c.d", "1.2.3.4.5", "", None]
+    df = spark.createDataFrame([(t,) for t in texts], "ip string")
+    assert [r[0] for r in df.select(ip_number(F.col("ip"))).collect()] == [1, 2**32 - 1] + [None] * 6
+
+
+def test_ip_places(spark):
+    base = 10 * 2**24
+    ranges = spark.createDataFrame(
+        [
+            (base, base + 9, 1.0, 2.0, "A", "S", None),
+            (base + 20, base + 3 * 65536 + 5, 3.0, 4.0, "B", None, "T"),
+            (base + 3 * 65536 + 6, base + 3 * 65536 + 6, 5.0, 6.0, "C", "S", "T"),
+        ],
+        "start_ip long, end_ip long, lat double, lon double, country string, state string, city string",
+    )
+    ips = ["10.0.0.0", "10.0.0.9", "10.0.0.10", "10.0.0.20", "10.2.200.1", "10.3.0.5", "10.3.0.6", "10.3.0.7", "x", None]
+    rows = [(i, ip) for i, ip in enumerate(ips)] + [(100 + i, "10.0.0.9") for i in range(10)]
+    df = spark.createDataFrame(rows, "id long, ip string")
+    for hot_rows in (5, 100_000):
+        found = {r.id: (r.IPLatitude, r.IPCountry, r.IPState, r.IPCity) for r in ip_places(df, "id", "ip", ranges, hot_rows).collect()}
+        a, b, c = (1.0, "A", "S", None), (3.0, "B", None, "T"), (5.0, "C", "S", "T")
+        assert found == {0: a, 1: a, 3: b, 4: b, 5: b, 6: c} | {100 + i: a for i in range(10)}

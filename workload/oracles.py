@@ -428,8 +428,8 @@ sets AS (
   FROM texts a JOIN texts b ON a.first_id < b.first_id AND (a.long OR b.long)),
 parts AS (
   SELECT *, list_intersect(ta, tb) AS shared,
-    array_to_string(list_sort(list_filter(ta, x -> NOT list_contains(tb, x))), ' ') AS a,
-    array_to_string(list_sort(list_filter(tb, x -> NOT list_contains(ta, x))), ' ') AS b
+    array_to_string(list_sort([x FOR x IN ta IF NOT list_contains(tb, x)]), ' ') AS a,
+    array_to_string(list_sort([x FOR x IN tb IF NOT list_contains(ta, x)]), ' ') AS b
   FROM sets),
 lcs AS (
   SELECT id_i, id_j, copies_i, copies_j, a, b, length(array_to_string(shared, ' ')) AS s,
