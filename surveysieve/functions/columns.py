@@ -25,6 +25,10 @@ def any_of(conditions: Iterable[Column]) -> Column:
     return reduce(lambda a, b: a | b, conditions, F.lit(False))
 
 
+def all_of(conditions: Iterable[Column]) -> Column:
+    return reduce(lambda a, b: a & b, conditions, F.lit(True))
+
+
 def require_columns(df: DataFrame, names: Iterable[str], what: str) -> None:
     absent = [n for n in names if n not in df.columns]
     if absent:

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from surveysieve.functions.columns import col_
+from surveysieve.functions.columns import all_of, col_
 from surveysieve.operators.skew import HOT_ROWS, join_per_key
 
 ATTEMPT_TYPES = ("successful", "unsuccessful", "incomplete", "failed", "all")
@@ -34,25 +36,30 @@ def attempt_counts(
     key: str,
     column_ip: str,
     column_success: str,
-    attempt_type: str = "successful",
+    attempt_types: Sequence[str] = ("successful",),
     column_terminate: str | None = None,
-    name: str = "num_attempts",
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """(key, count of such attempts in the network of the response).
+    """(key, one count per type): such attempts in the network of the response.
 
-    The counts are aggregated per network first; only the narrow pair of key and
-    network is joined with them, and busy networks are spread over many tasks.
+    The counts are aggregated per network first, all types at once; only the
+    narrow pair of key and network is joined with them, and busy networks are
+    spread over many tasks.
     """
-    counted = _counted(
-        attempt_type, col_(column_success), col_(column_terminate) if column_terminate is not None else None
-    )
-    rows = df.select(col_(key).alias(key), network(col_(column_ip)).alias("__net"), counted.alias("__counted")).where(
-        F.col("__net").isNotNull()
-    )
+    success = col_(column_success)
+    terminate = col_(column_terminate) if column_terminate is not None else None
+    counted = {t: _counted(t, success, terminate) for t in attempt_types}
+    rows = df.select(
+        col_(key).alias(key),
+        network(col_(column_ip)).alias("__net"),
+        *[condition.alias(t) for t, condition in counted.items()],
+    ).where(F.col("__net").isNotNull())
     per_network = rows.groupBy("__net").agg(
-        F.count_if("__counted").cast("long").alias(name), F.count("*").alias("__rows")
+        F.count("*").alias("__rows"), *[F.count_if(t).cast("long").alias(t) for t in counted]
     )
-    return join_per_key(rows.select(key, "__net"), per_network, ["__net"], "__rows", F.col(key), hot_rows).select(
-        key, name
+    # Always true; it asks for all counts, so that the plan aggregates once for both uses.
+    sizes = per_network.where(all_of(F.col(t) <= F.col("__rows") for t in counted))
+    found = join_per_key(
+        rows.select(key, "__net"), per_network, ["__net"], "__rows", F.col(key), hot_rows, sizes=sizes
     )
+    return found.select(key, *counted)

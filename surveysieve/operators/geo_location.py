@@ -90,5 +90,7 @@ def countries(
         (col_(column_longitude).cast("double") + F.lit(0.0)).alias("lon"),
     ).where("lat IS NOT NULL AND lon IS NOT NULL AND NOT isnan(lat) AND NOT isnan(lon)")
     sizes = rows.groupBy("lat", "lon").agg(F.count("*").alias("__rows"))
-    located = locate_points(sizes, polygons, cell_degrees, small_rows).withColumnRenamed("name", name)
+    # Always true; with the count in use, the plan aggregates once for both uses.
+    points = sizes.where("__rows > 0")
+    located = locate_points(points, polygons, cell_degrees, small_rows).withColumnRenamed("name", name)
     return join_per_key(rows, located, ["lat", "lon"], "__rows", F.col(key), hot_rows, sizes=sizes).select(key, name)

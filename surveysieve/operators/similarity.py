@@ -20,6 +20,7 @@ from surveysieve.functions.columns import col_
 from surveysieve.functions.similarity_scores import (
     PLAIN_SCORERS,
     SCORERS,
+    Pack,
     character_counts,
     lcs_lengths,
     pack,
@@ -35,7 +36,8 @@ THRESHOLD = 65
 
 BLOCK_CHARACTERS = 131_072
 _CLASSES_IN_REACH = 4
-_PACK = 16
+# Texts per pack, and how many of them must be asked for to score the whole pack at once.
+_PACK, _WORTH_A_PACK = 64, 8
 _PAIR = "id_i {key}, id_j {key}, score int, copies_i long, copies_j long"
 _ENTRY = "struct<other: {key}, score: int, text: string, n: bigint>"
 
@@ -44,8 +46,8 @@ def distinct_texts(df: DataFrame, key: str, column_name: str, min_length: int, s
     """One row per distinct text: key, first and last response, copies, prepared form."""
     text = F.coalesce(col_(column_name).cast("string"), F.lit(""))
     rows = df.select(col_(key).alias("id"), text.alias("text"))
-    texts = rows.groupBy(text_key(F.col("text")).alias("text_key")).agg(
-        F.any_value("text").alias("text"),
+    # The text is grouped by as well, although the key decides: hash aggregation cannot carry it otherwise.
+    texts = rows.groupBy(text_key(F.col("text")).alias("text_key"), "text").agg(
         F.min("id").alias("first_id"),
         F.max("id").alias("last_id"),
         F.count("*").alias("copies"),
@@ -100,7 +102,9 @@ def _meetings(texts: DataFrame, scorer: str, threshold: float, block_characters:
     plan = _blocks(classed, block_characters)
     # At most one row per length class, a few hundred in all.
     lookup = F.broadcast(texts.sparkSession.createDataFrame(plan, ", ".join(f"{c} long" for c in _PLAN)))
-    blocked = classed.join(lookup, "class").select(
+    # Every class is in the lookup. A left join keeps Spark from testing the class of each
+    # response, which would prepare the text of every copy.
+    blocked = classed.join(lookup, "class", "left").select(
         *carried,
         (F.col("first_block") + F.pmod(F.xxhash64("first_id"), "blocks")).alias("own"),
         F.explode(F.sequence(F.col("from_block"), F.col("to_block"))).alias("other"),
@@ -213,7 +217,13 @@ def _plain_matches(left, right, within, scorer, least):
     lengths, long = right["length"].to_numpy(), right["long"].to_numpy()
     counts = character_counts(forms)
     left_counts = counts if within else character_counts(left["form"].to_list())
-    packs = [None] * math.ceil(len(forms) / _PACK)
+    packs: dict[tuple[int, int], Pack] = {}
+
+    def packed(begin, end):
+        if (begin, end) not in packs:
+            packs[begin, end] = pack(forms[begin:end])
+        return packs[begin, end]
+
     for i, (form, length, is_long) in enumerate(zip(left["form"], left["length"], left["long"], strict=True)):
         allowed = long | is_long
         if within:
@@ -224,16 +234,19 @@ def _plain_matches(left, right, within, scorer, least):
         near = np.flatnonzero(allowed)
         shared = np.minimum(counts[near], left_counts[i]).sum(axis=1)
         near = near[percent(shared, lengths[near] + length).astype(np.int64) >= least]
-        wanted = set(near.tolist())
-        for number in np.unique(near // _PACK).tolist():
-            begin = number * _PACK
-            if packs[number] is None:
-                packs[number] = pack(forms[begin : begin + _PACK])
-            for j, common in enumerate(lcs_lengths(form, packs[number]), begin):
-                if j in wanted:
-                    value = int(percent(common, length + len(forms[j])))
-                    if value >= least:
-                        yield i, j, value
+        common = np.zeros(len(near), dtype=np.int64)
+        numbers, starts, sizes = np.unique(near // _PACK, return_index=True, return_counts=True)
+        for number, start, size in zip(numbers.tolist(), starts.tolist(), sizes.tolist(), strict=True):
+            wanted = near[start : start + size]
+            if size >= _WORTH_A_PACK:
+                begin = number * _PACK
+                whole = lcs_lengths(form, packed(begin, begin + _PACK))
+                common[start : start + size] = np.array(whole)[wanted - begin]
+            else:
+                common[start : start + size] = [lcs_lengths(form, packed(j, j + 1))[0] for j in wanted.tolist()]
+        values = percent(common, lengths[near] + length).astype(np.int64)
+        for j, value in zip(near[values >= least].tolist(), values[values >= least].tolist(), strict=True):
+            yield i, j, value
 
 
 def _token_matches(left, right, within, scorer, least):

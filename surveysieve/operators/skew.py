@@ -7,8 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-HOT_ROWS = 100_000
-HOT_KEYS = 1_000
+HOT_ROWS = 1_000_000
 LANES = 256
 SMALL_ROWS = 200_000
 
@@ -25,27 +24,24 @@ def join_per_key(
 ) -> DataFrame:
     """Inner join of ``rows`` with a table that has one row per key.
 
-    ``weight`` counts the rows behind each key. The (at most ``HOT_KEYS``) keys
-    of ``hot_rows`` rows and more are spread over ``lanes`` partitions: their
-    ``rows`` by a hash of ``spread_by``, their ``per_key`` row by copying it.
-    All other keys keep one lane. Only the hot keys are broadcast, never
-    payload. A key outside the list holds less than 1/HOT_KEYS of the rows, or
-    fewer than ``hot_rows``. ``sizes`` is a cheaper table of keys and weights,
-    if ``per_key`` is costly.
+    ``weight`` counts the rows behind each key, in ``per_key`` or in a cheaper
+    table ``sizes``. Keys of ``hot_rows`` rows and more are spread over ``lanes``
+    partitions: their ``rows`` by a hash of ``spread_by``, their ``per_key`` row
+    by copying it. Only the hot keys are broadcast, never payload; there is at
+    most one for every ``hot_rows`` rows.
     """
-    hot = (
-        (per_key if sizes is None else sizes).where(F.col(weight) >= hot_rows)
-        .orderBy(F.desc(weight), *on)
-        .limit(HOT_KEYS)
-        .select(*on, F.lit(True).alias("__hot"))
-    )
+    heavy = F.col(weight) >= hot_rows
+    hot = (per_key if sizes is None else sizes).where(heavy).select(*on, F.lit(True).alias("__hot"))
     is_hot = F.coalesce(F.col("__hot"), F.lit(False))
+    marked_rows = rows.join(F.broadcast(hot), list(on), "left")
     lane = F.when(is_hot, F.pmod(F.xxhash64(spread_by), F.lit(lanes)).cast("int")).otherwise(0)
-    copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(lanes - 1))).otherwise(F.array(F.lit(0)))
-    spread_rows = rows.join(F.broadcast(hot), list(on), "left").withColumn("__lane", lane).drop("__hot")
-    spread_keys = (
-        per_key.join(F.broadcast(hot), list(on), "left").withColumn("__lane", F.explode(copies)).drop("__hot")
-    )
+    if weight in per_key.columns:
+        marked_keys, is_hot_key = per_key, heavy
+    else:
+        marked_keys, is_hot_key = per_key.join(F.broadcast(hot), list(on), "left"), is_hot
+    copies = F.when(is_hot_key, F.sequence(F.lit(0), F.lit(lanes - 1))).otherwise(F.array(F.lit(0)))
+    spread_rows = marked_rows.withColumn("__lane", lane).drop("__hot")
+    spread_keys = marked_keys.withColumn("__lane", F.explode(copies)).drop("__hot")
     return spread_rows.join(spread_keys, [*on, "__lane"]).drop("__lane")
 
 

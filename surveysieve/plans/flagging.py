@@ -23,10 +23,11 @@ def apply_flags(
     condition may use the flags before it.
     """
     require_columns(df, [key], "responses")
+    flags = list(flags)
     wide, joined = df, set()
     made: dict[str, Column] = {}
     for flag in flags:
-        setting = Setting(df, key, flag.flag_name, lookups or {})
+        setting = Setting(df, key, flag.flag_name, lookups or {}, flags)
         result = flag_columns(setting, flag.method_name, flag.parameters)
         if result.features_id and result.features_id not in joined:
             wide = wide.join(result.features(), key, "left")

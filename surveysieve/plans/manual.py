@@ -16,8 +16,12 @@ def add_placeholders(df: DataFrame) -> DataFrame:
 
 
 def merge_labels(df: DataFrame, labels: DataFrame, key: str) -> DataFrame:
-    """Labels and comments from a table by response key; others keep what they have."""
-    given = labels.select(col_(key), F.struct(*[col_(c).cast("string").alias(c) for c in MANUAL_COLUMNS]).alias("__given"))
+    """Labels and comments from a table by response key; others keep what they have.
+
+    If a key has several rows, the greatest label decides, so responses never multiply.
+    """
+    entered = F.struct(*[col_(c).cast("string").alias(c) for c in MANUAL_COLUMNS])
+    given = labels.groupBy(col_(key)).agg(F.max(entered).alias("__given"))
     placed = add_placeholders(df)
     merged = placed.join(given, key, "left")
     return merged.select(

@@ -12,18 +12,20 @@ from typing import Any
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from surveysieve.config import Flag
 from surveysieve.functions.columns import col_, flag, is_bound, require_columns
 from surveysieve.operators import attempts, bursts, duplicates, geo_location, ip_location, row_flags, similarity
 
 
 @dataclass(frozen=True)
 class Setting:
-    """What a method may use: the responses, their key, the flag's name, lookup tables."""
+    """What a method may use: the responses, their key, the flag's name, lookup tables, all flags."""
 
     df: DataFrame
     key: str
     flag_name: str
     lookups: Mapping[str, DataFrame] = field(default_factory=dict)
+    flags: Sequence[Flag] = ()
 
     def lookup(self, name: str) -> DataFrame:
         if name not in self.lookups:
@@ -148,19 +150,41 @@ def _multiple_attempts(
 ):
     used = [column_ip, column_success, *([column_terminate] if column_terminate is not None else [])]
     require_columns(setting.df, used, f"flag '{setting.flag_name}'")
-    identity = _identity("attempts", column_ip, column_success, attempt_type, column_terminate)
-    counts = attempts.attempt_counts(
-        setting.df, setting.key, column_ip, column_success, attempt_type, column_terminate, name=identity
-    )
-    number = F.col(identity)
+    types, terminate = _attempts_together(setting, column_ip, column_success, attempt_type, column_terminate)
+    identity = _identity("attempts", column_ip, column_success, types, terminate)
+
+    def features():
+        counts = attempts.attempt_counts(setting.df, setting.key, column_ip, column_success, types, terminate)
+        return counts.select(setting.key, F.struct(*types).alias(identity))
+
+    number = F.col(identity)[attempt_type]
     enough = number >= F.lit(num_attempts_lower)
     if is_bound(num_attempts_upper, float("inf")):
         enough = enough & (number <= F.lit(num_attempts_upper))
     return Columns(
-        [(f"num_attempts_{attempt_type}", number), (setting.flag_name, flag(enough))], identity, lambda: counts
+        [(f"num_attempts_{attempt_type}", number), (setting.flag_name, flag(enough))],
+        identity,
+        features,
     )
 
 
+def _attempts_together(setting, column_ip, column_success, attempt_type, column_terminate):
+    """Types and terminate column of all flags that count in the same networks, for one aggregate."""
+    alike = [
+        f.parameters
+        for f in setting.flags
+        if (f.parameters.get("column_ip"), f.parameters.get("column_success")) == (column_ip, column_success)
+        and f.parameters.get("column_terminate") in (column_terminate, None)
+    ]
+    stops = {f.parameters.get("column_terminate") for f in setting.flags} - {None}
+    if column_terminate is None and len(stops) == 1:
+        # Counts without a terminate column can join those with one.
+        (stop,) = stops
+        return _attempts_together(setting, column_ip, column_success, attempt_type, stop)
+    types = {attempt_type, *(p.get("attempt_type", "successful") for p in alike)}
+    return sorted(types), column_terminate
+
+
 def _burst_responses(
     setting,
     column_start_time,
@@ -197,13 +221,16 @@ def _duplicated_text(
     require_columns(setting.df, columns, f"flag '{setting.flag_name}'")
     identity = _identity("duplicates", columns, min_length, max_length, search_strategy)
     names = [f"{identity}_{i}" for i in range(len(columns))]
-    repeated = duplicates.duplicated_text(
-        setting.df, setting.key, columns, min_length, max_length, search_strategy, names
-    )
+
+    def features():
+        return duplicates.duplicated_text(
+            setting.df, setting.key, columns, min_length, max_length, search_strategy, names
+        )
+
     made = [(setting.flag_name, duplicates.any_duplicate(names))]
     if create_column_flag and len(columns) > 1 and search_strategy == "column":
         made += [(f"{setting.flag_name}_{c}", flag(col_(n))) for c, n in zip(columns, names, strict=True)]
-    return Columns(made, identity, lambda: repeated)
+    return Columns(made, identity, features)
 
 
 def _similar_text(

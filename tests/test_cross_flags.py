@@ -64,15 +64,15 @@ def test_attempts(spark, attempt_type):
         i: sum(counts(d, s) for _, other, d, s in rows if other and net(other) == net(ip)) for i, ip, _, _ in rows if ip
     }
     for hot_rows in (10, 100_000):
-        assert as_dict(attempt_counts(df, "id", "ip", "done", attempt_type, "stop", hot_rows=hot_rows)) == expected
+        assert as_dict(attempt_counts(df, "id", "ip", "done", [attempt_type], "stop", hot_rows)) == expected
 
 
 def test_attempts_errors(spark):
     df = spark.createDataFrame([(1, "1.1.1.1", 1)], "id long, ip string, done int")
     with pytest.raises(ValueError):
-        attempt_counts(df, "id", "ip", "done", "other")
+        attempt_counts(df, "id", "ip", "done", ["other"])
     with pytest.raises(ValueError):
-        attempt_counts(df, "id", "ip", "done", "failed")
+        attempt_counts(df, "id", "ip", "done", ["failed"])
 
 
 def test_duplicates(spark):
