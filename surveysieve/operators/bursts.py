@@ -24,6 +24,7 @@ from functools import partial
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -31,16 +32,16 @@ from surveysieve.functions.box_counts import box_weights, reach
 from surveysieve.functions.columns import col_, naive_micros
 from surveysieve.operators.skew import HOT_ROWS, join_per_key, task_partitions
 
-SLICE_ROWS = 250_000
+SLICE_ROWS = 100_000
 MAX_SLICES = 8_192
 SAMPLE_PER_SLICE = 64
 EARLIEST, LATEST = -(2**62), 2**62
 
 _START, _DURATION = 0, 1
-_RECORD = (
-    "axis int, slice int, copy int, asks boolean, x long, y double, weight long, "
-    "x_low long, x_high long, y_low double, y_high double, t long, d double, sign int"
-)
+# A point (amount: its weight) or a question for the box x .. x_high, y .. y_high
+# (amount: the sign of the answer) asked by the point (t, d), in the bin where it belongs.
+_RECORD = "bin long, asks boolean, x long, x_high long, y double, y_high double, amount long, t long, d double"
+_NAMES = [field.split()[0] for field in _RECORD.split(", ")]
 
 
 def _micros(seconds: float) -> int:
@@ -94,6 +95,9 @@ class _Layout:
     durations: _Borders
     radii: tuple[_Radius, ...]
 
+    def axis(self, number: int) -> _Borders:
+        return self.starts if number == _START else self.durations
+
     @property
     def coverable(self):
         """Start slices short enough to lie wholly inside some box."""
@@ -133,12 +137,12 @@ def burst_counts(
     rows = rows.withColumn("d", F.col("d") + F.lit(0.0))
     layout = _lay_out(rows, radii, slice_rows)
     points = rows.groupBy("t", "d").agg(F.count("*").alias("weight"))
-    records = points.mapInPandas(partial(_records, layout=layout), _RECORD)
+    records = points.mapInArrow(partial(_records, layout=layout), _RECORD)
     if layout.coverable.any():
-        records = records.unionByName(_earlier_weight(records, layout))
-    slices = int(layout.starts.copies.sum() + layout.durations.copies.sum())
-    records = records.repartition(task_partitions(df.sparkSession, slices), "axis", "slice", "copy")
-    answers = records.groupBy("axis", "slice", "copy").applyInPandas(_answer, "t long, d double, n long")
+        records = records.unionByName(_earlier_weight(points, layout))
+    bins = int(layout.starts.copies.sum() + layout.durations.copies.sum())
+    records = records.repartition(task_partitions(df.sparkSession, bins), "bin")
+    answers = records.groupBy("bin").applyInArrow(_answer, "t long, d double, n long")
     itself = sum(r.sign for r in radii)
     counts = answers.groupBy("t", "d").agg((F.sum("n") - itself).alias(name))
     return join_per_key(rows, counts, ["t", "d"], "weight", F.col(key), hot_rows, sizes=points).select(key, name)
@@ -163,7 +167,7 @@ def _lay_out(rows: DataFrame, radii: tuple[_Radius, ...], slice_rows: int) -> _L
     """Slice borders from a sample of bounded size; they steer the work, not the result."""
     total = rows.count()
     parallel = rows.sparkSession.sparkContext.defaultParallelism
-    slices = max(math.ceil(total / slice_rows), min(parallel, total // 5_000), 1)
+    slices = max(math.ceil(total / slice_rows), min(4 * parallel, total // 5_000), 1)
     slices = min(slices, MAX_SLICES)
     fraction = min(1.0, slices * SAMPLE_PER_SLICE / max(total, 1))
     if slices > 1:
@@ -172,9 +176,9 @@ def _lay_out(rows: DataFrame, radii: tuple[_Radius, ...], slice_rows: int) -> _L
         sample = pd.DataFrame({"t": np.zeros(0, np.int64), "d": np.zeros(0)})
     t, d = sample["t"].to_numpy(), sample["d"].to_numpy()
     layout = _Layout(_borders(t, d, slices), _borders(d, t, slices), radii)
-    for axis, at, _ in _asks(t, d, layout):
-        copies = (layout.starts if axis == _START else layout.durations).copies
-        asked = np.bincount(at["slice"], minlength=len(copies)) / fraction
+    for axis, slices, *_ in _asks(t, d, layout):
+        copies = layout.axis(axis).copies
+        asked = np.bincount(slices, minlength=len(copies)) / fraction
         np.maximum(copies, np.ceil(asked / (4 * slice_rows)).astype(np.int64), out=copies)
     return layout
 
@@ -189,108 +193,110 @@ def _borders(major, minor, slices) -> _Borders:
 
 
 def _asks(t, d, layout: _Layout):
-    """The questions of the points: (axis, columns, positions of the askers)."""
+    """The questions of the points: (axis, slices, who asks, x, x_high, y, y_high, sign)."""
     for radius in layout.radii:
         t_low, t_high = np.maximum(t, EARLIEST + radius.micros) - radius.micros, t + radius.micros
         d_low, d_high = reach(d, radius.duration)
         left, right = layout.starts.first_slice(t_low), layout.starts.last_slice(t_high)
-        for slices, who in ((left, left >= 0), (right, right > left)):
-            yield (
-                _START,
-                _columns(slices[who], t_low[who], t_high[who], d_low[who], d_high[who], radius.sign),
-                np.flatnonzero(who),
-            )
+        yield _START, left, np.arange(len(t)), t_low, t_high, d_low, d_high, radius.sign
+        who = np.flatnonzero(right > left)
+        yield _START, right[who], who, t_low[who], t_high[who], d_low[who], d_high[who], radius.sign
+        # Slices wholly between: all durations up to d_high, less all before d_low.
         inner = right - left >= 2
-        none = np.full(len(t), -np.inf)
-        before = np.nextafter(d_low, -np.inf)
-        upper = layout.durations.last_slice(d_high), d_high, inner, radius.sign
-        lower = layout.durations.first_slice(d_low), before, inner & (d_low > -np.inf), -radius.sign
-        for slices, high, who, sign in (upper, lower):
-            yield (
-                _DURATION,
-                _columns(slices[who], left[who] + 1, right[who] - 1, none[who], high[who], sign),
-                np.flatnonzero(who),
-            )
+        upper, lower = np.flatnonzero(inner), np.flatnonzero(inner & (d_low > -np.inf))
+        for who, slices, high, sign in (
+            (upper, layout.durations.last_slice(d_high[upper]), d_high[upper], radius.sign),
+            (lower, layout.durations.first_slice(d_low[lower]), np.nextafter(d_low[lower], -np.inf), -radius.sign),
+        ):
+            yield _DURATION, slices, who, left[who] + 1, right[who] - 1, np.full(len(who), -np.inf), high, sign
+
+
+def _bin(axis: int, slices, copy):
+    return ((2 * np.asarray(slices, dtype=np.int64) + axis) << 32) + copy
+
+
+def _batch(bins, asks, x, x_high, y, y_high, amount, t, d) -> pa.RecordBatch:
+    """Records from arrays, or single values that hold for all of them."""
+    columns = (bins, asks, x, x_high, y, y_high, amount, t, d)
+    kinds = (np.int64, bool, np.int64, np.int64, np.float64, np.float64, np.int64, np.int64, np.float64)
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array(np.ascontiguousarray(np.broadcast_to(np.asarray(c, dtype=kind), len(bins))))
+            for c, kind in zip(columns, kinds, strict=True)
+        ],
+        names=_NAMES,
+    )
 
 
-def _columns(slices, x_low, x_high, y_low, y_high, sign) -> dict:
-    return {
-        "slice": slices, "x_low": x_low, "x_high": x_high, "y_low": y_low, "y_high": y_high, "sign": sign,
-    }
+def _points(layout: _Layout, axis: int, slices, x, y, weight) -> pa.RecordBatch:
+    """Points in every copy of their slice."""
+    times = layout.axis(axis).copies[slices]
+    at = np.repeat(np.arange(len(slices)), times)
+    copy = np.arange(len(at)) - np.repeat(np.cumsum(times) - times, times)
+    return _batch(_bin(axis, slices[at], copy), False, x[at], 0, y[at], 0.0, weight[at], 0, 0.0)
 
 
 def _records(batches, layout: _Layout):
-    """Points and questions, each under the slice where it is needed."""
+    """Points and questions, each in the bin where it is needed."""
     coverable = layout.coverable
-    for points in batches:
-        t, d, weight = (points[c].to_numpy() for c in ("t", "d", "weight"))
+    for batch in batches:
+        t, d, weight = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("t", "d", "weight"))
         at_start = layout.starts.slice_of(t, d)
-        yield _copied(_frame(_START, at_start, t, d, weight), layout.starts)
-        who = coverable[at_start]
-        if who.any():
-            at_duration = layout.durations.slice_of(d[who], t[who])
-            yield _copied(_frame(_DURATION, at_duration, at_start[who], d[who], weight[who]), layout.durations)
+        yield _points(layout, _START, at_start, t, d, weight)
+        who = np.flatnonzero(coverable[at_start])
+        at_duration = layout.durations.slice_of(d[who], t[who])
+        yield _points(layout, _DURATION, at_duration, at_start[who], d[who], weight[who])
         # The same question always goes to the same copy, also when a task is repeated.
         lane = pd.util.hash_array(t) ^ pd.util.hash_array(d)
-        for axis, columns, who in _asks(t, d, layout):
-            copies = (layout.starts if axis == _START else layout.durations).copies[columns["slice"]]
-            frame = pd.DataFrame({"axis": axis, **columns, "t": t[who], "d": d[who]})
-            yield _complete(frame.assign(asks=True, copy=(lane[who] % copies.astype(np.uint64)).astype(np.int64)))
-
-
-def _frame(axis, slices, x, y, weight) -> pd.DataFrame:
-    return pd.DataFrame({"axis": axis, "slice": slices, "asks": False, "x": x, "y": y, "weight": weight})
-
-
-def _copied(frame: pd.DataFrame, borders: _Borders) -> pd.DataFrame:
-    times = borders.copies[frame["slice"].to_numpy()]
-    if (times == 1).all():
-        return _complete(frame.assign(copy=0))
-    last = np.cumsum(times)
-    frame = frame.loc[frame.index.repeat(times)]
-    return _complete(frame.assign(copy=np.arange(len(frame)) - np.repeat(last - times, times)))
-
+        for axis, slices, who, x, x_high, y, y_high, sign in _asks(t, d, layout):
+            copies = layout.axis(axis).copies[slices].astype(np.uint64)
+            bins = _bin(axis, slices, (lane[who] % copies).astype(np.int64))
+            yield _batch(bins, True, x, x_high, y, y_high, sign, t[who], d[who])
 
-_INTEGERS = ("x", "weight", "x_low", "x_high", "t", "sign")
-_NAMES = [field.split()[0] for field in _RECORD.split(", ")]
-
-
-def _complete(frame: pd.DataFrame) -> pd.DataFrame:
-    absent = [n for n in _NAMES if n not in frame]
-    return frame.assign(**{n: 0 if n in _INTEGERS else 0.0 for n in absent})[_NAMES]
 
-
-def _earlier_weight(records: DataFrame, layout: _Layout) -> DataFrame:
-    """For each duration slice the weight of each start slice in the slices before.
+def _earlier_weight(points: DataFrame, layout: _Layout) -> DataFrame:
+    """For each duration slice the weight of each coverable start slice in the slices before.
 
     At most MAX_SLICES slices on either axis bound both the cells and the windows.
     """
     last = len(layout.durations.major)
-    cells = (
-        records.where((F.col("axis") == _DURATION) & ~F.col("asks") & (F.col("copy") == 0))
+    coverable = layout.coverable
+
+    def cells(batches):
+        for batch in batches:
+            t, d, weight = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("t", "d", "weight"))
+            at_start = layout.starts.slice_of(t, d)
+            who = coverable[at_start]
+            frame = pd.DataFrame(
+                {"x": at_start[who], "slice": layout.durations.slice_of(d[who], t[who]), "weight": weight[who]}
+            )
+            sums = frame.groupby(["x", "slice"], as_index=False).sum()
+            yield pa.RecordBatch.from_pandas(sums, preserve_index=False)
+
+    weights = (
+        points.mapInArrow(cells, "x long, slice long, weight long")
         .groupBy("x", "slice")
         .agg(F.sum("weight").alias("weight"))
     )
     along = Window.partitionBy("x").orderBy("slice")
     until = F.coalesce(F.lead("slice").over(along), F.lit(last))
-    totals = cells.select("x", "slice", F.sum("weight").over(along).alias("weight"), until.alias("until"))
+    totals = weights.select("x", "slice", F.sum("weight").over(along).alias("weight"), until.alias("until"))
     earlier = totals.where("slice < until").select(
         F.explode(F.sequence(F.col("slice") + 1, F.col("until"))).alias("slice"), "x", "weight"
     )
 
-    def as_points(batches):
+    def below_all(batches):
         for batch in batches:
-            yield _copied(
-                _frame(_DURATION, batch["slice"].to_numpy(), batch["x"].to_numpy(), -np.inf, batch["weight"].to_numpy()),
-                layout.durations,
-            )
+            slices, x, weight = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("slice", "x", "weight"))
+            yield _points(layout, _DURATION, slices, x, np.full(len(x), -np.inf), weight)
 
-    return earlier.mapInPandas(as_points, _RECORD)
+    return earlier.mapInArrow(below_all, _RECORD)
 
 
-def _answer(group: pd.DataFrame) -> pd.DataFrame:
-    asks = group["asks"].to_numpy()
-    points, asked = group[~asks], group[asks]
-    boxes = [asked[c].to_numpy() for c in ("x_low", "x_high", "y_low", "y_high")]
-    found = box_weights(*(points[c].to_numpy() for c in ("x", "y", "weight")), *boxes)
-    return pd.DataFrame({"t": asked["t"], "d": asked["d"], "n": found * asked["sign"].to_numpy()})
+def _answer(group: pa.Table) -> pa.Table:
+    values = {name: group.column(name).to_numpy() for name in _NAMES}
+    asks = values["asks"]
+    points = [values[c][~asks] for c in ("x", "y", "amount")]
+    boxes = [values[c][asks] for c in ("x", "x_high", "y", "y_high")]
+    found = box_weights(*points, *boxes)
+    return pa.table({"t": values["t"][asks], "d": values["d"][asks], "n": found * values["amount"][asks]})

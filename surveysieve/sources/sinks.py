@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -14,6 +15,12 @@ def write_table(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def stage_table(df: DataFrame, name: str) -> DataFrame:
+    """Write a table of its own in the shared folder, where the checks can read single columns of it."""
+    folder = shared_folder(df.sparkSession)
+    return write_table(df, os.path.join(folder, f"surveysieve-{name}-{uuid.uuid4().hex}"))
+
+
 def write_csv(df: DataFrame, path: str, key: str | None = None, single_file: bool = False) -> None:
     """CSV with a header, for review. ``single_file`` sorts by key into one file, for small extracts."""
     if key is not None:

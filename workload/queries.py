@@ -89,8 +89,7 @@ def csv_roundtrip(spark, sf_dir):
 @query
 def checkpoint_roundtrip(spark, sf_dir):
     """Classified responses through the table the next step starts from."""
-    path = _scratch(spark, "table")
-    return sinks.write_table(_automated(spark, sf_dir).select(KEY, "AUTOMATED_FLAG", "AUTOMATED_FLAG_RULE"), path)
+    return sinks.stage_table(_automated(spark, sf_dir).select(KEY, "AUTOMATED_FLAG", "AUTOMATED_FLAG_RULE"), "classified")
 
 
 @query
@@ -346,9 +345,7 @@ def cooccurrence_matrix(spark, sf_dir):
     """Square table of groups and the three classes, as rows (label_a, label_b, n) with zeros."""
     config = tables.config()
     # Written once, since the class labels are looked up before the matrix is made.
-    table = sinks.write_table(
-        descriptives.patterns(_final(spark, sf_dir), config, _CLASSES), _scratch(spark, "patterns")
-    )
+    table = sinks.stage_table(descriptives.patterns(_final(spark, sf_dir), config, _CLASSES), "patterns")
     matrix = descriptives.cooccurrence_matrix(table, config, _CLASSES, use_groups=True)
     cells = F.array(
         *[F.struct(F.lit(c).alias("label_b"), col_(c).alias("n")) for c in matrix.columns if c != "label"]
@@ -417,8 +414,7 @@ def initial_classification(spark, sf_dir):
 
 @query
 def initial_descriptives(spark, sf_dir):
-    path = _scratch(spark, "initial")
-    flagged = sinks.write_table(_automated(spark, sf_dir), path)
+    flagged = sinks.stage_table(_automated(spark, sf_dir), "initial")
     return jobs.as_one_table(jobs.initial_reports(flagged, tables.config()))
 
 
@@ -431,8 +427,7 @@ def final_classification(spark, sf_dir):
 
 @query
 def final_descriptives(spark, sf_dir):
-    path = _scratch(spark, "final")
-    final = sinks.write_table(_final(spark, sf_dir), path)
+    final = sinks.stage_table(_final(spark, sf_dir), "final")
     return jobs.as_one_table(jobs.final_reports(final, tables.config()))
 
 
