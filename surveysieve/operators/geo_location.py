@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from surveysieve.functions.columns import col_
@@ -23,6 +23,20 @@ def _span(low: Column, high: Column, size: float) -> Column:
     return F.explode(F.sequence(_cell(low, size), _cell(high, size)))
 
 
+def _grid(edges: DataFrame, country: list[str], size: float) -> tuple[DataFrame, DataFrame]:
+    """Border segments under each latitude band they touch, and the cells a border spans in each band."""
+    low, high = F.least("y1", "y2"), F.greatest("y1", "y2")
+    banded = edges.select(*country, "x1", "y1", "x2", "y2", _span(low, high, size).alias("cell_y"))
+    extent = banded.groupBy(*country, "cell_y").agg(
+        F.min(F.least("x1", "x2")).alias("west"), F.max(F.greatest("x1", "x2")).alias("east")
+    )
+    return banded, extent.select(*country, "cell_y", _span(F.col("west"), F.col("east"), size).alias("cell_x"))
+
+
+def _cells(banded: DataFrame, covered: DataFrame) -> DataFrame:
+    return banded.select("cell_y").unionAll(covered.select("cell_y"))
+
+
 def locate_points(
     points: DataFrame, polygons: DataFrame, cell_degrees: float = CELL_DEGREES, small_rows: int = SMALL_ROWS
 ) -> DataFrame:
@@ -33,21 +47,26 @@ def locate_points(
     inside if it crosses an odd number of them and lies on none. Parity covers
     holes and countries in several parts.
     """
-    edges = polygon_edges(polygons).select("name", "iso3", "x1", "y1", "x2", "y2")
-    low, high = F.least("y1", "y2"), F.greatest("y1", "y2")
-    banded = edges.select("*", _span(low, high, cell_degrees).alias("cell_y"))
-    covered = (
-        banded.groupBy("name", "iso3", "cell_y")
-        .agg(F.min(F.least("x1", "x2")).alias("west"), F.max(F.greatest("x1", "x2")).alias("east"))
-        .select("name", "iso3", "cell_y", _span(F.col("west"), F.col("east"), cell_degrees).alias("cell_x"))
+    first = F.coalesce(
+        *[F.when(F.col("name") == c, F.lit(i)) for i, c in enumerate(FIRST_COUNTRIES)], F.lit(len(FIRST_COUNTRIES))
+    )
+    # A territory without a code is a country of its own name.
+    polygons = polygons.withColumn("iso3", F.coalesce("iso3", F.lit("")))
+    # One row per country, numbered in the order in which they are tried.
+    numbers = (
+        polygons.select("name", "iso3")
+        .distinct()
+        .select("name", "iso3", F.row_number().over(Window.orderBy(first, "name", "iso3")).alias("country"))
     )
-    small = is_small(banded, small_rows) and is_small(covered, small_rows)
+    edges = polygon_edges(polygons)
+    small = is_small(_cells(*_grid(edges, ["name", "iso3"], cell_degrees)), small_rows)
+    banded, covered = _grid(edges.join(numbers, ["name", "iso3"]), ["country"], cell_degrees)
     placed = points.select(
         "lat", "lon", _cell(F.col("lat"), cell_degrees).alias("cell_y"), _cell(F.col("lon"), cell_degrees).alias("cell_x")
     )
     point = F.struct("lat", "lon")
     candidates = join_lookup(placed, covered, ["cell_y", "cell_x"], point, small)
-    tested = join_lookup(candidates, banded, ["name", "iso3", "cell_y"], point, small).where(
+    tested = join_lookup(candidates, banded, ["country", "cell_y"], point, small).where(
         F.greatest("x1", "x2") >= F.col("lon")
     )
     x1, y1, x2, y2, px, py = (F.col(c) for c in ("x1", "y1", "x2", "y2", "lon", "lat"))
@@ -59,14 +78,12 @@ def locate_points(
         & py.between(F.least(y1, y2), F.greatest(y1, y2))
     )
     inside = (
-        tested.groupBy("lat", "lon", "name", "iso3")
+        tested.groupBy("lat", "lon", "country")
         .agg(F.count_if(F.coalesce(crosses, F.lit(False))).alias("crossings"), F.max(touches).alias("touches"))
         .where("crossings % 2 = 1 AND NOT touches")
     )
-    first = F.coalesce(
-        *[F.when(F.col("name") == c, F.lit(i)) for i, c in enumerate(FIRST_COUNTRIES)], F.lit(len(FIRST_COUNTRIES))
-    )
-    return inside.groupBy("lat", "lon").agg(F.min_by("name", F.struct(first, F.col("name"))).alias("name"))
+    located = inside.groupBy("lat", "lon").agg(F.min("country").alias("country"))
+    return join_lookup(located, numbers.select("country", "name"), ["country"], point, small).select("lat", "lon", "name")
 
 
 def countries(

@@ -19,18 +19,17 @@ PLACE = {
 REGION_LEVELS = {"country": "IPCountry", "state": "IPState", "city": "IPCity"}
 
 _BLOCK_BITS = 16
+_OCTET = "(25[0-5]|2[0-4][0-9]|1[0-9][0-9]|0*[0-9]{1,2})"
+_IPV4 = rf"^{_OCTET}(\.{_OCTET}){{3}}$"
 
 
 def ip_number(ip: Column) -> Column:
     """Dotted IPv4 text as a number; NULL for anything else."""
-    octets = F.split(ip, r"\.")
-    values = [F.try_element_at(octets, F.lit(i)).try_cast("int") for i in range(1, 5)]
-    valid = F.size(octets) == 4
-    number = F.lit(0).cast("long")
-    for value in values:
-        valid = valid & value.between(0, 255)
-        number = number * 256 + value
-    return F.when(valid, number)
+    octets = [
+        F.substring_index(F.substring_index(ip, ".", i), ".", -1).try_cast("int").cast("long") for i in range(1, 5)
+    ]
+    number = ((octets[0] * 256 + octets[1]) * 256 + octets[2]) * 256 + octets[3]
+    return F.when(ip.rlike(_IPV4), number)
 
 
 def locate_ips(ips: DataFrame, ranges: DataFrame) -> DataFrame:

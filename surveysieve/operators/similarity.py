@@ -29,6 +29,7 @@ from surveysieve.functions.similarity_scores import (
 )
 from surveysieve.functions.text import sorted_tokens, strip, text_key
 from surveysieve.operators.skew import HOT_ROWS, join_per_key, task_partitions
+from surveysieve.sources.sinks import stage_table
 
 MIN_LENGTH = 7
 SCORER = "token_sort_ratio"
@@ -43,7 +44,13 @@ _ENTRY = "struct<other: {key}, score: int, text: string, n: bigint>"
 
 
 def distinct_texts(df: DataFrame, key: str, column_name: str, min_length: int, scorer: str) -> DataFrame:
-    """One row per distinct text: key, first and last response, copies, prepared form."""
+    """One row per distinct text: key, first and last response, copies, prepared form.
+
+    Written as a table, since its length classes decide how the texts are cut
+    into blocks, and so that merging and preparing them is done once.
+    """
+    if scorer not in SCORERS:
+        raise ValueError(f"similarity must be one of {SCORERS}, not '{scorer}'")
     text = F.coalesce(col_(column_name).cast("string"), F.lit(""))
     rows = df.select(col_(key).alias("id"), text.alias("text"))
     # The text is grouped by as well, although the key decides: hash aggregation cannot carry it otherwise.
@@ -53,7 +60,13 @@ def distinct_texts(df: DataFrame, key: str, column_name: str, min_length: int, s
         F.count("*").alias("copies"),
     )
     form = F.col("text") if scorer in ("ratio", "QRatio") else sorted_tokens(F.col("text"))
-    return texts.select("*", form.alias("form"), (F.length(strip(F.col("text"))) >= min_length).alias("long"))
+    prepared = texts.select("*", form.alias("form"), (F.length(strip(F.col("text"))) >= min_length).alias("long"))
+    return stage_table(prepared, "texts")
+
+
+def _check(threshold: float) -> None:
+    if not 0 < threshold <= 100:
+        raise ValueError("threshold must be above 0 and at most 100")
 
 
 def _key_type(df: DataFrame, key: str) -> str:
@@ -75,6 +88,7 @@ def similar_pairs(
     how many do; a row with id_i = id_j stands for the copies of one text. A
     pair counts if either text has ``min_length`` characters.
     """
+    _check(threshold)
     texts = distinct_texts(df, key, column_name, min_length, fuzz_func)
     meetings = _meetings(texts, fuzz_func, threshold, block_characters)
 
@@ -91,10 +105,6 @@ def similar_pairs(
 
 def _meetings(texts: DataFrame, scorer: str, threshold: float, block_characters: int | None) -> DataFrame:
     """The texts under every pair of blocks (left, right) they take part in."""
-    if scorer not in SCORERS:
-        raise ValueError(f"similarity must be one of {SCORERS}, not '{scorer}'")
-    if not 0 < threshold <= 100:
-        raise ValueError("threshold must be above 0 and at most 100")
     least = math.ceil(threshold)
     plain = scorer in PLAIN_SCORERS
     carried = ["first_id", "form", "text", "long", "copies"]
@@ -102,9 +112,7 @@ def _meetings(texts: DataFrame, scorer: str, threshold: float, block_characters:
     plan = _blocks(classed, block_characters)
     # At most one row per length class, a few hundred in all.
     lookup = F.broadcast(texts.sparkSession.createDataFrame(plan, ", ".join(f"{c} long" for c in _PLAN)))
-    # Every class is in the lookup. A left join keeps Spark from testing the class of each
-    # response, which would prepare the text of every copy.
-    blocked = classed.join(lookup, "class", "left").select(
+    blocked = classed.join(lookup, "class").select(
         *carried,
         (F.col("first_block") + F.pmod(F.xxhash64("first_id"), "blocks")).alias("own"),
         F.explode(F.sequence(F.col("from_block"), F.col("to_block"))).alias("other"),
@@ -276,6 +284,7 @@ def similar_answers(
     with the smallest response key that holds it, followed by ``xN`` if N
     responses do. Pass ``list_name=None`` for the count alone.
     """
+    _check(threshold)
     texts = distinct_texts(df, key, column_name, min_length, fuzz_func)
     listed = list_name is not None
     meetings = _meetings(texts, fuzz_func, threshold, block_characters)

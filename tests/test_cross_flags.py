@@ -173,6 +173,7 @@ POLYGONS = [
     ring("East", 1, (10, 0), (20, 0), (20, 10), (10, 10)),
     ring("India", 1, (15, 5), (25, 5), (25, 15), (15, 15)),
     ring("China", 1, (24, 14), (30, 14), (30, 20), (24, 20)),
+    ("Codeless", None, 1, [(40.0, 0.0), (41.0, 0.0), (41.0, 1.0)]),
 ]
 
 
@@ -182,6 +183,7 @@ def test_locations(spark):
         (0.5, 0.5): "Notch", (2, 2): None, (1, 2): None, (5, 5): None, (7.5, 7): "Notch", (0, 0): None, (0, 5): None,
         (10, 2): None, (10.5, 2): "East", (4, 4): None, (8, 2): "Notch", (18, 8): "India", (24.5, 14.5): "China",
         (50, 50): None, (4, 2): "Notch", (3, 3): None, (12, 10): None,
+        (40.6, 0.3): "Codeless",
     }
     rows = [(i, float(lat), float(lon)) for i, (lon, lat) in enumerate(places)]
     rows += [(100, None, 1.0), (101, float("nan"), 1.0)]

@@ -101,14 +101,15 @@ def test_without_strings(survey):
 def test_own_flags(survey):
     register_flag("check_Even", lambda setting, column: F.col(column) % 2 == 0)
 
-    def average(setting, column):
-        table = setting.df.agg(F.avg(column).alias("__avg")).crossJoin(setting.df.select(setting.key))
-        return Columns([("mean", F.col("__avg")), (setting.flag_name, F.col(column) > F.col("__avg"))], "avg", lambda: table)
+    def above_same_network(setting, column):
+        table = setting.df.groupBy("IP").agg(F.min("response_id").alias("response_id"), F.lit(85.0).alias("__limit"))
+        above = F.coalesce(F.col(column) > F.col("__limit"), F.lit(False))
+        return Columns([("limit", F.col("__limit")), (setting.flag_name, above)], "limit", lambda: table.drop("IP"))
 
-    register_flag("check_AboveAverage", average)
+    register_flag("check_AboveLimit", above_same_network)
     flags = [
         Flag("F_Even", "check_Even", None, {"column": "Progress"}),
-        Flag("F_Above", "check_AboveAverage", None, {"column": "Progress"}),
+        Flag("F_Above", "check_AboveLimit", None, {"column": "Progress"}),
         Flag("F_Both", "check_CustomCondition", None, {"condition": "F_Even and F_Above"}),
     ]
     got = apply_flags(survey, flags, "response_id").orderBy("response_id")
