@@ -33,8 +33,8 @@ from surveysieve.functions.columns import col_, naive_micros
 from surveysieve.operators.skew import HOT_ROWS, join_per_key, task_partitions
 
 SLICE_ROWS = 100_000
-MAX_SLICES = 8_192
-SAMPLE_PER_SLICE = 64
+MAX_START_SLICES, MAX_DURATION_SLICES = 65_536, 4_096
+SAMPLE_PER_SLICE = 32
 EARLIEST, LATEST = -(2**62), 2**62
 
 _START, _DURATION = 0, 1
@@ -168,18 +168,26 @@ def _lay_out(rows: DataFrame, radii: tuple[_Radius, ...], slice_rows: int) -> _L
     total = rows.count()
     parallel = rows.sparkSession.sparkContext.defaultParallelism
     slices = max(math.ceil(total / slice_rows), min(4 * parallel, total // 5_000), 1)
-    slices = min(slices, MAX_SLICES)
+    slices = min(slices, MAX_START_SLICES)
     fraction = min(1.0, slices * SAMPLE_PER_SLICE / max(total, 1))
+    t, d = np.zeros(0, np.int64), np.zeros(0)
     if slices > 1:
-        sample = rows.select("t", "d").sample(fraction, seed=7).toPandas()
-    else:
-        sample = pd.DataFrame({"t": np.zeros(0, np.int64), "d": np.zeros(0)})
-    t, d = sample["t"].to_numpy(), sample["d"].to_numpy()
-    layout = _Layout(_borders(t, d, slices), _borders(d, t, slices), radii)
-    for axis, slices, *_ in _asks(t, d, layout):
-        copies = layout.axis(axis).copies
-        asked = np.bincount(slices, minlength=len(copies)) / fraction
-        np.maximum(copies, np.ceil(asked / (4 * slice_rows)).astype(np.int64), out=copies)
+        sample = rows.select("t", "d").sample(fraction, seed=7).toArrow()
+        t, d = sample["t"].to_numpy(), sample["d"].to_numpy()
+    starts = _borders(t, d, slices)
+    layout = _Layout(starts, _borders(d[:0], t[:0], 1), radii)
+    # Only points in start slices that a box can cover are counted by duration.
+    inside = layout.coverable[starts.slice_of(t, d)]
+    by_duration = min(max(round(slices * inside.mean()) if len(t) else 1, 1), MAX_DURATION_SLICES)
+    layout = _Layout(starts, _borders(d[inside], t[inside], by_duration), radii)
+    asked = {axis: np.zeros(len(layout.axis(axis).copies)) for axis in (_START, _DURATION)}
+    for axis, slices_asked, *_ in _asks(t, d, layout):
+        asked[axis] += np.bincount(slices_asked, minlength=len(asked[axis])) / fraction
+    for axis, counts in asked.items():
+        # A copy answers a few questions for each of its points.
+        held = total if axis == _START else inside.sum() / fraction
+        room = 4 * max(slice_rows, held / len(counts))
+        layout.axis(axis).copies[:] = np.maximum(np.ceil(counts / room), 1)
     return layout
 
 
@@ -257,7 +265,7 @@ def _records(batches, layout: _Layout):
 def _earlier_weight(points: DataFrame, layout: _Layout) -> DataFrame:
     """For each duration slice the weight of each coverable start slice in the slices before.
 
-    At most MAX_SLICES slices on either axis bound both the cells and the windows.
+    The numbers of slices on both axes are bounded, and with them the cells and windows.
     """
     last = len(layout.durations.major)
     coverable = layout.coverable
