@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -40,14 +39,8 @@ def read_report(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder all executors reach: the cluster's checkpoint folder.
-
-    Only where none is set, as in local tests, a temporary one is used.
-    """
+    """Folder all executors reach: the cluster's checkpoint folder, ``spark.checkpoint.dir``."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if folder is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-        folder = tempfile.mkdtemp(prefix="surveysieve-")
-        spark.sparkContext.setCheckpointDir(folder)
+        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     return folder
