@@ -11,7 +11,8 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from surveysieve.llm.common import ChunkEncoder, on_worker, pick, slices, spaced_parts, texts_of
+from surveysieve.llm.common import on_worker, pick, slices, texts_of
+from surveysieve.llm.parts import PartEncoder
 
 # The split into words that byte-level vocabularies of this kind are made for.
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -164,14 +165,14 @@ def _first_of_runs(at: np.ndarray, after: np.ndarray) -> np.ndarray:
     return at[place % 2 == 0]
 
 
-def _model(path: str) -> tuple[PairIndexEncoder, ChunkEncoder]:
+def _model(path: str) -> tuple[PairIndexEncoder, PartEncoder]:
     model = PairIndexEncoder(path)
-    return model, ChunkEncoder(model.parts)
+    return model, PartEncoder(lambda parts: model.parts([part.decode() for part in parts]))
 
 
 def encode_texts(path: str, texts: list[str]) -> list[bytes]:
-    _, chunks = on_worker(("bpe", path), lambda: _model(path))
-    return chunks([spaced_parts(text) for text in texts])
+    _, encoder = on_worker(("bpe", path), lambda: _model(path))
+    return encoder([text.encode() for text in texts])
 
 
 def decode_ids(path: str, rows: list[bytes | None]) -> list[str | None]:

@@ -3,9 +3,8 @@
 from __future__ import annotations
 
 import os
-import re
 import uuid
-from collections.abc import Callable, Iterable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -79,51 +78,6 @@ def texts_of(column: pa.Array) -> list[str]:
     return [text or "" for text in column.to_pylist()]
 
 
-# A space behind other white space: there, splitting at single spaces would cut a run of white space.
-_RUN = re.compile(r" (?<=\s )")
-_CUT = re.compile(r"(?<=\S)(?=[ \t-\r])")
-
-
-class ChunkEncoder:
-    """Encodes texts by parts that recur, and keeps the parts' ids between calls.
-
-    A text is cut where white space follows another character: no token of the
-    vocabularies used here crosses such a place, and no part's tokens depend on
-    its neighbours, so the parts' ids in a row are the text's ids. ``encode``
-    maps new parts to their ids, as little-endian bytes; at most ``limit`` parts
-    are kept, then the cache starts anew.
-    """
-
-    def __init__(self, encode: Callable[[list], list[bytes]], limit: int = 400_000):
-        self._encode, self._limit = encode, limit
-        self._kept: dict = {}
-
-    def __call__(self, parted: Sequence[list]) -> list[bytes]:
-        """One bytes object per list of parts."""
-        kept = self._kept
-        new = set()
-        for parts in parted:
-            new.update(parts)
-        new.difference_update(kept)
-        if len(kept) + len(new) > self._limit:
-            kept.clear()
-            new = set()
-            for parts in parted:
-                new.update(parts)
-        if new:
-            new = sorted(new)
-            kept.update(zip(new, self._encode(new), strict=True))
-        return [b"".join([kept[part] for part in parts]) for parts in parted]
-
-
-def spaced_parts(text: str) -> list[str]:
-    """Parts of a text, each with the white space before it."""
-    if _RUN.search(text):
-        return _CUT.split(text)
-    parts = text.split(" ")
-    return [parts[0], *(" " + part for part in parts[1:])]
-
-
 def on_worker(key: tuple, make: Callable):
     """An object kept for all tasks of a Python worker."""
     if key not in _KEPT:

@@ -43,16 +43,16 @@ class SquaresPacker:
         self.n_open = 0
 
     def level_for(self, size: int) -> int:
-        width, counts = self.width, self.counts
-        taken = counts[: width - size + 1]
-        cost = 1 - 2 * taken
-        cost[0] = 0
-        cost += 2 * counts[size:] + 1
-        cost[-1] -= 1  # the window is full then and leaves the levels
-        usable = taken > 0
-        usable[0] = True
-        cost[~usable] = np.iinfo(np.int64).max
-        return len(cost) - 1 - int(np.argmin(cost[::-1]))
+        """The level to place ``size`` ids at, less than the width; 0 opens a window."""
+        counts = self.counts
+        levels = np.flatnonzero(counts[: self.width - size + 1])
+        if not len(levels):
+            return 0
+        # The sum of squares grows by this; a window that becomes full leaves the levels.
+        growth = 2 * (counts[levels + size] - counts[levels]) + 2
+        growth[levels == self.width - size] -= 1
+        best = len(levels) - 1 - int(np.argmin(growth[::-1]))
+        return int(levels[best]) if growth[best] <= 2 * counts[size] + 1 else 0
 
     def add(self, piece: Piece) -> list[list[Piece]]:
         """Places a piece of at most ``width`` ids; returns the window if it is full now."""
@@ -179,14 +179,13 @@ SLICE_WINDOWS = 256
 
 
 def _rows(windows: list[list[Piece]], first: int) -> pa.RecordBatch:
-    columns: list[list] = [[] for _ in range(8)]
+    rows = []
     for number, window in enumerate(windows, first):
         offset, length = 0, _ids(window)
         for doc_id, start, ids, total in window:
             size = len(ids) // 4
-            for column, value in zip(columns, (doc_id, start, size, ids, total, number, offset, length), strict=True):
-                column.append(value)
+            rows.append((doc_id, start, size, ids, total, number, offset, length))
             offset += size
     types = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.int64()]
     names = [field.split()[0] for field in SCHEMA.split(", ")]
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names)
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names)

@@ -4,15 +4,19 @@ from __future__ import annotations
 
 import json
 import os
+import re
 from array import array
 
 import numpy as np
 from tokenizers import Tokenizer
 
-from surveysieve.llm.common import ChunkEncoder, on_worker, spaced_parts
+from surveysieve.llm.common import on_worker
+from surveysieve.llm.parts import PartEncoder
+
+_OTHER_SPACE = re.compile(r"[^\S ]")
 
 # Parts that the library encodes in one call, as one text.
-JOINED = 128
+JOINED = 256
 
 
 def load(path: str) -> Tokenizer:
@@ -24,16 +28,16 @@ def load(path: str) -> Tokenizer:
     return tokenizer
 
 
-class PartEncoder:
+class LibraryEncoder:
     """Ids of parts of texts by the library.
 
     Many parts are given to it as one text, so joined that no token crosses from
     one to the next; the ids are dealt out by the bytes that each token stands
-    for. A part that may hold a special token, or that the next one could change,
-    is encoded by itself.
+    for. Parts that may hold special tokens or white space other than ASCII's, or
+    that the next one could change, are encoded one by one.
     """
 
-    def __init__(self, path: str, joint: str):
+    def __init__(self, path: str, joint: bytes):
         self.tokenizer, self.joint = load(path), joint
         with open(path, encoding="utf-8") as file:
             model = json.load(file)
@@ -45,62 +49,63 @@ class PartEncoder:
             self.sizes[number] = len(token.removesuffix(ending)) if ending else len(token)
         self.openings = {token["content"][:2] for token in model["added_tokens"]}
 
-    def size(self, part: str) -> int:
-        if self.tokenizer.normalizer is not None and not part.isascii():
-            part = self.tokenizer.normalizer.normalize_str(part)
-        return len(part.encode())
-
-    def __call__(self, parts: list) -> list[bytes]:
-        texts = [part.decode() if isinstance(part, bytes) else part for part in parts]
-        apart = [self._alone(text) for text in texts]
-        out: list[bytes] = [b""] * len(texts)
-        for places, encode in (
-            ([i for i, alone in enumerate(apart) if not alone], self._together),
-            ([i for i, alone in enumerate(apart) if alone], self._apart),
-        ):
-            for start in range(0, len(places), JOINED):
-                block = places[start : start + JOINED]
-                for place, ids in zip(block, encode([texts[i] for i in block]), strict=True):
-                    out[place] = ids
+    def __call__(self, parts: list[bytes]) -> list[bytes]:
+        if self.joint:
+            return self._in_blocks(parts)
+        # The text after a part that ends in white space, or a part without any, could change its tokens.
+        joinable = [part[:1].isspace() and not part.decode()[-1].isspace() for part in parts]
+        together = iter(self._in_blocks([part for part, whether in zip(parts, joinable, strict=True) if whether]))
+        apart = iter(self._apart([part for part, whether in zip(parts, joinable, strict=True) if not whether]))
+        return [next(together if whether else apart) for whether in joinable]
+
+    def _in_blocks(self, parts: list[bytes]) -> list[bytes]:
+        out: list[bytes] = []
+        for start in range(0, len(parts), JOINED):
+            block = parts[start : start + JOINED]
+            text = self.joint.join(block).decode()
+            changed = self.tokenizer.normalizer is not None and not text.isascii() and _OTHER_SPACE.search(text)
+            if changed or any(opening in text for opening in self.openings):
+                out += self._apart(block)
+            else:
+                out += self._dealt(text, block) or self._apart(block)
         return out
 
-    def _alone(self, part: str) -> bool:
-        """Whether a part next to others could get other ids than alone."""
-        if any(opening in part for opening in self.openings):
-            return True
-        return not self.joint and (part[:1] != " " or part[-1].isspace())
-
-    def _together(self, block: list[str]) -> list[bytes]:
-        ids = self.tokenizer.encode_batch_fast([self.joint.join(block)], add_special_tokens=False)[0].ids
+    def _dealt(self, text: str, block: list[bytes]) -> list[bytes] | None:
+        ids = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
         numbers = np.array(ids, dtype="<u4")
-        ends = np.cumsum(self.sizes[numbers])
-        wanted = np.cumsum([self.size(part) for part in block])
+        ends, wanted = np.cumsum(self.sizes[numbers]), np.cumsum(self._sizes(text, block))
         places = np.searchsorted(ends, wanted)
         if places[-1] != len(ends) - 1 or (ends[places] != wanted).any():
-            return self._apart(block)
+            return None
         data = numbers.tobytes()
         cuts = [0, *(4 * (places + 1)).tolist()]
         return [data[a:b] for a, b in zip(cuts, cuts[1:])]
 
-    def _apart(self, block: list[str]) -> list[bytes]:
-        encoded = self.tokenizer.encode_batch_fast(block, add_special_tokens=False)
+    def _sizes(self, text: str, block: list[bytes]) -> list[int]:
+        """Bytes of each part as the vocabulary sees it."""
+        if self.tokenizer.normalizer is None or text.isascii():
+            return list(map(len, block))
+        # Parts are joined by the only white space that there is.
+        return list(map(len, self.tokenizer.normalizer.normalize_str(text).encode().split(self.joint)))
+
+    def _apart(self, block: list[bytes]) -> list[bytes]:
+        encoded = self.tokenizer.encode_batch_fast([part.decode() for part in block], add_special_tokens=False)
         return [array("I", encoding.ids).tobytes() for encoding in encoded]
 
 
 def spaced_ids(path: str, texts: list[str]) -> list[bytes]:
     """Ids of whole texts as little-endian unsigned 32-bit integers, for byte-level vocabularies."""
-    encoder = on_worker(("spaced", path), lambda: ChunkEncoder(PartEncoder(path, "")))
-    return encoder([spaced_parts(text) for text in texts])
+    encoder = on_worker(("spaced", path), lambda: PartEncoder(LibraryEncoder(path, b"")))
+    return encoder([text.encode() for text in texts])
 
 
 def word_ids(path: str, texts: list[str]) -> list[bytes]:
     """The same for vocabularies that drop white space and put letters in lower case."""
-    encoder = on_worker(("words", path), lambda: ChunkEncoder(PartEncoder(path, " ")))
-    return encoder([_words(text) for text in texts])
+    encoder = on_worker(("words", path), lambda: PartEncoder(LibraryEncoder(path, b" "), words=True))
+    return encoder([_lower(text.encode()) for text in texts])
 
 
-def _words(text: str) -> list[bytes]:
-    """Parts between ASCII white space. ASCII letters are put in lower case first, so that more parts are the same."""
-    encoded = text.encode()
+def _lower(text: bytes) -> bytes:
+    """ASCII letters are put in lower case first, so that more parts are the same."""
     # A special token's own spelling counts; only such texts hold "<|".
-    return encoded.split() if b"<|" in encoded else encoded.lower().split()
+    return text if b"<|" in text else text.lower()
