@@ -45,7 +45,7 @@ def attribute(ends: np.ndarray, section_ends: np.ndarray, rule: str = "first") -
     """
     if rule not in RULES:
         raise ValueError(f"rule must be one of {RULES}, not '{rule}'")
-    starts = np.concatenate([[0], ends[:-1]])
+    starts = np.concatenate([[0], ends])[: len(ends)]
     first = np.searchsorted(section_ends, starts, side="right")
     last = np.searchsorted(section_ends, ends - 1, side="right")
     if rule == "first":
@@ -58,7 +58,7 @@ def attribute(ends: np.ndarray, section_ends: np.ndarray, rule: str = "first") -
             inner = section_ends[first[token] : last[token]]
             sizes = np.diff(np.concatenate([[starts[token]], inner, [ends[token]]]))
             owner[token] = first[token] + int(np.argmax(sizes))
-    return np.bincount(owner, minlength=len(section_ends))
+    return np.bincount(owner.astype(np.int64), minlength=len(section_ends))
 
 
 def line_sections(text: str) -> list[str]:
