@@ -15,12 +15,12 @@ from pyspark.sql import functions as F
 
 from surveysieve.llm.common import packed, pick, slices, texts_of, unpacked
 from surveysieve.llm.hashing import shingles
-from surveysieve.operators.skew import join_per_key
+from surveysieve.operators.skew import SMALL_ROWS, join_per_key
 from surveysieve.sources.sinks import stage_table
 
 # Tokens that stand for a set: the least hash under each of so many functions.
 TOKENS = 64
-# Sets that are compared with each other without splitting them further.
+# Sets that are compared with each other without splitting them further; nodes of one set cost nothing.
 SMALL = 2_000
 DEPTH = 6
 CHILDREN = 2
@@ -148,17 +148,20 @@ def candidates(distinct: DataFrame, similarity: float, target: float, small: int
     rows = _root_nodes(distinct, root_tokens(similarity, target))
     found = None
     for level in range(depth + 1):
-        counts = stage_table(rows.groupBy("node").agg(F.count("*").alias("size")).where("size > 1"), "jaccard-nodes")
-        sized = rows.join(counts, "node")
-        links = _compared(sized.where(F.col("size") <= small).drop("size"), similarity)
+        sizes = rows.groupBy("node").agg(F.count("*").alias("size"))
+        large = stage_table(sizes.where(F.col("size") > small), "jaccard-large")
+        n_large = large.count()
+        if not n_large:
+            links = _compared(rows, similarity)
+            return links if found is None else found.unionByName(links)
+        # One row per large node; beyond that size, large nodes are parted by a join that Spark can balance.
+        sought = F.broadcast(large) if n_large <= SMALL_ROWS else large
+        links = _compared(rows.join(sought, "node", "left_anti"), similarity)
         found = links if found is None else found.unionByName(links)
-        if counts.where(F.col("size") > small).isEmpty():
-            return found
-        large = sized.where(F.col("size") > small)
-        if level == depth:
-            return found.unionByName(_compared(_in_blocks(large, small), similarity))
-        rows = stage_table(_split(large.drop("size")), "jaccard-split")
-    return found
+        within = rows.join(sought, "node")
+        if level < depth:
+            rows = stage_table(_split(within.drop("size")), "jaccard-split")
+    return found.unionByName(_compared(_in_blocks(within, small), similarity))
 
 
 def least_matches(similarity: float) -> int:
@@ -170,7 +173,7 @@ def least_matches(similarity: float) -> int:
 def _compared(rows: DataFrame, similarity: float) -> DataFrame:
     least, share = least_matches(similarity), float(similarity)
 
-    def links(keys: np.ndarray, sizes: np.ndarray, sketches: np.ndarray) -> Iterator[tuple[int, int]]:
+    def links(keys: list, sizes: np.ndarray, sketches: np.ndarray) -> Iterator[tuple[int, int]]:
         parent = np.arange(len(keys))
         for start in range(0, len(keys), 64):
             part = slice(start, start + 64)
@@ -184,12 +187,10 @@ def _compared(rows: DataFrame, similarity: float) -> DataFrame:
                 yield root, place
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for group in groups(batches, 1):
-            keys = np.array(group[1], dtype=object)
-            if len(keys) < 2:
-                continue
-            sketches = np.frombuffer(b"".join(group[3]), dtype=np.uint8).reshape(len(keys), -1)
-            found = list(links(keys, np.array(group[2], dtype=np.float64), sketches))
+        for group in repeated(batches):
+            keys = group.column(1).to_pylist()
+            sketches = np.frombuffer(b"".join(group.column(3).to_pylist()), dtype=np.uint8).reshape(len(keys), -1)
+            found = list(links(keys, group.column(2).to_numpy().astype(np.float64), sketches))
             if found:
                 yield _links([keys[a] for a, _ in found], [keys[b] for _, b in found])
 
@@ -205,6 +206,25 @@ def _by(rows: DataFrame, *keys: str) -> DataFrame:
     return rows.repartition(*keys).sortWithinPartitions(*keys, "set_key")
 
 
+def repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows that share their first column, a number, with others; equal ones follow each other."""
+    pending = None
+    for batch in batches:
+        if pending is not None:
+            batch = pa.concat_batches([pending, batch])
+        if not batch.num_rows:
+            continue
+        numbers = batch.column(0).to_numpy()
+        starts = np.flatnonzero(np.concatenate([[True], numbers[1:] != numbers[:-1]]))
+        sizes = np.diff(np.append(starts, len(numbers)))
+        # The last run may go on in the next batch.
+        for place in np.flatnonzero(sizes[:-1] > 1).tolist():
+            yield batch.slice(int(starts[place]), int(sizes[place]))
+        pending = batch.slice(int(starts[-1]))
+    if pending is not None and pending.num_rows > 1:
+        yield pending
+
+
 def groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[list[list]]:
     """Columns of the rows with equal first ``keys`` columns, which follow each other."""
     current, columns = None, []
