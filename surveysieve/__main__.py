@@ -19,13 +19,14 @@ from surveysieve.sources.polygons import read_polygons
 _LOOKUPS = {"ip_ranges": ("ip_range_file", read_ip_ranges), "polygons": ("world_shape_file", read_polygons)}
 
 
-def _read(spark: SparkSession, config: Config, parameter: str, key: str | None, schema: str | None) -> DataFrame:
+def _read(
+    spark: SparkSession, config: Config, parameter: str, key: str | None, schema: str | None, multi_line: bool
+) -> DataFrame:
     path = config.path(parameter)
     if not path.endswith((".csv", ".csv.gz")):
         return responses.read_parquet(spark, path, key)
     # Text files are read once; the checks then read the few columns they need from the table.
-    df = responses.read_csv(spark, path, schema, key, multi_line=schema is None)
-    return sinks.stage_table(df, parameter)
+    return sinks.stage_table(responses.read_csv(spark, path, schema, key, multi_line), parameter)
 
 
 def _write(df: DataFrame, config: Config, parameter: str, key: str) -> None:
@@ -37,8 +38,18 @@ def _write(df: DataFrame, config: Config, parameter: str, key: str) -> None:
 
 
 def run(
-    spark: SparkSession, step: str, config: Config, key: str | None = None, schema: str | None = None
+    spark: SparkSession,
+    step: str,
+    config: Config,
+    key: str | None = None,
+    schema: str | None = None,
+    multi_line: bool = False,
 ) -> None:
+    with sinks.stages(spark):
+        _run(spark, step, config, key, schema, multi_line)
+
+
+def _run(spark: SparkSession, step: str, config: Config, key: str | None, schema: str | None, multi_line: bool) -> None:
     name = key or responses.KEY
     if step == "initial":
         lookups = {
@@ -46,18 +57,18 @@ def run(
             for table, (path, read) in _LOOKUPS.items()
             if path in config.filepaths
         }
-        df = _read(spark, config, "data_file", key, schema)
+        df = _read(spark, config, "data_file", key, schema, multi_line)
         _write(jobs.initial_classification(df, config, name, lookups), config, "flagged_file", name)
     elif step == "final":
-        df = _read(spark, config, "manual_file", key, schema)
+        df = _read(spark, config, "manual_file", key, schema, multi_line)
         jobs.warn_without_labels(df)
         _write(jobs.final_classification(df, config, name), config, "final_output_file", name)
     elif step == "similar":
-        df = _read(spark, config, "data_file", key, schema)
+        df = _read(spark, config, "data_file", key, schema, multi_line)
         _write(jobs.mark_similar(df, config, name), config, "fuzzy_file", name)
     else:
         initial = step == "initial-reports"
-        df = _read(spark, config, "flagged_file" if initial else "final_output_file", key, schema)
+        df = _read(spark, config, "flagged_file" if initial else "final_output_file", key, schema, multi_line)
         reports = jobs.initial_reports(df, config) if initial else jobs.final_reports(df, config)
         for table, report in reports.items():
             sinks.write_report(report, config.path("descriptives_file"), table)
@@ -69,11 +80,14 @@ def main() -> None:
     parser.add_argument("config", help="JSON file or folder of CSV tables")
     parser.add_argument("--key", help="column that identifies a response; default: row numbers are added")
     parser.add_argument(
-        "--schema", help="columns and types of the CSV files; large files are then split, without line breaks in answers"
+        "--schema", help="columns and types of the CSV files, which are then read once instead of twice"
+    )
+    parser.add_argument(
+        "--multi-line", action="store_true", help="answers in CSV files hold line breaks; each file is read by one task"
     )
     given = parser.parse_args()
     spark = SparkSession.builder.appName("surveysieve").getOrCreate()
-    run(spark, given.step, load_config(given.config), given.key, given.schema)
+    run(spark, given.step, load_config(given.config), given.key, given.schema, given.multi_line)
 
 
 if __name__ == "__main__":

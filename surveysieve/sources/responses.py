@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from surveysieve.functions.columns import nan_to_null
 from surveysieve.operators.skew import is_small
+from surveysieve.sources.sinks import CSV_OPTIONS, stage_table
 
 KEY = "response_id"
 
@@ -22,47 +23,52 @@ def read_csv(
 
     Give a ``schema`` for large data: without one Spark reads the files twice to
     infer it. ``multi_line`` allows line breaks in answers, but a file is then
-    read by one task. Without a ``key`` column, ``response_id`` is added.
+    read by one task; without it a record that a line break cuts is refused, as is
+    any value that does not fit its type. Without a ``key`` column,
+    ``response_id`` is added.
     """
-    reader = spark.read.option("header", True).option("quote", '"').option("escape", '"')
-    reader = reader.option("multiLine", multi_line)
+    # All columns are parsed, whichever are used: a cut record has too few of them.
+    reader = spark.read.options(**CSV_OPTIONS, multiLine=multi_line, mode="FAILFAST", columnPruning=False)
     reader = reader.schema(schema) if schema else reader.option("inferSchema", True)
-    return _keyed(reader.csv(path), key)
+    return _keyed(reader.csv(path), key, "csv")
 
 
 def read_parquet(spark: SparkSession, path: str, key: str | None = None) -> DataFrame:
-    return _keyed(spark.read.parquet(path), key)
+    return _keyed(spark.read.parquet(path), key, "parquet")
 
 
-def _keyed(df: DataFrame, key: str | None) -> DataFrame:
+def _keyed(df: DataFrame, key: str | None, name: str) -> DataFrame:
     if key is None and KEY not in df.columns:
-        df = number_rows(df, KEY)
+        df = number_rows(df, KEY, name)
     return nan_to_null(df)
 
 
-def number_rows(df: DataFrame, name: str = KEY) -> DataFrame:
+def number_rows(df: DataFrame, name: str = KEY, stage: str = "rows") -> DataFrame:
     """Consecutive numbers from 0 in file order, for a DataFrame read from files.
 
-    Each split of a file is numbered on its own; the rows of the splits before it
-    (files by name, splits by position) are added from a table with one row per
-    split. The rows themselves are not shuffled.
+    The files are read once, into a staged table that keeps the place of each row:
+    its file, the split of it, and the row in the split. From that the rows of the
+    splits before (files by name, splits by position) are counted, in a table with
+    one row per split. The rows themselves are not shuffled.
     """
     at = ["__file", "__start"]
-    placed = df.select(
-        "*",
-        F.col("_metadata.file_path").alias("__file"),
-        F.col("_metadata.file_block_start").alias("__start"),
-        F.monotonically_increasing_id().alias("__position"),
+    placed = stage_table(
+        df.select(
+            "*",
+            F.col("_metadata.file_path").alias("__file"),
+            F.col("_metadata.file_block_start").alias("__start"),
+            F.monotonically_increasing_id().alias("__position"),
+        ),
+        stage,
     )
     splits = placed.groupBy(*at).agg(F.min("__position").alias("__first"), F.count("*").alias("__rows"))
     # One row per split of the input, far fewer than responses.
     before = Window.orderBy(*at).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = splits.select(
-        *at, (F.coalesce(F.sum("__rows").over(before), F.lit(0)) - F.col("__first")).alias("__offset")
+    offsets = stage_table(
+        splits.select(*at, (F.coalesce(F.sum("__rows").over(before), F.lit(0)) - F.col("__first")).alias("__offset")),
+        f"{stage}-splits",
     )
-    if is_small(splits):
-        offsets = F.broadcast(offsets)
-    numbered = placed.join(offsets, at)
+    numbered = placed.join(F.broadcast(offsets) if is_small(offsets) else offsets, at)
     kept = ["`" + c.replace("`", "``") + "`" for c in df.columns]
     return numbered.select(*kept, (F.col("__position") + F.col("__offset")).alias(name))
 

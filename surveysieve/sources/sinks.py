@@ -4,9 +4,21 @@ from __future__ import annotations
 
 import os
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+# The same for writing and reading, so that what is written is what is read.
+CSV_OPTIONS = {
+    "header": True,
+    "quote": '"',
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": False,
+    "ignoreTrailingWhiteSpace": False,
+}
+
 
 def write_table(df: DataFrame, path: str) -> DataFrame:
     """Parquet for the next step; returns the table as written, which also cuts the lineage."""
@@ -15,18 +27,39 @@ def write_table(df: DataFrame, path: str) -> DataFrame:
 
 
 def stage_table(df: DataFrame, name: str) -> DataFrame:
-    """Write a table of its own in the shared folder, where the checks can read single columns of it."""
-    folder = shared_folder(df.sparkSession)
-    return write_table(df, os.path.join(folder, f"surveysieve-{name}-{uuid.uuid4().hex}"))
+    """Write a table of its own in the shared folder, where the checks can read single columns of it.
+
+    It is removed at the end of the ``stages`` block around the call, if there is one.
+    """
+    path = f"{shared_folder(df.sparkSession).rstrip('/')}/surveysieve-{name}-{uuid.uuid4().hex}"
+    open_stages = _stages.get()
+    if open_stages is not None:
+        open_stages.append(path)
+    return write_table(df, path)
+
+
+@contextmanager
+def stages(spark: SparkSession) -> Iterator[None]:
+    """Removes the tables staged inside the block at its end; results must be written by then."""
+    paths: list[str] = []
+    token = _stages.set(paths)
+    try:
+        yield
+    finally:
+        _stages.reset(token)
+        for path in paths:
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+_stages: ContextVar[list[str] | None] = ContextVar("stages", default=None)
 
 
-def write_csv(df: DataFrame, path: str, key: str | None = None, single_file: bool = False) -> None:
-    """CSV with a header, for review. ``single_file`` sorts by key into one file, for small extracts."""
+def write_csv(df: DataFrame, path: str, key: str | None = None) -> None:
+    """CSV with a header, for review; every character of an answer is kept."""
     if key is not None:
         df = df.orderBy(key)
-    if single_file:
-        df = df.coalesce(1)
-    df.write.mode("overwrite").option("header", True).option("quote", '"').option("escape", '"').csv(path)
+    df.write.mode("overwrite").options(**CSV_OPTIONS).csv(path)
 
 
 def write_report(df: DataFrame, folder: str, name: str) -> None:
