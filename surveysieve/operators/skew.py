@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 HOT_ROWS = 1_000_000
-LANES = 256
+LOOKUP_LANES = 256
 SMALL_ROWS = 200_000
 
 
@@ -19,34 +19,33 @@ def join_per_key(
     weight: str,
     spread_by: Column,
     hot_rows: int = HOT_ROWS,
-    lanes: int = LANES,
     sizes: DataFrame | None = None,
 ) -> DataFrame:
     """Inner join of ``rows`` with a table that has one row per key.
 
     ``weight`` counts the rows behind each key, in ``per_key`` or in a cheaper
-    table ``sizes``. Keys of ``hot_rows`` rows and more are spread over ``lanes``
-    partitions: their ``rows`` by a hash of ``spread_by``, their ``per_key`` row
-    by copying it. Only the hot keys are broadcast, never payload; there is at
-    most one for every ``hot_rows`` rows.
+    table ``sizes``. Keys of ``hot_rows`` rows and more are spread over a lane for
+    each ``hot_rows`` of them: their ``rows`` by a hash of ``spread_by``, their
+    ``per_key`` row by copying it. So no lane grows with the data. Only the hot keys
+    and their numbers of lanes are broadcast, never payload; there is at most one
+    for every ``hot_rows`` rows.
     """
     heavy = F.col(weight) >= hot_rows
-    hot = (per_key if sizes is None else sizes).where(heavy).select(*on, F.lit(True).alias("__hot"))
-    is_hot = F.coalesce(F.col("__hot"), F.lit(False))
+    needed = F.ceil(F.col(weight) / hot_rows).cast("int")
+    hot = (per_key if sizes is None else sizes).where(heavy).select(*on, needed.alias("__lanes"))
+    lanes = F.coalesce(F.col("__lanes"), F.lit(1))
     marked_rows = rows.join(F.broadcast(hot), list(on), "left")
-    lane = F.when(is_hot, F.pmod(F.xxhash64(spread_by), F.lit(lanes)).cast("int")).otherwise(0)
     if weight in per_key.columns:
-        marked_keys, is_hot_key = per_key, heavy
+        marked_keys = per_key.withColumn("__lanes", F.when(heavy, needed))
     else:
-        marked_keys, is_hot_key = per_key.join(F.broadcast(hot), list(on), "left"), is_hot
-    copies = F.when(is_hot_key, F.sequence(F.lit(0), F.lit(lanes - 1))).otherwise(F.array(F.lit(0)))
-    spread_rows = marked_rows.withColumn("__lane", lane).drop("__hot")
-    spread_keys = marked_keys.withColumn("__lane", F.explode(copies)).drop("__hot")
+        marked_keys = per_key.join(F.broadcast(hot), list(on), "left")
+    spread_rows = marked_rows.withColumn("__lane", F.pmod(F.xxhash64(spread_by), lanes).cast("int")).drop("__lanes")
+    spread_keys = marked_keys.withColumn("__lane", F.explode(F.sequence(F.lit(0), lanes - 1))).drop("__lanes")
     return spread_rows.join(spread_keys, [*on, "__lane"]).drop("__lane")
 
 
 def join_lookup(
-    rows: DataFrame, lookup: DataFrame, on: Sequence[str], spread_by: Column, small: bool, lanes: int = LANES
+    rows: DataFrame, lookup: DataFrame, on: Sequence[str], spread_by: Column, small: bool, lanes: int = LOOKUP_LANES
 ) -> DataFrame:
     """Inner join with a lookup table: broadcast if ``small``, salted otherwise.
 
