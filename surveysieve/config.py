@@ -36,6 +36,10 @@ REQUIRED_COLUMNS = {
 }
 
 
+# Class of a response that no rule fits.
+DEFAULT_CLASS = "VALID"
+
+
 def decode_special_values(values: Mapping[str, Any]) -> dict[str, Any]:
     """Special spellings among the values of an object; lists are left alone."""
     return {

@@ -6,6 +6,7 @@ import math
 from collections.abc import Iterable
 from functools import reduce
 
+from pyspark.errors import AnalysisException, ParseException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -21,6 +22,20 @@ def flag(condition: Column) -> Column:
     return F.coalesce(condition, F.lit(False))
 
 
+def truth(df: DataFrame, expression: str, what: str) -> Column:
+    """A Spark SQL expression as a condition: numbers hold if not zero, texts if not empty; unknown does not hold."""
+    try:
+        column = F.expr(str(expression))
+        kind = df.select(column).schema[0].dataType
+    except (AnalysisException, ParseException) as error:
+        raise ValueError(f"{what}: cannot use the condition {expression!r}") from error
+    if isinstance(kind, T.NumericType):
+        column = column != 0
+    elif isinstance(kind, T.StringType):
+        column = column != ""
+    return flag(column)
+
+
 def any_of(conditions: Iterable[Column]) -> Column:
     return reduce(lambda a, b: a | b, conditions, F.lit(False))
 

@@ -11,6 +11,7 @@ from surveysieve.functions.columns import all_of, col_
 from surveysieve.operators.skew import HOT_ROWS, join_per_key
 
 ATTEMPT_TYPES = ("successful", "unsuccessful", "incomplete", "failed", "all")
+NEED_TERMINATE = ("incomplete", "failed")
 
 
 def network(ip: Column) -> Column:

@@ -12,8 +12,11 @@ there. Start slices wholly between them are covered in start, so for their
 points only the duration matters: they are counted in the two duration slices
 where the box begins and ends, which also know how much weight each start slice
 has in all earlier duration slices. Each point therefore meets at most four
-slices. Slices hold a bounded number of points even if all points share one
-start or one duration, and slices with many questions are copied.
+slices. Slices with many questions are copied. There are at most ``MAX_SLICES``
+slices by either axis, since their borders go to every task; where the data are
+so many that slices outgrow their bound, each is parted by a hash of its points,
+and its questions are asked in every part. So what a task holds is bounded even if
+all points share one start or one duration.
 """
 
 from __future__ import annotations
@@ -25,7 +28,7 @@ from functools import partial
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from surveysieve.functions.box_counts import box_weights, reach
@@ -33,7 +36,9 @@ from surveysieve.functions.columns import col_, naive_micros
 from surveysieve.operators.skew import HOT_ROWS, join_per_key, task_partitions
 
 SLICE_ROWS = 100_000
-MAX_START_SLICES, MAX_DURATION_SLICES = 65_536, 4_096
+MAX_SLICES = 65_536
+# Points of a slice, in multiples of SLICE_ROWS, from which it is parted.
+PART_SLICES = 4
 SAMPLE_PER_SLICE = 32
 EARLIEST, LATEST = -(2**62), 2**62
 
@@ -94,6 +99,7 @@ class _Layout:
     starts: _Borders
     durations: _Borders
     radii: tuple[_Radius, ...]
+    parts: tuple[int, int] = (1, 1)
 
     def axis(self, number: int) -> _Borders:
         return self.starts if number == _START else self.durations
@@ -117,10 +123,12 @@ def burst_counts(
     name: str = "burst_count",
     slice_rows: int = SLICE_ROWS,
     hot_rows: int = HOT_ROWS,
+    start_time_format: str | None = None,
 ) -> DataFrame:
     """(key, number of other responses in the outer radii minus those in the unflag radii).
 
-    Responses without start or duration are left out.
+    Responses without start or duration are left out. ``start_time_format`` is
+    that of start times given as text, see ``wall_clock``.
     """
     radii = _radii(
         (max_start_time_difference, max_duration_difference, 1),
@@ -128,7 +136,7 @@ def burst_counts(
     )
     rows = df.select(
         col_(key).alias(key),
-        naive_micros(wall_clock(df, column_start_time)).alias("t"),
+        naive_micros(wall_clock(df, column_start_time, start_time_format)).alias("t"),
         col_(column_duration).cast("double").alias("d"),
     ).where("t IS NOT NULL AND d IS NOT NULL AND NOT isnan(d)")
     if not radii:
@@ -140,7 +148,7 @@ def burst_counts(
     records = points.mapInArrow(partial(_records, layout=layout), _RECORD)
     if layout.coverable.any():
         records = records.unionByName(_earlier_weight(points, layout))
-    bins = int(layout.starts.copies.sum() + layout.durations.copies.sum())
+    bins = int(sum(layout.axis(axis).copies.sum() * layout.parts[axis] for axis in (_START, _DURATION)))
     records = records.repartition(task_partitions(df.sparkSession, bins), "bin")
     answers = records.groupBy("bin").applyInArrow(_answer, "t long, d double, n long")
     itself = sum(r.sign for r in radii)
@@ -148,12 +156,31 @@ def burst_counts(
     return join_per_key(rows, counts, ["t", "d"], "weight", F.col(key), hot_rows, sizes=points).select(key, name)
 
 
-def wall_clock(df: DataFrame, column: str):
-    """Start time as a timestamp without zone; text may be ISO or month/day/year."""
+# Spellings of start times that need no format: month/day/year, on a clock of 24 or of 12 hours.
+US_FORMATS = ("M/d/y H:m", "M/d/y H:m:s", "M/d/y h:m a", "M/d/y h:m:s a", "M/d/y")
+
+
+def wall_clock(df: DataFrame, column: str, start_time_format: str | None = None) -> Column:
+    """Start time as a timestamp without zone.
+
+    Text must have ``start_time_format`` (a Spark pattern), or without one be ISO
+    or one of ``US_FORMATS``. Blank text is a missing time, any other that does not
+    fit is refused with an error.
+    """
     value = col_(column)
-    if df.select(value).schema[0].dataType.simpleString() == "string":
-        value = F.regexp_replace(F.trim(value), r"^(\d{1,2})/(\d{1,2})/(\d{4})", "$3-$1-$2")
-    return value.try_cast("timestamp_ntz")
+    if df.select(value).schema[0].dataType.simpleString() != "string":
+        return value.try_cast("timestamp_ntz")
+    text = F.nullif(F.trim(value), F.lit(""))
+    if start_time_format is not None:
+        known = [_by_format(text, start_time_format)]
+    else:
+        known = [text.try_cast("timestamp_ntz"), *(_by_format(F.upper(text), pattern) for pattern in US_FORMATS)]
+    refused = F.raise_error(F.concat(F.lit(f"{column}: not a start time: "), text)).cast("timestamp_ntz")
+    return F.when(text.isNotNull(), F.coalesce(*known, refused))
+
+
+def _by_format(text: Column, pattern: str) -> Column:
+    return F.try_to_timestamp(text, F.lit(pattern)).cast("timestamp_ntz")
 
 
 def _radii(outer, unflag) -> tuple[_Radius, ...]:
@@ -168,7 +195,7 @@ def _lay_out(rows: DataFrame, radii: tuple[_Radius, ...], slice_rows: int) -> _L
     total = rows.count()
     parallel = rows.sparkSession.sparkContext.defaultParallelism
     slices = max(math.ceil(total / slice_rows), min(4 * parallel, total // 5_000), 1)
-    slices = min(slices, MAX_START_SLICES)
+    slices = min(slices, MAX_SLICES)
     fraction = min(1.0, slices * SAMPLE_PER_SLICE / max(total, 1))
     t, d = np.zeros(0, np.int64), np.zeros(0)
     if slices > 1:
@@ -178,15 +205,19 @@ def _lay_out(rows: DataFrame, radii: tuple[_Radius, ...], slice_rows: int) -> _L
     layout = _Layout(starts, _borders(d[:0], t[:0], 1), radii)
     # Only points in start slices that a box can cover are counted by duration.
     inside = layout.coverable[starts.slice_of(t, d)]
-    by_duration = min(max(round(slices * inside.mean()) if len(t) else 1, 1), MAX_DURATION_SLICES)
-    layout = _Layout(starts, _borders(d[inside], t[inside], by_duration), radii)
+    by_duration = max(round(slices * inside.mean()) if len(t) else 1, 1)
+    durations = _borders(d[inside], t[inside], by_duration)
+    # The sample holds all slices alike, so a slice has about as many points as another.
+    covered = total * inside.mean() if len(t) else 0
+    held = (total / len(starts.copies), covered / len(durations.copies))
+    parts = tuple(max(1, math.ceil(points / (PART_SLICES * slice_rows))) for points in held)
+    layout = _Layout(starts, durations, radii, parts)
     asked = {axis: np.zeros(len(layout.axis(axis).copies)) for axis in (_START, _DURATION)}
     for axis, slices_asked, *_ in _asks(t, d, layout):
         asked[axis] += np.bincount(slices_asked, minlength=len(asked[axis])) / fraction
     for axis, counts in asked.items():
-        # A copy answers a few questions for each of its points.
-        held = total if axis == _START else inside.sum() / fraction
-        room = 4 * max(slice_rows, held / len(counts))
+        # A copy answers a few questions for each of the points that it may hold.
+        room = 4 * max(slice_rows, held[axis] / parts[axis])
         layout.axis(axis).copies[:] = np.maximum(np.ceil(counts / room), 1)
     return layout
 
@@ -237,11 +268,14 @@ def _batch(bins, asks, x, x_high, y, y_high, amount, t, d) -> pa.RecordBatch:
 
 
 def _points(layout: _Layout, axis: int, slices, x, y, weight) -> pa.RecordBatch:
-    """Points in every copy of their slice."""
+    """Points in every copy of their slice, there in the part that their hash tells."""
     times = layout.axis(axis).copies[slices]
     at = np.repeat(np.arange(len(slices)), times)
     copy = np.arange(len(at)) - np.repeat(np.cumsum(times) - times, times)
-    return _batch(_bin(axis, slices[at], copy), False, x[at], 0, y[at], 0.0, weight[at], 0, 0.0)
+    parts = layout.parts[axis]
+    part = ((pd.util.hash_array(np.ascontiguousarray(x)) ^ pd.util.hash_array(np.ascontiguousarray(y))) % np.uint64(parts))
+    bins = _bin(axis, slices[at], copy * parts + part.astype(np.int64)[at])
+    return _batch(bins, False, x[at], 0, y[at], 0.0, weight[at], 0, 0.0)
 
 
 def _records(batches, layout: _Layout):
@@ -258,8 +292,10 @@ def _records(batches, layout: _Layout):
         lane = pd.util.hash_array(t) ^ pd.util.hash_array(d)
         for axis, slices, who, x, x_high, y, y_high, sign in _asks(t, d, layout):
             copies = layout.axis(axis).copies[slices].astype(np.uint64)
-            bins = _bin(axis, slices, (lane[who] % copies).astype(np.int64))
-            yield _batch(bins, True, x, x_high, y, y_high, sign, t[who], d[who])
+            copy = (lane[who] % copies).astype(np.int64)
+            for part in range(layout.parts[axis]):
+                bins = _bin(axis, slices, copy * layout.parts[axis] + part)
+                yield _batch(bins, True, x, x_high, y, y_high, sign, t[who], d[who])
 
 
 def _earlier_weight(points: DataFrame, layout: _Layout) -> DataFrame:

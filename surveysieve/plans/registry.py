@@ -13,19 +13,36 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from surveysieve.config import Flag
-from surveysieve.functions.columns import col_, flag, is_bound, require_columns
+from surveysieve.functions.columns import col_, flag, is_bound, require_columns, truth
 from surveysieve.operators import attempts, bursts, duplicates, geo_location, ip_location, row_flags, similarity
 
 
 @dataclass(frozen=True)
 class Setting:
-    """What a method may use: the responses, their key, the flag's name, lookup tables, all flags."""
+    """What a method may use: the responses as they stand, their key, the flag's name, lookup tables, all flags.
+
+    ``narrow`` gives columns of the input with the key, ``versions`` counts how often
+    earlier flags have written a column.
+    """
 
     df: DataFrame
     key: str
     flag_name: str
     lookups: Mapping[str, DataFrame] = field(default_factory=dict)
     flags: Sequence[Flag] = ()
+    narrow: Callable[[Sequence[str]], DataFrame] | None = None
+    versions: Mapping[str, int] = field(default_factory=dict)
+
+    def rows(self, *columns: str) -> DataFrame:
+        """Key and columns as they stand: from the input, unless an earlier flag wrote one of them."""
+        if self.narrow is not None and not any(self.versions.get(c) for c in columns):
+            return self.narrow(columns)
+        return self.df.select(*[col_(c) for c in dict.fromkeys([self.key, *columns])])
+
+    def identity(self, kind: str, columns: Sequence[str], *parts: Any) -> str:
+        """Equal for methods that make the same table of the same state of the columns."""
+        state = [(c, self.versions.get(c, 0)) for c in columns]
+        return f"__{kind}_" + hashlib.sha256(json.dumps([kind, state, *parts], default=str).encode()).hexdigest()[:12]
 
     def lookup(self, name: str) -> DataFrame:
         if name not in self.lookups:
@@ -70,16 +87,12 @@ def flag_columns(setting: Setting, method_name: str, parameters: Mapping[str, An
     return made if isinstance(made, Columns) else Columns([(setting.flag_name, flag(made))])
 
 
-def _identity(kind: str, *parts: Any) -> str:
-    return f"__{kind}_" + hashlib.sha256(json.dumps([kind, *parts], default=str).encode()).hexdigest()[:12]
-
-
 def _value_in_range(setting, column_name, lower_threshold, upper_threshold):
     return row_flags.value_in_range(column_name, lower_threshold, upper_threshold)
 
 
 def _custom_condition(setting, condition):
-    return row_flags.custom_condition(condition)
+    return truth(setting.df, condition, f"flag '{setting.flag_name}'")
 
 
 def _reverse_coded(setting, positive_columns, negative_columns, min_score, max_score, max_correlation=0):
@@ -94,16 +107,16 @@ def _suspicious_name(setting, column_first_name, column_last_name, min_word_leng
     return row_flags.suspicious_name(column_first_name, column_last_name, min_word_length)
 
 
-def _ip_location(setting, column_ip, target_region, flag_missing, region_level="country"):
+def _ip_location(setting, column_ip, target_region, flag_missing, region_level="country", ipv6="error"):
     if region_level not in ip_location.REGION_LEVELS:
         raise ValueError(f"region_level must be one of {sorted(ip_location.REGION_LEVELS)}, not '{region_level}'")
     require_columns(setting.df, [column_ip], f"flag '{setting.flag_name}'")
-    identity = _identity("ip", column_ip)
+    identity = setting.identity("ip", [column_ip], ipv6)
     region = ip_location.REGION_LEVELS[region_level]
 
     def features():
         ranges = setting.lookup("ip_ranges")
-        places = ip_location.ip_places(setting.df, setting.key, column_ip, ranges)
+        places = ip_location.ip_places(setting.rows(column_ip), setting.key, column_ip, ranges, ipv6=ipv6)
         return places.select(setting.key, F.struct(*ip_location.PLACE).alias(identity))
 
     place = {name: F.col(identity)[name] for name in ip_location.PLACE}
@@ -120,13 +133,12 @@ def _ip_location(setting, column_ip, target_region, flag_missing, region_level="
 
 def _latlong_location(setting, column_latitude, column_longitude, target_country, flag_missing):
     require_columns(setting.df, [column_latitude, column_longitude], f"flag '{setting.flag_name}'")
-    identity = _identity("country", column_latitude, column_longitude)
+    identity = setting.identity("country", [column_latitude, column_longitude])
 
     def features():
         polygons = setting.lookup("polygons")
-        return geo_location.countries(
-            setting.df, setting.key, column_latitude, column_longitude, polygons, name=identity
-        )
+        rows = setting.rows(column_latitude, column_longitude)
+        return geo_location.countries(rows, setting.key, column_latitude, column_longitude, polygons, name=identity)
 
     country = F.col(identity)
     return Columns(
@@ -151,10 +163,11 @@ def _multiple_attempts(
     used = [column_ip, column_success, *([column_terminate] if column_terminate is not None else [])]
     require_columns(setting.df, used, f"flag '{setting.flag_name}'")
     types, terminate = _attempts_together(setting, column_ip, column_success, attempt_type, column_terminate)
-    identity = _identity("attempts", column_ip, column_success, types, terminate)
+    read = [column_ip, column_success, *([terminate] if terminate is not None else [])]
+    identity = setting.identity("attempts", read, types)
 
     def features():
-        counts = attempts.attempt_counts(setting.df, setting.key, column_ip, column_success, types, terminate)
+        counts = attempts.attempt_counts(setting.rows(*read), setting.key, column_ip, column_success, types, terminate)
         return counts.select(setting.key, F.struct(*types).alias(identity))
 
     number = F.col(identity)[attempt_type]
@@ -169,20 +182,31 @@ def _multiple_attempts(
 
 
 def _attempts_together(setting, column_ip, column_success, attempt_type, column_terminate):
-    """Types and terminate column of all flags that count in the same networks, for one aggregate."""
+    """Types and terminate column of all attempt flags that count in the same networks, for one aggregate.
+
+    Each flag must be complete by itself: a type that depends on the terminate
+    column is not counted by that of another flag.
+    """
+    if column_terminate is None and attempt_type in attempts.NEED_TERMINATE:
+        raise ValueError(f"flag '{setting.flag_name}': attempt_type '{attempt_type}' needs column_terminate")
     alike = [
         f.parameters
         for f in setting.flags
-        if (f.parameters.get("column_ip"), f.parameters.get("column_success")) == (column_ip, column_success)
-        and f.parameters.get("column_terminate") in (column_terminate, None)
+        if f.method_name == "check_MultipleIPAttempts"
+        and (f.parameters.get("column_ip"), f.parameters.get("column_success")) == (column_ip, column_success)
     ]
-    stops = {f.parameters.get("column_terminate") for f in setting.flags} - {None}
-    if column_terminate is None and len(stops) == 1:
-        # Counts without a terminate column can join those with one.
-        (stop,) = stops
-        return _attempts_together(setting, column_ip, column_success, attempt_type, stop)
-    types = {attempt_type, *(p.get("attempt_type", "successful") for p in alike)}
-    return sorted(types), column_terminate
+    stops = {p.get("column_terminate") for p in alike} - {None}
+    terminate = column_terminate
+    if terminate is None and len(stops) == 1 and stops <= set(setting.df.columns):
+        # Counts that need no terminate column can join those with one.
+        (terminate,) = stops
+    types = {attempt_type}
+    for parameters in alike:
+        other = parameters.get("attempt_type", "successful")
+        stop = parameters.get("column_terminate")
+        if other in attempts.ATTEMPT_TYPES and (stop == terminate or (stop is None and other not in attempts.NEED_TERMINATE)):
+            types.add(other)
+    return sorted(types), terminate
 
 
 def _burst_responses(
@@ -193,6 +217,7 @@ def _burst_responses(
     max_duration_difference,
     unflag_start_time_difference=None,
     unflag_duration_difference=None,
+    start_time_format=None,
 ):
     require_columns(setting.df, [column_start_time, column_duration], f"flag '{setting.flag_name}'")
     radii = (
@@ -201,12 +226,13 @@ def _burst_responses(
         unflag_start_time_difference,
         unflag_duration_difference,
     )
-    identity = _identity("bursts", column_start_time, column_duration, *radii)
+    identity = setting.identity("bursts", [column_start_time, column_duration], *radii, start_time_format)
 
     def features():
         return bursts.burst_counts(
-            setting.df, setting.key, column_start_time, column_duration, *radii, name=identity
-        )
+            setting.rows(column_start_time, column_duration), setting.key, column_start_time, column_duration, *radii,
+            name=identity, start_time_format=start_time_format,
+        )
 
     number = F.col(identity)
     return Columns(
@@ -219,12 +245,12 @@ def _duplicated_text(
 ):
     columns = [list_of_columns] if isinstance(list_of_columns, str) else list(list_of_columns)
     require_columns(setting.df, columns, f"flag '{setting.flag_name}'")
-    identity = _identity("duplicates", columns, min_length, max_length, search_strategy)
+    identity = setting.identity("duplicates", columns, min_length, max_length, search_strategy)
     names = [f"{identity}_{i}" for i in range(len(columns))]
 
     def features():
         return duplicates.duplicated_text(
-            setting.df, setting.key, columns, min_length, max_length, search_strategy, names
+            setting.rows(*columns), setting.key, columns, min_length, max_length, search_strategy, names
         )
 
     made = [(setting.flag_name, duplicates.any_duplicate(names))]
@@ -241,11 +267,11 @@ def _similar_text(
     threshold=similarity.THRESHOLD,
 ):
     require_columns(setting.df, [column_name], f"flag '{setting.flag_name}'")
-    identity = _identity("similar", column_name, min_length, fuzz_func, threshold)
+    identity = setting.identity("similar", [column_name], min_length, fuzz_func, threshold)
 
     def features():
         return similarity.similar_answers(
-            setting.df, setting.key, column_name, min_length, fuzz_func, threshold,
+            setting.rows(column_name), setting.key, column_name, min_length, fuzz_func, threshold,
             count_name=identity, list_name=None,
         )
 
@@ -253,6 +279,18 @@ def _similar_text(
     return Columns([(f"FZ_COUNT_{column_name}", number), (setting.flag_name, number > 0)], identity, features)
 
 
+# Methods whose tables are read from the responses' columns that their parameters name.
+ACROSS_RESPONSES = frozenset(
+    {
+        "check_IPLocation",
+        "check_LatLongLocation",
+        "check_MultipleIPAttempts",
+        "check_BurstResponses",
+        "check_DuplicatedText",
+        "check_SimilarText",
+    }
+)
+
 # The method names configurations use.
 register_flag("check_ValueInRange", _value_in_range)
 register_flag("check_CustomCondition", _custom_condition)

@@ -4,28 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.errors import AnalysisException, ParseException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-from surveysieve.config import Rule
-
-DEFAULT_CLASS = "VALID"
 
+from surveysieve.config import DEFAULT_CLASS, Rule
+from surveysieve.functions.columns import truth
 
 def _condition(df: DataFrame, rule: Rule) -> Column:
-    """The rule as a Boolean column: numbers hold if not zero, texts if not empty."""
+    """The rule as a Boolean column."""
     if isinstance(rule.condition_expr, bool):
         return F.lit(rule.condition_expr)
-    try:
-        column = F.expr(str(rule.condition_expr))
-        kind = df.select(column).schema[0].dataType
-    except (AnalysisException, ParseException) as error:
-        raise ValueError(f"rule {rule.rule_num}: cannot use the condition {rule.condition_expr!r}") from error
-    if isinstance(kind, T.NumericType):
-        return column != 0
-    return column != "" if isinstance(kind, T.StringType) else column
+    return truth(df, rule.condition_expr, f"rule {rule.rule_num}")
 
 
 def classify(df: DataFrame, rules: Iterable[Rule], class_column: str, rule_column: str) -> DataFrame:
