@@ -1,4 +1,4 @@
-"""Country of a coordinate: a point-in-polygon join over grid cells."""
+"""Country of a coordinate: a point-in-polygon join over classified grid cells."""
 
 from __future__ import annotations
 
@@ -37,15 +37,52 @@ def _cells(banded: DataFrame, covered: DataFrame) -> DataFrame:
     return banded.select("cell_y").unionAll(covered.select("cell_y"))
 
 
+def classified_cells(banded: DataFrame, covered: DataFrame, size: float) -> DataFrame:
+    """What a point needs to know of each cell that a country may cover: near, parity, steps.
+
+    ``near`` are the border segments that reach the cell's longitudes within its
+    band. Of those wholly to the right only the number of crossings counts, which
+    a latitude alone decides: ``parity`` at the cell's southern edge, and the
+    latitudes ``steps`` where it changes on the way north. Inside the border both
+    are the same all over the cell, so cells without near segments are inside or
+    outside as a whole; the latter are left out.
+    """
+    # Cells overlap a little, so that rounding never parts a point from its segments.
+    slack = size * 1e-6
+    cell = ["country", "cell_y", "cell_x"]
+    west, east = F.col("cell_x") * size - slack, (F.col("cell_x") + 1) * size + slack
+    south, north = F.col("cell_y") * size - slack, (F.col("cell_y") + 1) * size + slack
+    low, high = F.least("x1", "x2"), F.greatest("x1", "x2")
+    placed = covered.join(banded, ["country", "cell_y"]).where(high >= west)
+    right = low >= east
+    crosses_south = right & ((F.col("y1") > south) != (F.col("y2") > south))
+    cells = placed.groupBy(*cell).agg(
+        F.collect_list(F.when(~right, F.struct("x1", "y1", "x2", "y2"))).alias("near"),
+        (F.count_if(crosses_south) % 2).alias("parity"),
+    )
+    steps = (
+        placed.where(right)
+        .select(*cell, F.explode(F.array("y1", "y2")).alias("y"))
+        .where((F.col("y") > south) & (F.col("y") <= north))
+        .groupBy(*cell, "y")
+        .agg(F.count("*").alias("n"))
+        .where("n % 2 = 1")
+        .groupBy(*cell)
+        .agg(F.collect_list("y").alias("steps"))
+    )
+    joined = cells.join(steps, cell, "left").withColumn("steps", F.coalesce("steps", F.array().cast("array<double>")))
+    return joined.where("parity = 1 OR size(near) > 0 OR size(steps) > 0")
+
+
 def locate_points(
     points: DataFrame, polygons: DataFrame, cell_degrees: float = CELL_DEGREES, small_rows: int = SMALL_ROWS
 ) -> DataFrame:
     """(lat, lon, name) of the distinct points strictly inside a polygon.
 
-    A point meets the polygons whose border passes its latitude band around its
-    longitude, and of those the border segments of that band to its right. It is
-    inside if it crosses an odd number of them and lies on none. Parity covers
-    holes and countries in several parts.
+    A point is inside if a line to the east crosses an odd number of border
+    segments and it lies on none. Parity covers holes and countries in several
+    parts. Cells are classified once; a point then meets the cells of its place,
+    and tests only the segments near it, none in a cell that is wholly inside.
     """
     first = F.coalesce(
         *[F.when(F.col("name") == c, F.lit(i)) for i, c in enumerate(FIRST_COUNTRIES)], F.lit(len(FIRST_COUNTRIES))
@@ -65,23 +102,19 @@ def locate_points(
         "lat", "lon", _cell(F.col("lat"), cell_degrees).alias("cell_y"), _cell(F.col("lon"), cell_degrees).alias("cell_x")
     )
     point = F.struct("lat", "lon")
-    candidates = join_lookup(placed, covered, ["cell_y", "cell_x"], point, small)
-    tested = join_lookup(candidates, banded, ["country", "cell_y"], point, small).where(
-        F.greatest("x1", "x2") >= F.col("lon")
-    )
-    x1, y1, x2, y2, px, py = (F.col(c) for c in ("x1", "y1", "x2", "y2", "lon", "lat"))
-    crossing_at = (x2 - x1) * (py - y1) / F.nullif(y2 - y1, F.lit(0.0)) + x1
-    crosses = ((y1 > py) != (y2 > py)) & (px < crossing_at)
-    touches = (
-        ((x2 - x1) * (py - y1) == (y2 - y1) * (px - x1))
-        & px.between(F.least(x1, x2), F.greatest(x1, x2))
-        & py.between(F.least(y1, y2), F.greatest(y1, y2))
-    )
-    inside = (
-        tested.groupBy("lat", "lon", "country")
-        .agg(F.count_if(F.coalesce(crosses, F.lit(False))).alias("crossings"), F.max(touches).alias("touches"))
-        .where("crossings % 2 = 1 AND NOT touches")
-    )
+    met = join_lookup(placed, classified_cells(banded, covered, cell_degrees), ["cell_y", "cell_x"], point, small)
+    px, py = F.col("lon"), F.col("lat")
+
+    def crosses(s: Column) -> Column:
+        crossing_at = (s.x2 - s.x1) * (py - s.y1) / F.nullif(s.y2 - s.y1, F.lit(0.0)) + s.x1
+        return F.coalesce(((s.y1 > py) != (s.y2 > py)) & (px < crossing_at), F.lit(False))
+
+    def touches(s: Column) -> Column:
+        on_line = (s.x2 - s.x1) * (py - s.y1) == (s.y2 - s.y1) * (px - s.x1)
+        return on_line & px.between(F.least(s.x1, s.x2), F.greatest(s.x1, s.x2)) & py.between(F.least(s.y1, s.y2), F.greatest(s.y1, s.y2))
+
+    crossings = F.col("parity") + F.size(F.filter("steps", lambda y: y <= py)) + F.size(F.filter("near", crosses))
+    inside = met.where((crossings % 2 == 1) & ~F.exists("near", touches))
     located = inside.groupBy("lat", "lon").agg(F.min("country").alias("country"))
     return join_lookup(located, numbers.select("country", "name"), ["country"], point, small).select("lat", "lon", "name")
 
