@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from surveysieve.config import Config
+from surveysieve.config import DEFAULT_CLASS, Config
 from surveysieve.functions.columns import any_of, col_, require_columns
 
 # Prefixes of class labels in co-occurrence tables.
@@ -126,34 +126,41 @@ def cooccurrence(
     )
 
 
+OTHER = "other"
+
+
+def configured_labels(config: Config, class_columns: Sequence[str], use_groups: bool = False) -> list[str]:
+    """Labels that a configuration can give: flags or groups, then the classes of its rules by class column.
+
+    People may enter other manual labels; these count under ``OTHER``.
+    """
+    names = config.group_names if use_groups else config.flag_names
+    classes = [*_configured_classes(config), OTHER]
+    return [*names, *(PREFIXES.get(c, "") + label for c in class_columns for label in classes)]
+
+
+def _configured_classes(config: Config) -> list[str]:
+    return sorted({rule.classification for rule in (*config.initial_rules, *config.final_rules)} | {DEFAULT_CLASS})
+
+
 def cooccurrence_matrix(
     table: DataFrame, config: Config, class_columns: Sequence[str], use_groups: bool = False
 ) -> DataFrame:
-    """The same as a square table with zeros: flags or groups first, then classes by label."""
+    """The same as a square table with zeros, over the labels of the configuration.
+
+    Classes that no rule gives are counted together, as ``OTHER`` of their column.
+    """
     require_columns(table, class_columns, "classification")
-    names = [c for c in (config.group_names if use_groups else config.flag_names) if c in table.columns]
-    labels = names + [
-        PREFIXES.get(c, "") + row[0]
-        for c in class_columns
-        for row in table.where(col_(c).isNotNull()).select(col_(c).cast("string")).distinct().orderBy(col_(c)).collect()
-    ]
-    active = _labels(config, table, class_columns, use_groups)
-    rows = table.select(
-        "n",
-        active.alias("__on"),
-        F.posexplode(F.array(*[F.lit(label) for label in labels])).alias("__row", "label"),
-    )
-    own = F.array_contains("__on", F.col("label"))
+    labels = configured_labels(config, class_columns, use_groups)
+    known = _configured_classes(config)
+    named = {c: F.when(col_(c).isNull() | col_(c).isin(known), col_(c)).otherwise(OTHER) for c in class_columns}
+    renamed = table.select(*[named[c].alias(c) if c in named else col_(c) for c in table.columns])
+    counts = cooccurrence(renamed, config, class_columns, use_groups)
+    rows = table.sparkSession.createDataFrame([(i, label) for i, label in enumerate(labels)], "__row int, label string")
+    cells = rows.join(counts.withColumnRenamed("label_a", "label"), "label", "left")
     return (
-        rows.groupBy("__row", "label")
-        .agg(
-            *[
-                F.coalesce(F.sum(F.when(own & F.array_contains("__on", F.lit(b)), F.col("n"))), F.lit(0))
-                .cast("long")
-                .alias(b)
-                for b in labels
-            ]
-        )
+        cells.groupBy("__row", "label")
+        .agg(*[F.coalesce(F.sum(F.when(F.col("label_b") == b, F.col("n"))), F.lit(0)).cast("long").alias(b) for b in labels])
         .orderBy("__row")
         .drop("__row")
     )

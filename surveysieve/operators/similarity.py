@@ -103,6 +103,21 @@ def similar_pairs(
     )
 
 
+def similar_members(
+    df: DataFrame, key: str, column_name: str, hot_rows: int = HOT_ROWS
+) -> DataFrame:
+    """(representative, response key) of every response: who stands for its text in ``similar_pairs``.
+
+    With this table the pairs tell all similar responses, at a size that grows with
+    the responses and not with the pairs of copies.
+    """
+    text = F.coalesce(col_(column_name).cast("string"), F.lit(""))
+    rows = df.select(col_(key).alias(key), text_key(text).alias("text_key"))
+    texts = rows.groupBy("text_key").agg(F.min(col_(key)).alias("representative"), F.count("*").alias("copies"))
+    found = join_per_key(rows, texts, ["text_key"], "copies", col_(key), hot_rows)
+    return found.select("representative", col_(key))
+
+
 def _meetings(texts: DataFrame, scorer: str, threshold: float, block_characters: int | None) -> DataFrame:
     """The texts under every pair of blocks (left, right) they take part in."""
     least = math.ceil(threshold)
