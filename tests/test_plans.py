@@ -198,10 +198,11 @@ def test_reports(flagged):
     counts = [tuple(r) for r in descriptives.classification_counts(flagged, "AUTOMATED_FLAG").collect()]
     assert counts == [("FRAUD", 2), ("VALID", 2), ("INCOMPLETE", 1)]
     matrix = descriptives.cooccurrence_matrix(table, config(), ["AUTOMATED_FLAG"], use_groups=True)
-    labels = ["FG_Z", "FG_A", "FG_I", "(auto) FRAUD", "(auto) INCOMPLETE", "(auto) VALID"]
+    classes = [f"(auto) {label}" for label in ("FRAUD", "INCOMPLETE", "TBD", "VALID", "other")]
+    labels = ["FG_Z", "FG_A", "FG_I", *classes]
     assert matrix.columns == ["label", *labels]
     rows = {r["label"]: tuple(r)[1:] for r in matrix.collect()}
-    assert rows["FG_Z"] == (2, 2, 0, 2, 0, 0) and rows["(auto) VALID"] == (0, 0, 0, 0, 0, 2)
+    assert rows["FG_Z"] == (2, 2, 0, 2, 0, 0, 0, 0) and rows["(auto) VALID"] == (0, 0, 0, 0, 0, 0, 2, 0)
     assert all(rows[a][labels.index(b)] == rows[b][labels.index(a)] for a in labels for b in labels)
     with pytest.raises(ValueError):
         descriptives.patterns(flagged, config(), ["GONE"])
@@ -235,7 +236,7 @@ def test_numbering_follows_the_file(spark, tmp_path):
 def test_csv_keeps_text(spark, tmp_path):
     rows = [(0, 'say "hi", then\nleave', 1.5, True), (1, None, None, False), (2, "\xa0", float("nan"), None)]
     df = spark.createDataFrame(rows, "response_id long, `t.x` string, d double, b boolean")
-    sinks.write_csv(df, str(tmp_path / "c"), "response_id", single_file=True)
+    sinks.write_csv(df, str(tmp_path / "c"), "response_id")
     back = responses.read_csv(spark, str(tmp_path / "c"), responses.review_schema(df), "response_id", multi_line=True)
     assert [tuple(r) for r in back.orderBy("response_id").collect()] == [
         (0, 'say "hi", then\nleave', 1.5, True), (1, None, None, False), (2, "\xa0", None, None),

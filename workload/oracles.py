@@ -240,6 +240,37 @@ FROM resp LEFT JOIN located ON lat = latitude AND lon = longitude"""
 
 # Flags together, labels and rules
 
+_NESTED = """nested AS (
+  SELECT start_ip, end_ip, lat, lon, country, state, city, 1 AS depth FROM ranges
+  UNION ALL SELECT start_ip + 1000, start_ip + 20000, lat, lon, concat('IN_', country), state, city, 2 FROM ranges
+  UNION ALL SELECT start_ip + 1500, start_ip + 1700, lat, lon, concat('DEEP_', country), state, city, 3 FROM ranges)"""
+ORACLES["ip_location_nested"] = _with(RESPONSES, _RANGES, _NESTED) + """
+SELECT response_id, lat AS "IPLatitude", lon AS "IPLongitude", country AS "IPCountry", state AS "IPState", city AS "IPCity"
+FROM resp JOIN nested ON ip_number BETWEEN start_ip AND end_ip
+QUALIFY row_number() OVER (PARTITION BY response_id ORDER BY depth DESC) = 1"""
+
+ORACLES["flag_rerun"] = """
+SELECT event_id AS response_id, value AS duration, coalesce(value <= 5, false) AS "F_Short", coalesce(value <= 5, false) AS "F_Same"
+FROM events"""
+# Texts of a flag have four or five letters, and only "false" is long enough to count as a repeated answer.
+ORACLES["flag_on_earlier_column"] = """
+WITH answers AS (SELECT doc_id, lower(trim(split_part(text, chr(10), 1), ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))) AS line FROM documents),
+first AS (SELECT doc_id, coalesce(length(line) >= 5 AND count(*) OVER (PARTITION BY line) > 1, false) AS dup FROM answers)
+SELECT doc_id AS response_id, dup AS "F_First", dup AS "F_Digit",
+  NOT dup AND count(*) OVER (PARTITION BY dup) > 1 AS "F_Again"
+FROM first"""
+ORACLES["flag_overwritten_count"] = _with(RESPONSES) + """
+SELECT response_id, count(success) OVER w >= 5 AS "F_One", count(success) OVER w >= 5 AS "F_Between",
+  count(terminate) OVER w >= 5 AS "F_Two", count(terminate) OVER w AS num_attempts_successful
+FROM resp WINDOW w AS (PARTITION BY net)"""
+ORACLES["burst_text_times"] = f"""WITH {RESPONSES},
+named AS (SELECT response_id, t // 1000000 * 1000000 AS t, duration FROM resp WHERE response_id % 11 != 0)
+SELECT a.response_id, count(*) - 1 AS burst_count
+FROM named a JOIN named b ON b.t BETWEEN a.t - 60000000 AND a.t + 60000000 AND abs(b.duration - a.duration) <= 1.0::DOUBLE
+GROUP BY a.response_id"""
+ORACLES["similar_members"] = """
+SELECT min(p_partkey) OVER (PARTITION BY coalesce(p_name, '')) AS representative, p_partkey FROM part"""
+
 ORACLES["flag_responses"] = _with(_FLAGGED) + f"SELECT {_FLAG_OUTPUT} FROM flagged"
 ORACLES["scan_flagged"] = _with(_FLAGGED) + f"""SELECT {_FLAG_OUTPUT.replace('"ActiveFlags", "ActiveFlagGroups"', "")}
   nullif("ActiveFlags", '') AS "ActiveFlags", nullif("ActiveFlagGroups", '') AS "ActiveFlagGroups" FROM flagged"""

@@ -185,6 +185,14 @@ _burst(
 )
 
 
+@query
+def burst_text_times(spark, sf_dir):
+    """Start times as text on a clock of 12 hours, some of them blank."""
+    text = "CASE WHEN response_id % 11 != 0 THEN date_format(start_ts, 'M/d/yyyy h:mm:ss a') ELSE ' ' END AS started"
+    rows = tables.responses(spark, sf_dir).selectExpr(KEY, text, "duration")
+    return bursts.burst_counts(rows, KEY, "started", "duration", 60, 1.0)
+
+
 def _duplicates(name: str, **parameters) -> None:
     def run(spark, sf_dir):
         flag = Flag(
@@ -214,6 +222,21 @@ def _ip_location(name: str, **parameters) -> None:
     QUERIES[name] = run
 
 
+@query
+def ip_location_nested(spark, sf_dir):
+    """Places by ranges that nest: the innermost one counts, and the outer one around it."""
+    outer = tables.ip_ranges(spark, sf_dir)
+    inner = outer.selectExpr(
+        "start_ip + 1000 AS start_ip", "start_ip + 20000 AS end_ip", "lat", "lon",
+        "concat('IN_', country) AS country", "state", "city",
+    )
+    innermost = inner.selectExpr(
+        "start_ip + 500 AS start_ip", "start_ip + 700 AS end_ip", "lat", "lon", "concat('DEEP_', country) AS country", "state", "city"
+    )
+    rows = tables.responses(spark, sf_dir).select(KEY, "ip")
+    return ip_location.ip_places(rows, KEY, "ip", outer.unionByName(inner).unionByName(innermost))
+
+
 _ip_location("ip_location_country", target_region="NATION_7", flag_missing=False)
 _ip_location("ip_location_state", target_region="STATE_2", flag_missing=False, region_level="state")
 _ip_location("ip_location_city_missing", target_region="CITY_7", flag_missing=True, region_level="city")
@@ -264,6 +287,46 @@ def flag_responses(spark, sf_dir):
     return _flagged(spark, sf_dir).select(KEY, *_FLAG_OUTPUT)
 
 
+def _flag(name: str, method: str, **parameters) -> Flag:
+    return Flag(name, method, None, parameters)
+
+
+@query
+def flag_rerun(spark, sf_dir):
+    """A flagged table flagged again: a condition takes the new value of an earlier flag, not the old one."""
+    old = tables.responses(spark, sf_dir).selectExpr(KEY, "duration", "duration > 5 AS F_Short")
+    flags = [
+        _flag("F_Short", "check_ValueInRange", column_name="duration", lower_threshold=float("-inf"), upper_threshold=5),
+        _flag("F_Same", "check_CustomCondition", condition="F_Short"),
+    ]
+    return flagging.apply_flags(old, flags, KEY)
+
+
+@query
+def flag_on_earlier_column(spark, sf_dir):
+    """A check across responses, and the character check, on columns that earlier flags made."""
+    answers = tables.answers(spark, sf_dir).select(KEY, "headline")
+    flags = [
+        _flag("F_First", "check_DuplicatedText", list_of_columns="headline", min_length=5, max_length=float("inf")),
+        _flag("F_Digit", "check_SuspiciousCharacter", list_of_columns=["F_First"], list_of_chars=["rue"]),
+        _flag("F_Again", "check_DuplicatedText", list_of_columns="F_Digit", min_length=5, max_length=float("inf")),
+    ]
+    return flagging.apply_flags(answers, flags, KEY).drop("headline")
+
+
+@query
+def flag_overwritten_count(spark, sf_dir):
+    """A count written by two flags: a condition between them sees the first one."""
+    attempts_of = {"column_ip": "ip", "column_success": "success", "num_attempts_lower": 5}
+    flags = [
+        _flag("F_One", "check_MultipleIPAttempts", **attempts_of),
+        _flag("F_Between", "check_CustomCondition", condition="num_attempts_successful >= 5"),
+        _flag("F_Two", "check_MultipleIPAttempts", **attempts_of | {"column_success": "terminate"}),
+    ]
+    flagged = flagging.apply_flags(tables.responses(spark, sf_dir), flags, KEY)
+    return flagged.select(KEY, "F_One", "F_Between", "F_Two", "num_attempts_successful")
+
+
 @query
 def flag_group_counts(spark, sf_dir):
     return _flagged(spark, sf_dir).select(KEY, "FG_Answers", "FG_Incomplete", "FG_Network", "FG_Speed")
@@ -342,15 +405,18 @@ def cooccurrence_groups(spark, sf_dir):
 
 @query
 def cooccurrence_matrix(spark, sf_dir):
-    """Square table of groups and the three classes, as rows (label_a, label_b, n) with zeros."""
+    """Square table of groups and the classes that occur, as rows (label_a, label_b, n) with zeros."""
     config = tables.config()
-    # Written once, since the class labels are looked up before the matrix is made.
     table = sinks.stage_table(descriptives.patterns(_final(spark, sf_dir), config, _CLASSES), "patterns")
     matrix = descriptives.cooccurrence_matrix(table, config, _CLASSES, use_groups=True)
     cells = F.array(
         *[F.struct(F.lit(c).alias("label_b"), col_(c).alias("n")) for c in matrix.columns if c != "label"]
     )
-    return matrix.select(F.col("label").alias("label_a"), F.inline(cells))
+    rows = matrix.select(F.col("label").alias("label_a"), F.inline(cells))
+    own = rows.where("label_a = label_b").where((F.col("n") > 0) | F.col("label_a").isin(config.group_names))
+    for side in ("label_a", "label_b"):
+        rows = rows.join(own.select(F.col("label_a").alias(side)), side, "left_semi")
+    return rows.select("label_a", "label_b", "n")
 
 
 # Similar texts
@@ -381,6 +447,12 @@ def similar_pairs_conversations(spark, sf_dir):
     return similarity.similar_pairs(turns, KEY, "text")
 
 
+@query
+def similar_members(spark, sf_dir):
+    """Who stands for each response in the pairs of similar texts."""
+    return similarity.similar_members(tables.read(spark, sf_dir, "part"), "p_partkey", "p_name")
+
+
 @query
 def similar_counts(spark, sf_dir):
     part = tables.read(spark, sf_dir, "part")
