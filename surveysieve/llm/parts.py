@@ -12,6 +12,10 @@ from surveysieve.llm.hashing import mixed
 _SPACES = np.zeros(256, dtype=bool)
 _SPACES[[9, 10, 11, 12, 13, 32]] = True
 
+_STOPS = np.zeros(256, dtype=bool)
+_STOPS[[ord("."), ord(",")]] = True
+_ALNUM = np.array([bytes([byte]).isalnum() for byte in range(256)])
+
 # Bytes that end a character of which one cannot tell here that it is no white space.
 _UNSURE = _SPACES.copy()
 _UNSURE[28:32] = True
@@ -23,12 +27,21 @@ LONG_PART = 64
 _SEEDS = np.array([0x9E3779B97F4A7C15, 0xD1B54A32D192ED03], dtype=np.uint64)
 
 
+def final_stops(data: np.ndarray) -> np.ndarray:
+    """Places of stops and commas between an ASCII letter or digit and white space, where a token always begins."""
+    places = np.flatnonzero(_STOPS[data])
+    places = places[(places > 0) & (places < len(data) - 1)]
+    return places[_ALNUM[data[places - 1]] & _SPACES[data[places + 1]]]
+
+
 def word_places(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Starts and ends of what ASCII white space separates."""
-    inside = np.zeros(len(data) + 2, dtype=np.int8)
+    """Starts and ends of what ASCII white space separates, final stops being parts of their own."""
+    inside = np.zeros(len(data) + 2, dtype=bool)
     inside[1:-1] = ~_SPACES[data]
-    steps = np.diff(inside)
-    return np.flatnonzero(steps == 1), np.flatnonzero(steps == -1)
+    begins, ends = inside[1:] & ~inside[:-1], inside[:-1] & ~inside[1:]
+    begins[(stops := final_stops(data))] = True
+    ends[stops] = True
+    return np.flatnonzero(begins), np.flatnonzero(ends)
 
 
 def chunk_places(data: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -52,6 +65,7 @@ def chunk_places(data: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.nd
         sure[wide] = ~doubt
     cut = np.zeros(n, dtype=bool)
     cut[1:] = _SPACES[data[1:]] & sure[:-1]
+    cut[final_stops(data)] = True
     cut[first[first < n]] = True
     starts = np.flatnonzero(cut)
     return starts, np.append(starts[1:], n)
@@ -85,8 +99,8 @@ class PartEncoder:
     """Encodes texts by their parts, each new part once, and keeps the parts' ids between calls.
 
     A text is cut where white space follows another character (``words``: at all
-    white space, which then counts for nothing): no token of the vocabularies used
-    here crosses such a place, and no part's tokens depend on its neighbours, so
+    white space, which then counts for nothing), and before a final stop or comma:
+    no token of the vocabularies used here crosses such a place, and no part's tokens depend on its neighbours, so
     the parts' ids in a row are the text's ids. Parts are told apart by two
     64-bit hashes. ``encode`` maps new parts to their ids, as little-endian bytes.
     Of the parts, those of the last ``limit`` new ones are kept, and those used
@@ -127,19 +141,18 @@ class PartEncoder:
             self._kept, self._older = {}, self._kept
         kept, older = self._kept, self._older
         ids = list(map(kept.get, keys))
-        absent = [place for place, own in enumerate(ids) if own is None]
-        new = []
-        for place in absent:
-            own = older.get(keys[place])
-            if own is None:
-                new.append(place)
-            else:
-                ids[place] = kept[keys[place]] = own
+        new = [place for place, own in enumerate(ids) if own is None]
+        if older and new:
+            for place in new:
+                if (own := older.get(keys[place])) is not None:
+                    ids[place] = kept[keys[place]] = own
+            new = [place for place in new if ids[place] is None]
         if new:
             whole = data.tobytes()
-            fresh = [whole[a:b] for a, b in zip(starts[new].tolist(), ends[new].tolist())]
-            for place, own in zip(new, self._encode(fresh), strict=True):
-                ids[place] = kept[keys[place]] = own
+            fresh = self._encode([whole[a:b] for a, b in zip(starts[new].tolist(), ends[new].tolist())])
+            kept.update(zip([keys[place] for place in new], fresh, strict=True))
+            for place, own in zip(new, fresh):
+                ids[place] = own
         return ids
 
 

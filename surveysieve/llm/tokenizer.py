@@ -53,7 +53,7 @@ class LibraryEncoder:
         if self.joint:
             return self._in_blocks(parts)
         # The text after a part that ends in white space, or a part without any, could change its tokens.
-        joinable = [part[:1].isspace() and not part.decode()[-1].isspace() for part in parts]
+        joinable = [part[:1].isspace() and (part[-1:].isalnum() or not part.decode()[-1].isspace()) for part in parts]
         together = iter(self._in_blocks([part for part, whether in zip(parts, joinable, strict=True) if whether]))
         apart = iter(self._apart([part for part, whether in zip(parts, joinable, strict=True) if not whether]))
         return [next(together if whether else apart) for whether in joinable]
