@@ -83,6 +83,54 @@ def token_set_score(a: str, b: str) -> float:
     return max(scores)
 
 
+@dataclass(frozen=True)
+class Tokens:
+    """A prepared form with its set of tokens and their characters, taken apart once."""
+
+    form: str
+    tokens: frozenset[str]
+    characters: int
+
+    @classmethod
+    def of(cls, form: str) -> Tokens:
+        tokens = frozenset(form.split())
+        return cls(form, tokens, sum(map(len, tokens)))
+
+
+def token_score(scorer: str, a: Tokens, b: Tokens, least: int) -> int:
+    """The score of two forms by their tokens, if it is at least ``least``; else some lower number.
+
+    What the lengths alone tell is computed first; the common subsequence is only
+    looked for where it could raise the score to ``least`` or more.
+    """
+    best = 0.0
+    if a.tokens and b.tokens:
+        shared = a.tokens & b.tokens
+        if shared and len(shared) in (len(a.tokens), len(b.tokens)):
+            return 100
+        common, joint = sum(map(len, shared)), 1 if shared else 0
+        shared_length = common + max(len(shared) - 1, 0)
+        own_a = a.characters - common + len(a.tokens) - len(shared) - 1
+        own_b = b.characters - common + len(b.tokens) - len(shared) - 1
+        length_a, length_b = shared_length + joint + own_a, shared_length + joint + own_b
+        if shared:
+            best = max(
+                _from_distance(joint + own_a, shared_length + length_a),
+                _from_distance(joint + own_b, shared_length + length_b),
+            )
+        bound = _from_distance(abs(own_a - own_b), length_a + length_b)
+        if bound > best and int(bound) >= least:
+            text_a, text_b = (" ".join(sorted(tokens - shared)) for tokens in (a.tokens, b.tokens))
+            edits = own_a + own_b - 2 * lcs_lengths(text_a, pack([text_b]))[0]
+            best = max(best, _from_distance(edits, length_a + length_b))
+    if scorer == "token_ratio":
+        total = len(a.form) + len(b.form)
+        bound = percent(min(len(a.form), len(b.form)), total)
+        if bound > best and int(bound) >= least:
+            best = max(best, percent(lcs_lengths(a.form, pack([b.form]))[0], total))
+    return int(best)
+
+
 def _from_distance(distance: int, total: int) -> float:
     return 100 - 100 * distance / total if total else 100.0
 

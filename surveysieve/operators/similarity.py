@@ -21,11 +21,12 @@ from surveysieve.functions.similarity_scores import (
     PLAIN_SCORERS,
     SCORERS,
     Pack,
+    Tokens,
     character_counts,
     lcs_lengths,
     pack,
     percent,
-    score,
+    token_score,
 )
 from surveysieve.functions.text import sorted_tokens, strip, text_key
 from surveysieve.operators.skew import HOT_ROWS, join_per_key, task_partitions
@@ -273,10 +274,13 @@ def _plain_matches(left, right, within, scorer, least):
 
 
 def _token_matches(left, right, within, scorer, least):
-    for i, (form, is_long) in enumerate(zip(left["form"], left["long"], strict=True)):
-        for j in range(i + 1 if within else 0, len(right)):
-            if is_long or right["long"].iat[j]:
-                value = int(score(scorer, form, right["form"].iat[j]))
+    others = [Tokens.of(form) for form in right["form"]]
+    long = right["long"].to_list()
+    own = others if within else [Tokens.of(form) for form in left["form"]]
+    for i, (text, is_long) in enumerate(zip(own, left["long"].to_list(), strict=True)):
+        for j in range(i + 1 if within else 0, len(others)):
+            if is_long or long[j]:
+                value = token_score(scorer, text, others[j], least)
                 if value >= least:
                     yield i, j, value
 

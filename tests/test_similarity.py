@@ -8,6 +8,7 @@ import pytest
 from surveysieve.functions.similarity_scores import (
     PLAIN_SCORERS,
     SCORERS,
+    TOKEN_SET_SCORERS,
     character_counts,
     lcs_lengths,
     pack,
@@ -139,3 +140,17 @@ def test_text_keys_and_limits(spark):
 
 def test_plain_scorers_are_scorers():
     assert set(PLAIN_SCORERS) < set(SCORERS)
+
+
+def test_token_scores_within_bounds_lose_nothing():
+
+    from surveysieve.functions.similarity_scores import Tokens, token_score
+
+    generator = random.Random(12)
+    forms = [" ".join(sorted(generator.choices(["ab", "abc", "b", "cd", "acd", "dcba", "x"], k=generator.randrange(6)))) for _ in range(70)]
+    for scorer in TOKEN_SET_SCORERS:
+        for least in (1, 50, 80, 100):
+            for a in forms:
+                for b in forms:
+                    exact, found = int(score(scorer, a, b)), token_score(scorer, Tokens.of(a), Tokens.of(b), least)
+                    assert found == exact if exact >= least else found < least
