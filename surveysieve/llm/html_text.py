@@ -229,8 +229,8 @@ def item_scores(page: Page, weights: dict[str, float]) -> list[float]:
             each = default_score(item.kind)
         if item.words:
             if item.dropped:
-                # Left out anyway, so inside the main element it should not end the run.
-                scores.append(0.0 if item.main == "in" else item.words * min(each, -0.5))
+                # Left out anyway, so it should hardly end a run, and not at all inside the main element.
+                scores.append(0.0 if item.main == "in" else max(-1.0, 0.02 * item.words * min(each, -0.5)))
             else:
                 scores.append(item.words * (each + MAIN_BONUS[item.main]))
         else:
