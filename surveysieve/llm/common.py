@@ -46,6 +46,14 @@ def unpacked(df: DataFrame, like: DataFrame) -> DataFrame:
     return df.select(*columns)
 
 
+def sampled(df: DataFrame, most: int, *by: str) -> DataFrame:
+    """About ``most`` rows, those whose hashes of some columns are small; all rows if there are fewer."""
+    total = df.count()
+    if total <= most:
+        return df
+    return df.where(F.pmod(F.xxhash64(*by), F.lit(2**31)) < int(2**31 * most / total))
+
+
 def run_folder(spark: SparkSession, name: str) -> str:
     """A new folder's place among the files that all executors share."""
     return f"{shared_folder(spark).rstrip('/')}/surveysieve-{name}-{uuid.uuid4().hex}"

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from surveysieve.llm.common import pick, slices, texts_of
+from surveysieve.llm.common import pick, sampled, slices, texts_of
 
 # Statistics of a text
 
@@ -175,14 +175,14 @@ def fold(doc_id: Column) -> Column:
 def train(docs: DataFrame, labels: DataFrame, label: str = "quality", most_rows: int = 20_000) -> Forest:
     """Fits the trees to labelled documents outside the held-out fold.
 
-    At most ``most_rows`` of them are used, those with the smallest hashes of
-    their ids; their statistics are computed by tasks, and only these figures
+    About ``most_rows`` of them are used at most, those with the smallest hashes
+    of their ids; their statistics are computed by tasks, and only these figures
     come to the driver. Rows without an id or a label are left out, a null text is
     empty, and repeated rows count as often as they occur.
     """
     known = pick(labels, "doc_id", label).withColumnRenamed(label, "label").where("doc_id IS NOT NULL AND label IS NOT NULL")
-    chosen = known.where(fold(F.col("doc_id")) != 0).orderBy(F.xxhash64("doc_id"), "label").limit(most_rows)
-    # At most most_rows narrow rows.
+    chosen = sampled(known.where(fold(F.col("doc_id")) != 0), most_rows, "doc_id")
+    # About most_rows narrow rows at most.
     rows = pick(docs, "doc_id", "text").join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "label")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -197,12 +197,14 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", most_rows:
             )
 
     sample = rows.mapInArrow(run, "doc_id long, label int, found array<double>")
-    # Repeated ids in docs could make more rows than were chosen.
-    sample = sample.orderBy(F.xxhash64("doc_id", "found"), "label").limit(most_rows).toArrow()
+    sample = sample.toArrow()
     if not sample.num_rows:
         return fit(np.zeros((0, len(NAMES))), np.zeros(0))
     figures = sample["found"].combine_chunks().flatten().to_numpy().reshape(sample.num_rows, -1)
-    return fit(figures, (sample["label"].to_numpy() > 0).astype(np.float64))
+    labels = (sample["label"].to_numpy() > 0).astype(np.float64)
+    # In an order of their own, so that sums do not depend on that of the tasks.
+    order = np.lexsort((labels, *figures.T))
+    return fit(figures[order], labels[order])
 
 
 def score(docs: DataFrame, forest: Forest, threshold: float = 0.3) -> DataFrame:
