@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from surveysieve.functions.columns import col_
 from surveysieve.operators.skew import HOT_ROWS, SMALL_ROWS, is_small, join_lookup, join_per_key
 from surveysieve.sources.polygons import polygon_edges
+from surveysieve.sources.sinks import stage_table
 
 # Countries tried first where borders overlap.
 FIRST_COUNTRIES = ("United States of America", "China", "India")
@@ -33,10 +34,6 @@ def _grid(edges: DataFrame, country: list[str], size: float) -> tuple[DataFrame,
     return banded, extent.select(*country, "cell_y", _span(F.col("west"), F.col("east"), size).alias("cell_x"))
 
 
-def _cells(banded: DataFrame, covered: DataFrame) -> DataFrame:
-    return banded.select("cell_y").unionAll(covered.select("cell_y"))
-
-
 def classified_cells(banded: DataFrame, covered: DataFrame, size: float) -> DataFrame:
     """What a point needs to know of each cell that a country may cover: near, parity, steps.
 
@@ -81,7 +78,7 @@ def locate_points(
 
     A point is inside if a line to the east crosses an odd number of border
     segments and it lies on none. Parity covers holes and countries in several
-    parts. Cells are classified once; a point then meets the cells of its place,
+    parts. Cells are classified once, in a staged table; a point then meets the cells of its place,
     and tests only the segments near it, none in a cell that is wholly inside.
     """
     first = F.coalesce(
@@ -95,14 +92,14 @@ def locate_points(
         .distinct()
         .select("name", "iso3", F.row_number().over(Window.orderBy(first, "name", "iso3")).alias("country"))
     )
-    edges = polygon_edges(polygons)
-    small = is_small(_cells(*_grid(edges, ["name", "iso3"], cell_degrees)), small_rows)
-    banded, covered = _grid(edges.join(numbers, ["name", "iso3"]), ["country"], cell_degrees)
+    edges = polygon_edges(polygons).join(numbers, ["name", "iso3"])
+    cells = stage_table(classified_cells(*_grid(edges, ["country"], cell_degrees), cell_degrees), "cells")
+    small = is_small(cells.select(F.explode_outer("near")), small_rows)
     placed = points.select(
         "lat", "lon", _cell(F.col("lat"), cell_degrees).alias("cell_y"), _cell(F.col("lon"), cell_degrees).alias("cell_x")
     )
     point = F.struct("lat", "lon")
-    met = join_lookup(placed, classified_cells(banded, covered, cell_degrees), ["cell_y", "cell_x"], point, small)
+    met = join_lookup(placed, cells, ["cell_y", "cell_x"], point, small)
     px, py = F.col("lon"), F.col("lat")
 
     def crosses(s: Column) -> Column:
