@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from surveysieve.llm.common import pick, slices, texts_of
+from surveysieve.llm.common import pick, sampled, slices, texts_of
 
 # Elements of HTML by their part in a page.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -273,11 +273,11 @@ def main_text(source: str, weights: dict[str, float]) -> str:
 def learn(pages: DataFrame, most_pages: int = 2_000) -> dict[str, float]:
     """Scores learned from pages that mark their main element (article or main) themselves.
 
-    At most ``most_pages`` pages are used, those with the smallest hashes of
-    their ids and sources. Only counts per kind of tag or word come to the driver,
-    at most ``MOST_KINDS``, the most frequent first.
+    About ``most_pages`` pages are used at most, those with the smallest hashes
+    of their ids and addresses. Only counts per kind of tag or word come to the
+    driver, at most ``MOST_KINDS``, the most frequent first.
     """
-    sample = pick(pages, "page_id", "html").orderBy(F.xxhash64("page_id", "html")).limit(most_pages)
+    sample = sampled(pick(pages, "page_id", "html", "url"), most_pages, "page_id", "url").select("page_id", "html")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: Counter = Counter()
