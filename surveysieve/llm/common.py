@@ -17,7 +17,7 @@ from surveysieve.sources.sinks import shared_folder
 
 # Bytes of text handled at once inside a task, a row counting as ROW_BYTES at least:
 # bounds its memory whatever the size of Spark's batches.
-SLICE_BYTES = 6_000_000
+SLICE_BYTES = 4_000_000
 ROW_BYTES = 200
 
 
@@ -87,8 +87,9 @@ def texts_of(column: pa.Array) -> list[str]:
 
 
 def on_worker(key: tuple, make: Callable):
-    """An object kept for all tasks of a Python worker."""
+    """An object kept for the tasks of a Python worker, until one of another key is asked for."""
     if key not in _KEPT:
+        _KEPT.clear()
         _KEPT[key] = make()
     return _KEPT[key]
 

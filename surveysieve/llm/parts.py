@@ -107,7 +107,7 @@ class PartEncoder:
     since the ``limit`` before.
     """
 
-    def __init__(self, encode: Callable[[list[bytes]], list[bytes]], words: bool = False, limit: int = 700_000):
+    def __init__(self, encode: Callable[[list[bytes]], list[bytes]], words: bool = False, limit: int = 600_000):
         self._encode, self._words, self._limit = encode, words, limit
         self._kept: dict[bytes, bytes] = {}
         self._older: dict[bytes, bytes] = {}
