@@ -68,15 +68,15 @@ def open_filesystem(folder: str) -> tuple[pafs.FileSystem, str]:
     return pafs.LocalFileSystem(), os.path.abspath(folder)
 
 
-def slices(batches: Iterable[pa.RecordBatch], text: int = 1) -> Iterator[pa.RecordBatch]:
-    """Cuts batches where the texts of a column reach ``SLICE_BYTES``; a longer text stands alone."""
+def slices(batches: Iterable[pa.RecordBatch], text: int = 1, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """Cuts batches where the texts of a column reach ``most`` bytes; a longer text stands alone."""
     for batch in batches:
         lengths = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
         ends = np.cumsum(lengths + ROW_BYTES)
         start = 0
         while start < batch.num_rows:
             so_far = int(ends[start - 1]) if start else 0
-            end = max(start + 1, int(np.searchsorted(ends, so_far + SLICE_BYTES, side="right")))
+            end = max(start + 1, int(np.searchsorted(ends, so_far + most, side="right")))
             yield batch.slice(start, end - start)
             start = end
 

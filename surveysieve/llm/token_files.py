@@ -19,6 +19,9 @@ from surveysieve.sources.sinks import stage_table
 # Sequences in a record batch: what a reader maps at once.
 BATCH_SEQUENCES = 256
 
+# Bytes of text that a writing task encodes at once.
+WRITE_BYTES = 6_000_000
+
 _DOCS = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64())])
 
 
@@ -162,7 +165,7 @@ def write(docs: DataFrame, tokenizer: str, folder: str, width: int = 2048, end_i
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         context, writer = TaskContext.get(), None
         name = f"tokens-{context.partitionId():05d}-{context.taskAttemptId()}"
-        for batch in slices(batches):
+        for batch in slices(batches, most=WRITE_BYTES):
             for doc_id, ids in zip(
                 batch.column(0).to_pylist(), spaced_ids(tokenizer, texts_of(batch.column(1))), strict=True
             ):

@@ -95,7 +95,7 @@ class LibraryEncoder:
 
 def spaced_ids(path: str, texts: list[str]) -> list[bytes]:
     """Ids of whole texts as little-endian unsigned 32-bit integers, for byte-level vocabularies."""
-    encoder = on_worker(("spaced", path), lambda: PartEncoder(LibraryEncoder(path, b"")))
+    encoder = on_worker(("spaced", path), lambda: PartEncoder(LibraryEncoder(path, b""), limit=700_000))
     return encoder([text.encode() for text in texts])
 
 
