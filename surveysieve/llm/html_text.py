@@ -8,6 +8,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -33,7 +34,10 @@ BESIDE_WORDS = frozenset(
     "tags toolbar widget complementary contentinfo search alert".split()
 )
 MAIN = frozenset(["article", "main"])
+# Words in class, id or role of an element whose header belongs to the text.
 MAIN_WORDS = frozenset(["main", "article", "articlebody"])
+# A mark of the main element counts if it holds this share of the page's words that are not dropped.
+LEAST_SHARE = 0.25
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
@@ -63,16 +67,37 @@ class _Open:
     aside: bool
     main: bool
     hidden: bool = False
+    mark: Span | None = None
+
+
+@dataclass
+class Span:
+    """Items of an element: from ``start`` up to ``end``, or to the page's end."""
+
+    start: int
+    end: int | None = None
 
 
 @dataclass
 class Page:
     items: list[Item] = field(default_factory=list)
     has_main: bool = False
+    # Share of the words that are not dropped inside the main element.
+    share: float = 0.0
+
+
+def _marks_main(name: str, attributes: str) -> bool:
+    """Whether an element says that it is the page's main one: by its name, or by the whole role or property."""
+    if name in MAIN:
+        return True
+    for key, value in _ATTRIBUTE.findall(attributes):
+        if (key.lower(), value.strip("\"' \n\t").lower()) in (("role", "main"), ("itemprop", "articlebody")):
+            return True
+    return False
 
 
 def _role(name: str, attributes: str) -> tuple[bool, bool, bool]:
-    """Whether an element stands beside the text, holds the main text, or is not shown."""
+    """Whether an element stands beside the text, may have a header that belongs to it, or is not shown."""
     said: set[str] = set()
     if attributes:
         for _, value in _ATTRIBUTE.findall(attributes):
@@ -88,6 +113,7 @@ def _role(name: str, attributes: str) -> tuple[bool, bool, bool]:
 def read_page(source: str) -> Page:
     """Tags and words of a page in order. Faulty nesting is taken as browsers do, roughly."""
     page, stack, block, place = Page(), [], 0, 0
+    marks: list[Span] = []
     aside = main = hidden = 0
     end = len(source)
 
@@ -96,13 +122,17 @@ def read_page(source: str) -> Page:
         is_aside, is_main, is_hidden = _role(name, attributes)
         if name == "header":
             is_aside = not main
-        page.has_main |= is_main and not aside
-        stack.append(_Open(name, is_aside, is_main, is_hidden))
+        mark = None
+        if _marks_main(name, attributes) and not (is_aside or aside):
+            marks.append(mark := Span(len(page.items)))
+        stack.append(_Open(name, is_aside, is_main, is_hidden, mark))
         aside, main, hidden = aside + is_aside, main + is_main, hidden + is_hidden
 
     def pop() -> _Open:
         nonlocal aside, main, hidden
         top = stack.pop()
+        if top.mark:
+            top.mark.end = len(page.items)
         aside, main, hidden = aside - top.aside, main - top.main, hidden - top.hidden
         return top
 
@@ -110,8 +140,7 @@ def read_page(source: str) -> Page:
         if start < stop and (text := html.unescape(source[start:stop])):
             count = len(text.split())
             kind = "words:" + ("aside" if aside else "hidden" if hidden else _nearest(stack))
-            where = "in" if main else "out"
-            page.items.append(Item(kind, count, text, block, bool(aside or hidden), where))
+            page.items.append(Item(kind, count, text, block, bool(aside or hidden)))
 
     while place < end:
         opening = source.find("<", place)
@@ -153,15 +182,37 @@ def read_page(source: str) -> Page:
                 pop()
         if name in VOID:
             space = " " if name == "br" else ""
-            page.items.append(Item("tag:" + name, 0, space, block, bool(aside or hidden), "in" if main else "out"))
+            page.items.append(Item("tag:" + name, 0, space, block, bool(aside or hidden)))
         elif name not in RAW:
-            page.items.append(Item(("end:" if match[1] else "tag:") + name, main="in" if main else "out"))
-    if not page.has_main:
-        for item in page.items:
-            item.main = "none"
+            page.items.append(Item(("end:" if match[1] else "tag:") + name))
+    _place_main(page, marks)
     return page
 
 
+def _place_main(page: Page, marks: Sequence[Span]) -> None:
+    """Tells items inside of the marks that hold enough of the page's words from those outside."""
+    items = page.items
+    up_to = [0, *accumulate(0 if item.dropped else item.words for item in items)]
+    inside, total = 0, max(up_to[-1], 1)
+    found, last = [], 0
+    for mark in marks:
+        end = len(items) if mark.end is None else mark.end
+        # Marks inside another one are in its span already.
+        if up_to[end] - up_to[mark.start] >= LEAST_SHARE * total and end > last:
+            found.append((max(mark.start, last), end))
+            last = end
+    if not found:
+        return
+    page.has_main = True
+    for item in items:
+        item.main = "out"
+    for start, end in found:
+        inside += up_to[end] - up_to[start]
+        for item in items[start:end]:
+            item.main = "in"
+    page.share = inside / total
+
+
 def _nearest(stack: Sequence[_Open]) -> str:
     """Kind of the block that holds the words, and whether they belong to a link."""
     link = ""
@@ -217,8 +268,15 @@ def weights_from(counts: dict[tuple[str, bool], int]) -> dict[str, float]:
     return scores
 
 
-# Added to words inside or outside of a page's main element, if it marks one.
-MAIN_BONUS = {"in": 2.0, "out": -2.0, "none": 0.0}
+def _with_bonus(score: float, where: str, share: float) -> float:
+    """A word's score inside or outside of a page's main element, which holds a share of the page's words.
+
+    The bonus is as large as the share, so it never exceeds the learned range; outside
+    it only lessens a score, so a longer text there still wins.
+    """
+    if where == "in":
+        return score + share
+    return score - share * abs(score) if where == "out" else score
 
 
 def item_scores(page: Page, weights: dict[str, float]) -> list[float]:
@@ -232,7 +290,7 @@ def item_scores(page: Page, weights: dict[str, float]) -> list[float]:
                 # Left out anyway, so it should hardly end a run, and not at all inside the main element.
                 scores.append(0.0 if item.main == "in" else max(-1.0, 0.02 * item.words * min(each, -0.5)))
             else:
-                scores.append(item.words * (each + MAIN_BONUS[item.main]))
+                scores.append(item.words * _with_bonus(each, item.main, page.share))
         else:
             scores.append(0.0 if item.kind.startswith("words:") else each)
     return scores

@@ -105,6 +105,34 @@ def test_learned_scores():
     assert html_text.main_text(WHOLE, scores).startswith("A title")
 
 
+BODY = "<p>" + "</p><p>".join(["some words of a long text here"] * 20) + "</p>"
+
+
+@pytest.mark.parametrize(
+    "beside",
+    [
+        '<h1 class="article-title">A title</h1>',
+        '<div class="article-header"><p>Who wrote this</p></div>',
+        '<span class="main-date">on a day in May</span>',
+        '<article class="card"><p>Read this other text next</p></article>',
+        '<div role="main"><p>Skip to what you want</p></div>',
+    ],
+)
+def test_a_small_mark_of_the_main_element_does_not_hide_the_text(beside):
+    learned = {"words:p": 0.4, "words:h1": 0.4, "tag:p": -0.05, "end:p": -0.05}
+    for weights in ({}, learned):
+        for page in (f'{beside}<div class="post">{BODY}</div>', f'<div class="post">{BODY}</div>{beside}'):
+            assert html_text.main_text(page, weights).count("some words of a long text here") == 20
+    assert not html_text.counts_of(f'{beside}<div class="post">{BODY}</div>')
+
+
+def test_exact_marks_of_the_main_element():
+    for mark in ('role="main"', "itemprop=articleBody", "role='Main' class='x'"):
+        assert html_text.counts_of(f"<div {mark}>{BODY}</div>")["words:p", True] == 140
+    for mark in ('class="main"', 'id="article"', 'role="main-part"', 'itemprop="article"'):
+        assert not html_text.counts_of(f"<div {mark}>{BODY}</div>")
+
+
 @pytest.mark.parametrize("source", ["", "<", "<p", "<!--", "<script>", "</p></p>", "<p><b>x<p>y</b>z", "<a href='x>y", "<div></span></div>", "&am &amp &#xZZ;"])
 def test_broken_sources(source):
     html_text.main_text(source, {})
