@@ -5,6 +5,7 @@ from __future__ import annotations
 import html
 import math
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
@@ -26,7 +27,7 @@ BLOCKS = frozenset(
     "footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre search section summary "
     "table tbody td tfoot th thead tr ul".split()
 )
-# Words in class, id or role that mark what stands beside an article.
+# Words that whole names in class, id, role or itemprop consist of where they mark what stands beside an article.
 BESIDE_WORDS = frozenset(
     "ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments consent cookie cookies "
     "disqus footer gdpr masthead menu menubar modal nav navbar navigation newsletter notice notices overlay pagination pager "
@@ -38,6 +39,8 @@ MAIN = frozenset(["article", "main"])
 MAIN_WORDS = frozenset(["main", "article", "articlebody"])
 # A mark of the main element counts if it holds this share of the page's words that are not dropped.
 LEAST_SHARE = 0.25
+# An element with this share of the page's shown words is not dropped for its names.
+LARGE_SHARE = 0.5
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
@@ -67,7 +70,7 @@ class _Open:
     aside: bool
     main: bool
     hidden: bool = False
-    mark: Span | None = None
+    span: Span | None = None
 
 
 @dataclass
@@ -75,6 +78,9 @@ class Span:
     """Items of an element: from ``start`` up to ``end``, or to the page's end."""
 
     start: int
+    # Whether the element marks the main text, and whether its names say that it stands beside the text.
+    main: bool
+    beside: bool
     end: int | None = None
 
 
@@ -96,6 +102,18 @@ def _marks_main(name: str, attributes: str) -> bool:
     return False
 
 
+def _named_beside(name: str, attributes: str) -> bool:
+    """Whether one whole name of an element consists of words for what stands beside the text only."""
+    if name in ("html", "body"):
+        return False
+    for _, value in _ATTRIBUTE.findall(attributes):
+        for each in value.split():
+            said = [word.lower() for word in _NAME.findall(each)]
+            if said and BESIDE_WORDS.issuperset(said):
+                return True
+    return False
+
+
 def _role(name: str, attributes: str) -> tuple[bool, bool, bool]:
     """Whether an element stands beside the text, may have a header that belongs to it, or is not shown."""
     said: set[str] = set()
@@ -103,17 +121,14 @@ def _role(name: str, attributes: str) -> tuple[bool, bool, bool]:
         for _, value in _ATTRIBUTE.findall(attributes):
             said.update(word.lower() for word in _NAME.findall(value))
     hidden = name in UNSHOWN or bool(attributes and _HIDDEN.search(attributes))
-    main = name in MAIN or (name not in ("html", "body") and bool(said & MAIN_WORDS) and not said & BESIDE_WORDS)
-    aside = name in BESIDE or (name not in ("html", "body") and not main and bool(said & BESIDE_WORDS))
-    if name == "article" and said & BESIDE_WORDS:
-        aside, main = True, False
-    return aside, main, hidden
+    main = name in MAIN or (name not in ("html", "body") and bool(said & MAIN_WORDS))
+    return name in BESIDE, main, hidden
 
 
 def read_page(source: str) -> Page:
     """Tags and words of a page in order. Faulty nesting is taken as browsers do, roughly."""
     page, stack, block, place = Page(), [], 0, 0
-    marks: list[Span] = []
+    spans: list[Span] = []
     aside = main = hidden = 0
     end = len(source)
 
@@ -122,17 +137,19 @@ def read_page(source: str) -> Page:
         is_aside, is_main, is_hidden = _role(name, attributes)
         if name == "header":
             is_aside = not main
-        mark = None
-        if _marks_main(name, attributes) and not (is_aside or aside):
-            marks.append(mark := Span(len(page.items)))
-        stack.append(_Open(name, is_aside, is_main, is_hidden, mark))
+        span = None
+        if not (is_aside or aside):
+            marks, beside = _marks_main(name, attributes), name != "header" and _named_beside(name, attributes)
+            if marks or beside:
+                spans.append(span := Span(len(page.items), marks, beside))
+        stack.append(_Open(name, is_aside, is_main, is_hidden, span))
         aside, main, hidden = aside + is_aside, main + is_main, hidden + is_hidden
 
     def pop() -> _Open:
         nonlocal aside, main, hidden
         top = stack.pop()
-        if top.mark:
-            top.mark.end = len(page.items)
+        if top.span:
+            top.span.end = len(page.items)
         aside, main, hidden = aside - top.aside, main - top.main, hidden - top.hidden
         return top
 
@@ -185,22 +202,49 @@ def read_page(source: str) -> Page:
             page.items.append(Item("tag:" + name, 0, space, block, bool(aside or hidden)))
         elif name not in RAW:
             page.items.append(Item(("end:" if match[1] else "tag:") + name))
-    _place_main(page, marks)
+    for span in spans:
+        if span.end is None:
+            span.end = len(page.items)
+    _drop_beside(page, spans)
+    _place_main(page, [span for span in spans if span.main])
     return page
 
 
+def _shown(page: Page) -> list[int]:
+    """Words that are not dropped before each item, and in all."""
+    return [0, *accumulate(0 if item.dropped else item.words for item in page.items)]
+
+
+def _drop_beside(page: Page, spans: Sequence[Span]) -> None:
+    """Drops elements that are named as beside the text, unless they hold the main element or much of the page."""
+    up_to = _shown(page)
+    # In order, as spans are.
+    mains = [span.start for span in spans if span.main and not span.beside]
+    last = 0
+    for span in spans:
+        if not span.beside or span.end <= last or up_to[span.end] - up_to[span.start] >= LARGE_SHARE * max(up_to[-1], 1):
+            continue
+        place = bisect_left(mains, span.start)
+        if place < len(mains) and mains[place] < span.end:
+            continue
+        last = span.end
+        for item in page.items[span.start : span.end]:
+            if item.kind.startswith("words:"):
+                item.kind, item.dropped = "words:aside", True
+            elif item.kind[4:] in VOID:
+                item.dropped = True
+
+
 def _place_main(page: Page, marks: Sequence[Span]) -> None:
     """Tells items inside of the marks that hold enough of the page's words from those outside."""
-    items = page.items
-    up_to = [0, *accumulate(0 if item.dropped else item.words for item in items)]
+    items, up_to = page.items, _shown(page)
     inside, total = 0, max(up_to[-1], 1)
     found, last = [], 0
     for mark in marks:
-        end = len(items) if mark.end is None else mark.end
         # Marks inside another one are in its span already.
-        if up_to[end] - up_to[mark.start] >= LEAST_SHARE * total and end > last:
-            found.append((max(mark.start, last), end))
-            last = end
+        if up_to[mark.end] - up_to[mark.start] >= LEAST_SHARE * total and mark.end > last:
+            found.append((max(mark.start, last), mark.end))
+            last = mark.end
     if not found:
         return
     page.has_main = True

@@ -133,6 +133,31 @@ def test_exact_marks_of_the_main_element():
         assert not html_text.counts_of(f"<div {mark}>{BODY}</div>")
 
 
+@pytest.mark.parametrize(
+    "page",
+    [
+        '<div class="wrapper with-sidebar">{}</div>',
+        '<div class="content has-comments"><div class="post">{}</div></div>',
+        '<div id="page-no-nav">{}</div>',
+        '<article class="post category-social tag-cookies">{}</article>',
+        '<article class="post social">{}</article>',
+        '<div class="widget"><article>{}</article></div>',
+        '<div class="modal"><div class="post">{}</div></div>',
+    ],
+)
+def test_names_around_the_text_do_not_drop_it(page):
+    menu = '<div class="menu"><p>Home and other places</p></div><p id="cookie-notice">We use cookies</p><div class="ad"><p>Buy</p></div>'
+    for source in (menu + page.format(BODY), page.format(menu + BODY), page.format(BODY) + menu):
+        text = html_text.main_text(source, {})
+        assert text.split() == ["some", "words", "of", "a", "long", "text", "here"] * 20
+
+
+def test_a_short_main_element_is_not_dropped_for_what_is_around_it():
+    page = '<div class="related"><article><p>short but the main one</p></article></div><div class="related"><p>other</p></div>'
+    items = html_text.read_page(f"<div>{BODY}</div>{page}").items
+    assert [(item.text, item.dropped) for item in items if item.words][-2:] == [("short but the main one", False), ("other", True)]
+
+
 @pytest.mark.parametrize("source", ["", "<", "<p", "<!--", "<script>", "</p></p>", "<p><b>x<p>y</b>z", "<a href='x>y", "<div></span></div>", "&am &amp &#xZZ;"])
 def test_broken_sources(source):
     html_text.main_text(source, {})
