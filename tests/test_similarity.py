@@ -3,6 +3,7 @@
 import itertools
 import random
 
+import numpy as np
 import pytest
 
 from surveysieve.functions.similarity_scores import (
@@ -16,6 +17,7 @@ from surveysieve.functions.similarity_scores import (
     score,
 )
 from surveysieve.operators.similarity import similar_answers, similar_pairs
+from workload import queries
 
 WORDS = "apple beta gamma delta app le bet ga mma red green blue été".split()
 
@@ -128,6 +130,41 @@ def test_similar_answers(spark, scorer, threshold):
     assert got_pairs == expected
 
 
+def lcs_of_long(a, b):
+    """The same by whole rows, for long texts."""
+    row, codes = np.zeros(len(b) + 1, dtype=np.int64), np.array([ord(y) for y in b])
+    for x in a:
+        row[1:] = np.maximum.accumulate(np.maximum(row[1:], row[:-1] + (codes == ord(x))))
+    return int(row[-1])
+
+
+def test_pairs_of_whole_conversations(spark, tmp_path):
+    rng = random.Random(8)
+    assert all(lcs_of_long(a, b) == lcs(a, b) for a, b in [("abcbdab", "bdcaba"), ("", "x"), ("été red", "tér ed")])
+    # Long texts that differ only far behind their beginnings, of lengths that span classes.
+    texts = []
+    for length in (40, 120, 250):
+        base = rng.choices(WORDS, k=length)
+        texts += [" ".join(base[:-kept] + rng.choices(WORDS, k=kept)) for kept in range(1, length, length // 8)]
+    texts += [" ".join(rng.choices(["xylo", "quiz", "jump", "vow"], k=200)), texts[0], texts[-1], "ok", "", None, "x" * 900]
+    rows = [(i // 5, i % 5, "user", text) for i, text in enumerate(texts)]
+    spark.createDataFrame(rows, "conv_id long, turn int, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    held = {}
+    for i, text in enumerate(texts):
+        held.setdefault(text or "", []).append(i // 5 * 100_000 + i % 5)
+    expected = {(ids[0], ids[0]): (100, len(ids), len(ids)) for text, ids in held.items() if len(ids) > 1 and len(text) >= 7}
+    for a, b in itertools.combinations(held, 2):
+        sorted_a, sorted_b = (" ".join(sorted(t.split())) for t in (a, b))
+        total = len(sorted_a) + len(sorted_b)
+        value = 200 * lcs_of_long(sorted_a, sorted_b) // total if total else 100
+        if value >= 65 and (len(a) >= 7 or len(b) >= 7):
+            (first, n), (second, m) = sorted((held[t][0], len(held[t])) for t in (a, b))
+            expected[first, second] = (value, n, m)
+    assert len(expected) > 30
+    found = queries.similar_pairs_conversations(spark, str(tmp_path)).collect()
+    assert {(r.id_i, r.id_j): (r.score, r.copies_i, r.copies_j) for r in found} == expected and len(found) == len(expected)
+
+
 def test_text_keys_and_limits(spark):
     df = spark.createDataFrame([("R_b", "the same answer"), ("R_a", "the same answers"), ("R_c", None)], "id string, t string")
     rows = {r.id: r.similar_list for r in similar_answers(df, "id", "t").collect()}
