@@ -42,17 +42,44 @@ def tokens_of(found: np.ndarray) -> np.ndarray:
     return (least >> np.uint64(32)).astype("<u4") if len(found) else np.zeros(TOKENS, dtype="<u4")
 
 
-def root_tokens(similarity: float, target: float, seed: int = SEED) -> list[list[int]]:
-    """Sampled tokens of each run: runs are added until a pair at the threshold shares one with probability ``target``.
+def lost(similarity: float, n_tokens: int, depth: int) -> float:
+    """Probability that a pair of this similarity meets in no node, from ``n_tokens`` root tokens and through ``depth`` splits.
 
-    Each token is sampled with probability 1 / (similarity * TOKENS), so a similar
+    Of all tokens of a pair some number agree. Given that number, a path goes on in
+    a child with the share of agreeing tokens, and ends if no child goes on. A pair
+    that agrees in too few tokens for a comparison of sketches is lost as well.
+    """
+    total = 0.0
+    for agreeing in range(TOKENS + 1):
+        chance = math.comb(TOKENS, agreeing) * similarity**agreeing * (1 - similarity) ** (TOKENS - agreeing)
+        if agreeing < least_matches(similarity):
+            total += chance
+            continue
+        ended = 0.0
+        for _ in range(depth):
+            ended = (1 - agreeing / TOKENS * (1 - ended)) ** CHILDREN
+        shared = range(max(0, n_tokens + agreeing - TOKENS), min(agreeing, n_tokens) + 1)
+        ways = (math.comb(agreeing, k) * math.comb(TOKENS - agreeing, n_tokens - k) * ended**k for k in shared)
+        total += chance * sum(ways) / math.comb(TOKENS, n_tokens)
+    return total
+
+
+def needed_tokens(similarity: float, target: float, depth: int) -> int | None:
+    """The least number of root tokens by which a pair is found with probability ``target``, if there is one."""
+    return next((n for n in range(1, TOKENS + 1) if lost(similarity, n, depth) <= 1 - target), None)
+
+
+def root_tokens(similarity: float, target: float, seed: int = SEED, depth: int = DEPTH) -> list[list[int]]:
+    """Sampled tokens of each run: runs are added until a pair at the threshold is found with probability ``target``.
+
+    That counts what ``depth`` splits of nodes may lose. Each token is sampled with probability 1 / (similarity * TOKENS), so a similar
     pair can expect to share one per run; a token counts in the first run that
     samples it.
     """
     generator, runs, seen = random.Random(seed), [], set()
-    needed = math.ceil(math.log(1 - target) / math.log(1 - similarity))
-    if needed > TOKENS:
-        raise ValueError(f"a recall of {target} at similarity {similarity} needs {needed} of {TOKENS} tokens")
+    needed = needed_tokens(similarity, target, depth)
+    if needed is None:
+        raise ValueError(f"a recall of {target} at similarity {similarity} needs more than {TOKENS} tokens")
     while len(seen) < needed:
         run = [i for i in range(TOKENS) if generator.random() < 1 / (similarity * TOKENS) and i not in seen]
         seen.update(run)
@@ -143,9 +170,12 @@ def candidates(distinct: DataFrame, similarity: float, target: float, small: int
     Sets are split by sampled tokens until a node holds at most ``small`` of them;
     these are compared by their sketches. Of each node only links that connect its
     alike sets are returned, one fewer than there are sets. Nodes that are still
-    large at ``depth`` are compared block by block.
+    large at ``depth`` are compared block by block. Where so many splits lose too
+    many pairs for ``target``, there are fewer.
     """
-    rows = _root_nodes(distinct, root_tokens(similarity, target))
+    while depth and needed_tokens(similarity, target, depth) is None:
+        depth -= 1
+    rows = _root_nodes(distinct, root_tokens(similarity, target, depth=depth))
     found = None
     for level in range(depth + 1):
         sizes = rows.groupBy("node").agg(F.count("*").alias("size"))
@@ -431,7 +461,8 @@ def similarity_classes(
 
     Documents are compared by the set of all runs of ``size`` words between ASCII
     white space. Equal sets are merged first. Runs of chosen paths are repeated
-    until a pair at the threshold meets with probability ``target``. What they
+    until a pair at the threshold meets with probability ``target``, also where
+    nodes are split. What they
     find is connected to rough components, inside which whole texts are compared
     exactly, so a link can only be lost if no path connects its two sides.
 

@@ -173,6 +173,23 @@ def test_runs_reach_the_recall():
         jaccard.root_tokens(0.05, 0.999999)
 
 
+def test_splitting_is_counted_in_the_recall():
+    generator = np.random.default_rng(21)
+
+    def met(agrees, depth):
+        return not depth or any(agrees[token] and met(agrees, depth - 1) for token in generator.integers(0, jaccard.TOKENS, jaccard.CHILDREN))
+
+    for target, depth in ((0.99, jaccard.DEPTH), (0.95, 2)):
+        tokens = [token for run in jaccard.root_tokens(0.8, target, depth=depth) for token in run]
+        pairs = generator.random((20_000, jaccard.TOKENS)) < 0.8
+        missed = sum(not any(agrees[token] and met(agrees, depth) for token in tokens) for agrees in pairs) / len(pairs)
+        assert missed <= (1 - target) * 1.1
+        assert abs(missed - jaccard.lost(0.8, len(tokens), depth)) < 0.003
+    assert sum(map(len, jaccard.root_tokens(0.8, 0.999999))) >= 15
+    # Where too many splits lose the pairs, fewer are made.
+    assert jaccard.needed_tokens(0.5, 0.999999, jaccard.DEPTH) is None and jaccard.needed_tokens(0.5, 0.999999, 0) == 20
+
+
 def test_components(spark):
     generator = np.random.default_rng(11)
     pairs = [(int(a), int(b)) for a, b in generator.integers(0, 400, size=(300, 2))] + [(1_000, 1_000 + i) for i in range(50)]
