@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from surveysieve.llm.common import pick, sampled, slices, texts_of
+from surveysieve.sources.sinks import stage_table
 
 # Statistics of a text
 
@@ -115,6 +116,7 @@ def fit(
     rate: float = 0.15,
     penalty: float = 1.0,
     least: float = 1.0,
+    weights: np.ndarray | None = None,
 ) -> Forest:
     """Boosted trees for the logistic loss, split on histograms of at most ``bins`` bins per statistic.
 
@@ -122,15 +124,17 @@ def fit(
     once, and each node takes the split of the greatest gain; a node without a
     gain sends all rows to its first child. ``penalty`` shrinks leaves, ``least`` is
     the least curvature on either side of a split. With labels of one kind only,
-    or none, all scores are their share (a half without any).
+    or none, all scores are their share (a half without any). ``weights`` tell how
+    often each row counts, once by default.
     """
     n_nodes, n_leaves = 2**depth - 1, 2**depth
-    share = labels.mean() if len(labels) else 0.5
+    weights = np.ones(len(labels), dtype=np.int64) if weights is None else weights
+    share = (labels * weights).sum() / weights.sum() if len(labels) else 0.5
     base = float(np.log(max(share, 1e-6) / max(1 - share, 1e-6)))
     if len(labels) == 0 or labels.min() == labels.max():
         return Forest(base, np.zeros((1, n_nodes), dtype=np.int64), np.zeros((1, n_nodes)), np.zeros((1, n_leaves)))
     n, n_features = rows.shape
-    edges = [np.unique(np.quantile(rows[:, f], np.linspace(0, 1, bins + 1)[1:-1])) for f in range(n_features)]
+    edges = [np.unique(_quantiles(rows[:, f], weights, np.linspace(0, 1, bins + 1)[1:-1])) for f in range(n_features)]
     binned = np.stack([np.searchsorted(edges[f], rows[:, f]) for f in range(n_features)], axis=1)
     cells = binned + np.arange(n_features) * bins
     features = np.zeros((trees, n_nodes), dtype=np.int64)
@@ -139,7 +143,7 @@ def fit(
     margin = np.full(n, base)
     for tree in range(trees):
         chance = 1 / (1 + np.exp(-margin))
-        gradient, curvature = chance - labels, chance * (1 - chance)
+        gradient, curvature = (chance - labels) * weights, chance * (1 - chance) * weights
         node = np.zeros(n, dtype=np.int64)
         for level in range(depth):
             first, width = 2**level - 1, 2**level
@@ -164,6 +168,17 @@ def fit(
     return Forest(base, features, limits, values)
 
 
+def _quantiles(values: np.ndarray, weights: np.ndarray, shares: np.ndarray) -> np.ndarray:
+    """Quantiles of the values, each of them taken as often as its weight says."""
+    if (weights == 1).all():
+        return np.quantile(values, shares)
+    order = np.argsort(values, kind="stable")
+    values, ends = values[order], weights[order].cumsum()
+    places = shares * (ends[-1] - 1)
+    low, high = (values[np.searchsorted(ends, at, side="right")] for at in (np.floor(places), np.ceil(places)))
+    return low + (high - low) * (places - np.floor(places))
+
+
 # On Spark
 
 
@@ -178,12 +193,15 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", most_rows:
     About ``most_rows`` of them are used at most, those with the smallest hashes
     of their ids; their statistics are computed by tasks, and only these figures
     come to the driver. Rows without an id or a label are left out, a null text is
-    empty, and repeated rows count as often as they occur.
+    empty, and repeated rows count as often as they occur, but are combined. If
+    documents share an id and differ, so that there are more figures than twice
+    ``most_rows``, about so many of them are used, those with the smallest hashes are used.
     """
     known = pick(labels, "doc_id", label).withColumnRenamed(label, "label").where("doc_id IS NOT NULL AND label IS NOT NULL")
-    chosen = sampled(known.where(fold(F.col("doc_id")) != 0), most_rows, "doc_id")
-    # About most_rows narrow rows at most.
-    rows = pick(docs, "doc_id", "text").join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "label")
+    trained = known.where(fold(F.col("doc_id")) != 0).select("doc_id", (F.col("label") > 0).cast("int").alias("label"))
+    chosen = sampled(trained.groupBy("doc_id", "label").agg(F.count("*").alias("n")), most_rows, "doc_id")
+    # About most_rows narrow rows at most: two for an id at most.
+    rows = pick(docs, "doc_id", "text").join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "label", "n")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
@@ -191,20 +209,22 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", most_rows:
             yield pa.RecordBatch.from_pydict(
                 {
                     "doc_id": batch.column(0),
-                    "label": batch.column(2).cast(pa.int32()),
+                    "label": batch.column(2),
+                    "n": batch.column(3),
                     "found": pa.array(found, pa.list_(pa.float64())),
                 }
             )
 
-    sample = rows.mapInArrow(run, "doc_id long, label int, found array<double>")
-    sample = sample.toArrow()
+    figures = rows.mapInArrow(run, "doc_id long, label int, n long, found array<double>")
+    combined = stage_table(figures.groupBy("doc_id", "label", "found").agg(F.sum("n").alias("n")), "quality-figures")
+    sample = sampled(combined, 2 * most_rows, "doc_id", "found").toArrow()
     if not sample.num_rows:
         return fit(np.zeros((0, len(NAMES))), np.zeros(0))
     figures = sample["found"].combine_chunks().flatten().to_numpy().reshape(sample.num_rows, -1)
-    labels = (sample["label"].to_numpy() > 0).astype(np.float64)
+    labels, weights = sample["label"].to_numpy().astype(np.float64), sample["n"].to_numpy()
     # In an order of their own, so that sums do not depend on that of the tasks.
-    order = np.lexsort((labels, *figures.T))
-    return fit(figures[order], labels[order])
+    order = np.lexsort((weights, labels, *figures.T))
+    return fit(figures[order], labels[order], weights=weights[order])
 
 
 def score(docs: DataFrame, forest: Forest, threshold: float = 0.3) -> DataFrame:

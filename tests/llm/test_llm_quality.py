@@ -116,6 +116,28 @@ def test_sample_is_bounded(spark):
     quality.train(docs, labels, most_rows=50)
 
 
+def test_weights_equal_repeated_rows():
+    generator = np.random.default_rng(5)
+    rows, weights = generator.normal(size=(200, 4)), generator.integers(1, 6, size=200)
+    labels = (rows[:, 0] + generator.normal(size=200) > 0).astype(float)
+    one = quality.fit(rows, labels, trees=5, weights=weights)
+    other = quality.fit(np.repeat(rows, weights, axis=0), np.repeat(labels, weights), trees=5)
+    assert np.array_equal(one.features, other.features)
+    assert np.allclose(one.limits, other.limits) and np.allclose(one.values, other.values) and one.base == pytest.approx(other.base)
+
+
+@pytest.mark.parametrize("differ", [False, True])
+def test_repeated_ids_do_not_come_to_the_driver_one_by_one(spark, monkeypatch, differ):
+    came, fit = [], quality.fit
+    monkeypatch.setattr(quality, "fit", lambda rows, labels, **given: came.append((len(rows), given["weights"].sum())) or fit(rows, labels, **given))
+    often = next(i for i in range(1_000, 1_100) if zlib.crc32(str(i).encode()) % 5)
+    docs = documents(spark, [(i, f"text {i} " * (1 + i % 9)) for i in range(60)] + [(often, "word " * (i * differ + 1)) for i in range(200)])
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)] + [(often, 1)] * 100, "doc_id long, quality int")
+    quality.train(docs, labels, most_rows=50)
+    (n_rows, total), = came
+    assert n_rows <= 130 and total > (1_000 if differ else 20_000)
+
+
 # The pipeline
 
 
