@@ -14,9 +14,14 @@ from pyspark.sql import functions as F
 
 from surveysieve.llm.common import pick, slices, texts_of
 from surveysieve.llm.hashing import mixed, word_hashes
+from surveysieve.operators.skew import join_per_key
 from surveysieve.sources.sinks import stage_table
 
 BITS = 256
+# Fingerprints of a prefix that are compared with each other in one task.
+GROUP = 1_000
+
+
 def fingerprint(text: str, bits: int = BITS) -> np.ndarray:
     """Bits of a text, packed into bytes.
 
@@ -160,7 +165,9 @@ def _bit_range(number: int, n_blocks: int, bits: int) -> tuple[int, int]:
     return number * digits // n_blocks, (number + 1) * digits // n_blocks
 
 
-def near_pairs(hashed: DataFrame, radius: int, bits: int = BITS, key_blocks: int = 1) -> tuple[DataFrame, DataFrame]:
+def near_pairs(
+    hashed: DataFrame, radius: int, bits: int = BITS, key_blocks: int = 1, group: int = GROUP
+) -> tuple[DataFrame, DataFrame]:
     """All pairs of distinct fingerprints within a Hamming radius, and who has each fingerprint.
 
     ``hashed`` is (doc_id, fingerprint). Returns pairs (fingerprint_a,
@@ -171,7 +178,9 @@ def near_pairs(hashed: DataFrame, radius: int, bits: int = BITS, key_blocks: int
     a table with these blocks in front, whose equal prefixes are compared, so no
     pair is missed. More ``key_blocks`` make more tables with longer, rarer
     prefixes: choose them so that prefixes have more bits than the logarithm of
-    the number of fingerprints. Null fingerprints are left out.
+    the number of fingerprints. Fingerprints that share a prefix are cut into blocks
+    of about ``group``, and each pair of blocks meets on its own. Null fingerprints
+    are left out.
     """
     members = pick(hashed, "doc_id", "fingerprint").where("fingerprint IS NOT NULL")
     distinct = members.select("fingerprint").distinct()
@@ -188,11 +197,23 @@ def near_pairs(hashed: DataFrame, radius: int, bits: int = BITS, key_blocks: int
         for number, blocks in enumerate(combinations(range(n_blocks), key_blocks))
     ]
     rows = distinct.select("fingerprint", F.explode(F.array(*tables)).alias("at")).select("fingerprint", "at.*")
-    a, b = rows.alias("a"), rows.alias("b")
-    met = a.join(b, ["table", "prefix"]).where("a.fingerprint < b.fingerprint")
+    rows = stage_table(rows, "prefixes")
+    sizes = rows.groupBy("table", "prefix").agg(F.count("*").alias("size")).where("size > 1")
+    # A prefix that only one fingerprint has needs no partner.
+    sized = join_per_key(rows, sizes, ["table", "prefix"], "size", F.col("fingerprint"))
+    blocks = F.ceil(F.col("size") / group).cast("int")
+    blocked = sized.select("table", "prefix", "fingerprint", blocks.alias("blocks")).select(
+        "*", F.pmod(F.xxhash64("fingerprint"), F.col("blocks")).cast("int").alias("own")
+    )
+    met = blocked.select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    # The smaller block first; inside one block each pair once, across two each pair in either order.
+    keys = ["table", "prefix", "low", "high"]
+    met = met.select("table", "prefix", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "fingerprint")
+    a, b = met.where("own = low").alias("a"), met.where("own = high").alias("b")
+    met = a.join(b, keys).where("low < high OR a.fingerprint < b.fingerprint")
     pairs = met.select(
-        F.col("a.fingerprint").alias("fingerprint_a"),
-        F.col("b.fingerprint").alias("fingerprint_b"),
+        F.least("a.fingerprint", "b.fingerprint").alias("fingerprint_a"),
+        F.greatest("a.fingerprint", "b.fingerprint").alias("fingerprint_b"),
         _distance(F.col("a.fingerprint"), F.col("b.fingerprint"), bits).alias("distance"),
     )
     return pairs.where(F.col("distance") <= radius).distinct(), members

@@ -298,3 +298,14 @@ def test_pairs_within_the_radius(spark, radius, key_blocks):
     assert members.count() == 301
     with pytest.raises(ValueError):
         simhash.near_pairs(members, 70, 64)
+
+
+def test_a_shared_prefix_is_compared_in_blocks(spark):
+    generator = np.random.default_rng(9)
+    # Near copies that all share three quarters of their bits.
+    rows = [(i, bytes(6).hex() + generator.integers(0, 256, size=2, dtype=np.uint8).tobytes().hex()) for i in range(200)]
+    distinct = sorted({fp for _, fp in rows})
+    expected = {(a, b) for a, b in combinations(distinct, 2) if (int(a, 16) ^ int(b, 16)).bit_count() <= 3}
+    pairs, _ = simhash.near_pairs(spark.createDataFrame(rows, "doc_id long, fingerprint string"), 3, 64, group=30)
+    found = pairs.collect()
+    assert {(r.fingerprint_a, r.fingerprint_b) for r in found} == expected and len(found) == len(expected)
