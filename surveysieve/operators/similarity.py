@@ -10,6 +10,7 @@ shared characters skips hopeless pairs, and the rest is scored.
 from __future__ import annotations
 
 import math
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -37,6 +38,8 @@ SCORER = "token_sort_ratio"
 THRESHOLD = 65
 
 BLOCK_CHARACTERS = 131_072
+# So that the matches of two blocks fit a task even if all of their texts are short and alike.
+BLOCK_TEXTS = 1_024
 _CLASSES_IN_REACH = 4
 # Texts per pack, and how many of them must be asked for to score the whole pack at once.
 _PACK, _WORTH_A_PACK = 64, 8
@@ -172,8 +175,9 @@ def _blocks(classed: DataFrame, block_characters: int | None) -> pd.DataFrame:
         return pd.DataFrame(columns=_PLAN)
     parallel = classed.sparkSession.sparkContext.defaultParallelism
     room = block_characters or int(min(BLOCK_CHARACTERS, max(2_048, sizes["characters"].sum() / parallel)))
-    # Blocks hold about ``room`` characters; a text that is longer has one of its own.
-    sizes["blocks"] = np.minimum(np.ceil(sizes["characters"] / room), sizes["texts"]).astype("int64")
+    # Blocks hold about ``room`` characters and ``BLOCK_TEXTS`` texts at most; a text that is longer has one of its own.
+    wanted = np.maximum(np.ceil(sizes["characters"] / room), np.ceil(sizes["texts"] / BLOCK_TEXTS))
+    sizes["blocks"] = np.minimum(wanted, sizes["texts"]).astype("int64")
     sizes["first_block"] = sizes["blocks"].cumsum() - sizes["blocks"]
     numbers = sizes["class"].to_numpy()
     low = np.searchsorted(numbers, numbers - _CLASSES_IN_REACH, side="left")
@@ -188,11 +192,11 @@ def _matches(group: pd.DataFrame, scorer: str, least: int):
     within = bool(len(group)) and group["left"].iat[0] == group["right"].iat[0]
     left = group[group["is_left"]].reset_index(drop=True)
     right = left if within else group[~group["is_left"]].reset_index(drop=True)
-    found = []
+    found = iter(())
     if len(left) and len(right):
         match = _plain_matches if scorer in PLAIN_SCORERS else _token_matches
-        found = list(match(left, right, within, scorer, least))
-    i, j, value = np.array(found, dtype=np.int64).reshape(-1, 3).T
+        found = match(left, right, within, scorer, least)
+    i, j, value = np.fromiter(chain.from_iterable(found), dtype=np.int64).reshape(-1, 3).T
     return left, right, i, j, value
 
 

@@ -16,6 +16,7 @@ from surveysieve.functions.similarity_scores import (
     percent,
     score,
 )
+from surveysieve.operators import similarity
 from surveysieve.operators.similarity import similar_answers, similar_pairs
 from workload import queries
 
@@ -165,6 +166,12 @@ def test_pairs_of_whole_conversations(spark, tmp_path):
     assert {(r.id_i, r.id_j): (r.score, r.copies_i, r.copies_j) for r in found} == expected and len(found) == len(expected)
 
 
+def test_blocks_of_short_texts_are_bounded(spark):
+    short = spark.range(5_000).selectExpr("0 AS class", "cast(100000 + id AS string) AS form")
+    plan = similarity._blocks(short, similarity.BLOCK_CHARACTERS)
+    assert plan["blocks"].tolist() == [5] and plan["to_block"].tolist() == [4]
+
+
 def test_text_keys_and_limits(spark):
     df = spark.createDataFrame([("R_b", "the same answer"), ("R_a", "the same answers"), ("R_c", None)], "id string, t string")
     rows = {r.id: r.similar_list for r in similar_answers(df, "id", "t").collect()}
