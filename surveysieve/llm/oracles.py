@@ -70,3 +70,45 @@ SELECT doc_id, first_value(doc_id) OVER best AS keep_id, count(*) OVER (PARTITIO
 FROM plain
 WINDOW best AS (PARTITION BY content ORDER BY n_chars DESC, doc_id NULLS LAST)
 """
+
+# The nearest entry and its distance are kept as one number, distance * 64 + entry.
+_MOVED_CODEBOOK = """
+near{n} AS (
+    SELECT r, p, min(list_sum([(z[1] - z[2]) * (z[1] - z[2]) FOR z IN list_zip(v, c)]) * 64 + e)::BIGINT AS best
+    FROM parts JOIN book{m} USING (p) GROUP BY r, p
+),
+sums{n} AS (
+    SELECT p, best % 64 AS e, place, sum(v[place])::BIGINT AS s, count(*) AS n
+    FROM near{n} JOIN parts USING (r, p), generate_series(1, len(v)) AS places(place) GROUP BY ALL
+),
+moved{n} AS (SELECT p, e, list((s - ((s % n) + n) % n) // n ORDER BY place) AS c FROM sums{n} GROUP BY p, e),
+book{n} AS (SELECT b.p, b.e, coalesce(m.c, b.c) AS c FROM book{m} b LEFT JOIN moved{n} m ON m.p = b.p AND m.e = b.e),
+"""
+
+ORACLES["op12_vector_codes"] = f"""
+WITH kept AS (
+    SELECT row_number() OVER () AS r, vec_id, label, [floor(256 * c::DOUBLE)::BIGINT FOR c IN embedding] AS x
+    FROM embeddings
+    WHERE len(embedding) > 0 AND len([c FOR c IN embedding IF c IS NULL OR NOT isfinite(c)]) = 0
+),
+parts AS (
+    SELECT r, p, x[p * (len(x) // 16) + 1:(p + 1) * (len(x) // 16)] AS v FROM kept, range(16) AS numbers(p)
+),
+firsts AS (SELECT r, row_number() OVER (ORDER BY vec_id NULLS LAST, x) - 1 AS e FROM kept),
+book0 AS (SELECT p, e, v AS c FROM firsts JOIN parts USING (r) WHERE e < 64),
+{_MOVED_CODEBOOK.format(m=0, n=1)}
+{_MOVED_CODEBOOK.format(m=1, n=2)}
+near AS (
+    SELECT r, p, min(list_sum([(z[1] - z[2]) * (z[1] - z[2]) FOR z IN list_zip(v, c)]) * 64 + e)::BIGINT AS best
+    FROM parts JOIN book2 USING (p) GROUP BY r, p
+),
+coded AS (
+    SELECT r, string_agg(printf('%02x', best % 64), '' ORDER BY p) AS code, sum(best // 64)::BIGINT AS error
+    FROM near GROUP BY r
+),
+digest AS (
+    SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY p, e)) AS codebooks_sha256 FROM book2
+)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256
+FROM kept JOIN coded USING (r), digest
+"""

@@ -8,7 +8,20 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from surveysieve.llm import bpe, exact_dedup, html_text, jaccard, packing, quality, simhash, token_counts, token_files, warc
+from surveysieve.llm import (
+    bpe,
+    exact_dedup,
+    html_text,
+    jaccard,
+    packing,
+    quality,
+    simhash,
+    token_counts,
+    token_files,
+    vector_codes,
+    warc,
+    whitening,
+)
 from surveysieve.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -96,3 +109,27 @@ def op9_exact_dedup(spark, sf_dir):
 def op10_token_counts(spark, sf_dir):
     """Tokens of every line of all documents."""
     return token_counts.count_sections(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
+
+
+@query
+def op12_vector_codes(spark, sf_dir):
+    """Codes of all embeddings, how far they are off, and a digest of the codebooks."""
+    codes = vector_codes.compress(table(spark, sf_dir, "embeddings"))
+    return codes.select("vec_id", F.lower(F.hex("code")).alias("code"), "error", "label_error", "codebooks_sha256")
+
+
+@query
+def op13_whitening(spark, sf_dir):
+    """All embeddings whitened along their first components."""
+    rows, about, components, off = whitening.whiten(table(spark, sf_dir, "embeddings"))
+    shares = [] if components is None else (components.values / components.trace).tolist()
+    explained = F.element_at(F.array(*map(F.lit, shares)).cast("array<double>"), F.col("component"))
+    return rows.select(
+        "vec_id",
+        "component",
+        F.lit(about.n if about else 0).cast("long").alias("n"),
+        "deviation",
+        "whitened",
+        explained.alias("explained"),
+        F.lit(off).alias("identity_error"),
+    )
