@@ -72,9 +72,10 @@ def train(vectors: DataFrame, parts: int = PARTS, entries: int = ENTRIES, rounds
     first = vectors.orderBy(F.col("vec_id").asc_nulls_last(), "x").limit(entries).select("x").collect()
     if not first:
         return None
+    lengths = {len(row["x"]) for row in first}
+    if len(lengths) > 1 or min(lengths) % parts:
+        raise ValueError(f"vectors of {sorted(lengths)} components cannot be cut into {parts} equal parts")
     start = np.array([row["x"] for row in first], dtype=np.int64)
-    if start.shape[1] % parts:
-        raise ValueError(f"vectors of {start.shape[1]} components cannot be cut into {parts} equal parts")
     books = Codebooks(np.ascontiguousarray(start.reshape(len(start), parts, -1).transpose(1, 0, 2)))
     for _ in range(rounds):
         books = _moved(books, vectors)
