@@ -16,6 +16,7 @@ from surveysieve.llm import (
     packing,
     quality,
     simhash,
+    suffix_dedup,
     token_counts,
     token_files,
     vector_codes,
@@ -133,3 +134,16 @@ def op13_whitening(spark, sf_dir):
         explained.alias("explained"),
         F.lit(off).alias("identity_error"),
     )
+
+
+@query
+def op11_suffix_dedup(spark, sf_dir):
+    """What is left of all documents without passages of 200 bytes that occur more than once."""
+    cut = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    return cut.select(
+        "doc_id",
+        "n_bytes",
+        (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
