@@ -43,21 +43,26 @@ def read_records(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 
 def _beginnings(lines: DataFrame) -> DataFrame:
-    """(split, inside) of each split: whether it begins inside quotes."""
+    """(split, inside, header) of each split: whether it begins inside quotes, and whether with the file's header."""
     value = F.col("value")
     quotes = F.length(value) - F.length(F.replace(value, F.lit('"')))
-    splits = lines.groupBy(*_SPLIT).agg(F.sum(quotes).alias("quotes"))
+    filled = F.max(F.regexp_replace(value, "\r$", "") != "")
+    splits = lines.groupBy(*_SPLIT).agg(F.sum(quotes).alias("quotes"), filled.alias("filled"))
     # One row per split of the input, far fewer than lines.
     splits = stage_table(splits, "csv-splits")
     odd = splits.groupBy("__file").agg(F.sum("quotes").alias("quotes")).where("quotes % 2 = 1")
     if not odd.isEmpty():
         raise ValueError(f"a quote is not closed in {odd.head()['__file']}")
     before = Window.partitionBy("__file").orderBy("__start").rowsBetween(Window.unboundedPreceding, -1)
-    return splits.select(*_SPLIT, (F.coalesce(F.sum("quotes").over(before), F.lit(0)) % 2 == 1).alias("inside"))
+    return splits.select(
+        *_SPLIT,
+        (F.coalesce(F.sum("quotes").over(before), F.lit(0)) % 2 == 1).alias("inside"),
+        (F.col("filled") & ~F.coalesce(F.max("filled").over(before), F.lit(False))).alias("header"),
+    )
 
 
 def _cut(lines: DataFrame, beginnings: DataFrame) -> DataFrame:
-    """Records and pieces of records, in their order in each split.
+    """Records and pieces of records, without headers, in their order in each split.
 
     ``first`` says that a piece has the beginning of its record, ``open`` that its end is in a later split.
     """
@@ -67,23 +72,27 @@ def _cut(lines: DataFrame, beginnings: DataFrame) -> DataFrame:
     else:
         numbered = lines.withColumn("line", F.monotonically_increasing_id()).join(beginnings, _SPLIT)
         known = numbered.sortWithinPartitions(*_SPLIT, "line").drop("line")
-    return known.select(*_SPLIT, "value", "inside").mapInArrow(_pieces, _PIECES)
+    return known.select(*_SPLIT, "value", "inside", "header").mapInArrow(_pieces, _PIECES)
 
 
 def _pieces(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    split, position, inside, first, held, rows = None, 0, False, True, [], []
+    split, position, inside, first, header, held, rows = None, 0, False, True, False, [], []
 
-    def closed(is_open: bool) -> tuple:
-        nonlocal position
-        position += 1
-        return *split, position - 1, "\n".join(held), first, is_open
+    def close(is_open: bool) -> None:
+        nonlocal position, header
+        if header and is_open:
+            raise ValueError(f"the header of {split[0]} is longer than a split of the file")
+        if not header:
+            rows.append((*split, position, "\n".join(held), first, is_open))
+            position += 1
+        header = False
 
     for batch in batches:
-        for file, start, line, begins_inside in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+        for file, start, line, begins_inside, has_header in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             if (file, start) != split:
                 if held:
-                    rows.append(closed(True))
-                split, position, inside, held = (file, start), 0, begins_inside, []
+                    close(True)
+                split, position, inside, header, held = (file, start), 0, begins_inside, has_header, []
                 first = not inside
             # Blank lines between records are none.
             if not inside and line in ("", "\r"):
@@ -91,13 +100,13 @@ def _pieces(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             held.append(line)
             inside ^= line.count('"') % 2 == 1
             if not inside:
-                rows.append(closed(False))
+                close(False)
                 held, first = [], True
         if len(rows) >= _ROWS:
             yield _batch(rows)
             rows = []
     if held:
-        rows.append(closed(True))
+        close(True)
     if rows:
         yield _batch(rows)
 
@@ -109,7 +118,7 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
 
 
 def _whole(pieces: DataFrame) -> DataFrame:
-    """The records of all files but their headers, numbered within the splits where they begin."""
+    """The records of all files, numbered within the splits where they begin."""
     pieces = stage_table(pieces, "csv-records")
     complete = pieces.where("first AND NOT open")
     # At most two pieces per split: what it begins with, and what it leaves open.
@@ -124,17 +133,9 @@ def _whole(pieces: DataFrame) -> DataFrame:
         "__file", "at.__start", "at.__position", F.array_join(F.col("parts.record"), "\n").alias("record")
     )
     records = complete.select(*_SPLIT, "__position", "record").unionByName(crossing)
-    # A file's first record is its header.
-    records = records.withColumn("record", F.regexp_replace("record", "\r$", ""))
-    place = F.struct("__start", "__position")
-    headers = records.groupBy("__file").agg(F.min(place).alias("header"))
-    refused = F.raise_error(F.concat(F.lit("a quote stands inside a value without quotes in "), "__file"))
-    return (
-        records.join(headers, "__file")
-        .where(place != F.col("header"))
-        .withColumn("record", F.when(_ambiguous(F.col("record")), refused.cast("string")).otherwise(F.col("record")))
-        .select(*_SPLIT, "__position", "record")
-    )
+    record = F.regexp_replace("record", "\r$", "")
+    refused = F.raise_error(F.concat(F.lit("a quote stands inside a value without quotes in "), "__file")).cast("string")
+    return records.select(*_SPLIT, "__position", F.when(_ambiguous(record), refused).otherwise(record).alias("record"))
 
 
 def _ambiguous(record):
