@@ -40,25 +40,42 @@ class Strings:
         begin = np.cumsum(lengths + 1) - lengths - 1
         return cls(np.frombuffer(b"\0".join([*strings, b""]), dtype=np.uint8), begin, begin + lengths)
 
-    @property
-    def places(self) -> np.ndarray:
-        """The string of every suffix."""
-        return np.repeat(np.arange(len(self.begin)), self.end - self.begin + 1)
+    def spread(self, values: np.ndarray) -> np.ndarray:
+        """One value per string -> one per place."""
+        return np.repeat(values, self.end - self.begin + 1)
+
+
+@dataclass(frozen=True)
+class Suffixes:
+    """Suffixes by ascending places, and the gram that each begins with.
+
+    ``gram`` is a number of an alphabet that all strings have in common, or -1 without a whole
+    gram; ``following`` is the suffix behind that gram, or -1.
+    """
+
+    place: np.ndarray
+    gram: np.ndarray
+    following: np.ndarray
+
+    def between(self, first: int, last: int) -> Suffixes:
+        """The suffixes of whole strings, by their places."""
+        start, stop = np.searchsorted(self.place, (first, last))
+        following = self.following[start:stop]
+        return Suffixes(self.place[start:stop], self.gram[start:stop], np.where(following < 0, -1, following - start))
 
 
 @dataclass(frozen=True)
 class Shard:
     """The transform of some strings.
 
-    ``suffixes`` are places in the text, sorted by their first ``depth`` grams; the first
-    ``ended`` of them have no whole gram. ``before`` is the gram in front of each suffix as a number
-    of ``alphabet``, or -1, and ``back`` the rank of the suffix that this gram begins.
+    ``place`` has the places of the suffixes, sorted by their first grams; the first
+    ``ended`` of them have no whole gram. ``before`` is the gram in front of each suffix, or -1,
+    and ``back`` the rank of the suffix that this gram begins.
     """
 
-    suffixes: np.ndarray
+    place: np.ndarray
     before: np.ndarray
     back: np.ndarray
-    alphabet: np.ndarray
     ended: int
 
 
@@ -66,8 +83,7 @@ class Shard:
 class Merged:
     """All suffixes in order, and for each the number of whole grams it shares with the one ahead of it."""
 
-    shard: np.ndarray
-    suffixes: np.ndarray
+    place: np.ndarray
     shared: np.ndarray
 
 
@@ -103,49 +119,70 @@ def gram_codes(text: np.ndarray, size: int) -> np.ndarray:
         return mixed((sums[size:] - sums[:n]) * down[:n])
 
 
-def build(strings: Strings, step: int, depth: int) -> Shard:
-    """The transform of one shard; its own suffixes are sorted by doubling the grams they are sorted by."""
+def all_suffixes(strings: Strings, step: int) -> Suffixes:
+    """Every suffix of the strings, the empty ones too."""
     place = np.arange(len(strings.text))
-    left = (np.repeat(strings.end, strings.end - strings.begin + 1) - place) // step
-    known = np.flatnonzero(left > 0)
-    codes = gram_codes(strings.text, step)[known]
-    alphabet, numbers = _numbered(codes)
-    gram = np.full(len(place), -1, dtype=np.int64)
-    gram[known] = numbers
-    first = gram + 1
-    rank, levels, ranks = first, 1, {1: first}
+    known = np.flatnonzero(place + step <= strings.spread(strings.end))
+    gram, following = np.full((2, len(place)), -1, dtype=np.int64)
+    gram[known] = _numbered(gram_codes(strings.text, step)[known])
+    following[known] = known + step
+    return Suffixes(place, gram, following)
+
+
+def in_windows(strings: Strings, step: int, depth: int, often: np.ndarray) -> Suffixes:
+    """Of all suffixes, those in windows of ``depth`` grams that may be repeated, since each gram occurs more than once.
+
+    ``often`` marks strings that stand for several.
+    """
+    every = all_suffixes(strings, step)
+    counts = np.bincount(every.gram + 1)
+    again = (every.gram >= 0) & ((counts[every.gram + 1] > 1) | strings.spread(often))
+    starts = np.flatnonzero(every.place + depth * step <= strings.spread(strings.end))
+    for level in range(depth):
+        starts = starts[again[starts + level * step]]
+    kept = np.zeros(len(again), dtype=bool)
+    for level in range(depth + 1):
+        kept[starts + level * step] = True
+    place = np.flatnonzero(kept)
+    number = np.cumsum(kept) - 1
+    has = (every.gram[place] >= 0) & kept[np.minimum(place + step, len(kept) - 1)]
+    following = np.where(has, number[np.minimum(place + step, len(kept) - 1)], -1)
+    return Suffixes(place, np.where(has, every.gram[place], -1), following)
+
+
+def build(suffixes: Suffixes, depth: int) -> Shard:
+    """The transform of one shard; its own suffixes are sorted by doubling the grams they are sorted by."""
+    size = len(suffixes.place)
+    # Rank by so many first grams, and the suffix behind these.
+    ranks, behind = {1: suffixes.gram + 1}, {1: suffixes.following}
+    levels, rank, at = 1, ranks[1], behind[1]
     while levels < depth:
-        more = min(levels, depth - levels)
-        if more not in ranks:
-            # The depth is no power of two: the rest goes by single grams.
-            more = 1
-        following = np.zeros(len(place), dtype=np.int64)
-        further = np.flatnonzero(left >= levels)
-        following[further] = ranks[more][further + levels * step]
-        rank = _numbered((rank << 32) | following)[1]
+        more = levels if 2 * levels <= depth else 1
+        rank = _numbered((rank << 32) | np.where(at >= 0, ranks[more][at], 0))
+        at = np.where(at >= 0, behind[more][at], -1)
         levels += more
-        ranks[levels] = rank
-    suffixes = np.argsort(rank, kind="stable")
-    begin = np.repeat(strings.begin, strings.end - strings.begin + 1)
-    behind = suffixes - step
-    has = np.flatnonzero(behind >= begin[suffixes])
-    before = np.full(len(suffixes), -1, dtype=np.int64)
-    before[has] = gram[behind[has]]
-    ended = len(place) - len(known)
-    back = np.full(len(suffixes), -1, dtype=np.int64)
-    back[has[_stable(before[has])]] = np.arange(ended, len(place))
-    return Shard(suffixes, before, back, alphabet, ended)
-
-
-def _numbered(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(ascending distinct values, the number of each value among them)."""
+        ranks[levels], behind[levels] = rank, at
+    order = _stable(rank)
+    place_of = np.empty(size, dtype=np.int64)
+    place_of[order] = np.arange(size)
+    known = np.flatnonzero(suffixes.following >= 0)
+    ahead = np.full(size, -1, dtype=np.int64)
+    ahead[suffixes.following[known]] = known
+    ahead = ahead[order]
+    before = np.where(ahead >= 0, suffixes.gram[ahead], -1)
+    back = np.where(ahead >= 0, place_of[ahead], -1)
+    return Shard(suffixes.place[order], before, back, size - len(known))
+
+
+def _numbered(values: np.ndarray) -> np.ndarray:
+    """The number of each value among the ascending distinct ones."""
     order = np.argsort(values)
     ordered = values[order]
-    new = np.ones(len(values), dtype=bool)
+    new = np.zeros(len(values), dtype=bool)
     new[1:] = ordered[1:] != ordered[:-1]
     numbers = np.empty(len(values), dtype=np.int64)
-    numbers[order] = np.cumsum(new) - 1
-    return ordered[new], numbers
+    numbers[order] = np.cumsum(new)
+    return numbers
 
 
 def _stable(symbols: np.ndarray) -> np.ndarray:
@@ -159,12 +196,10 @@ def _stable(symbols: np.ndarray) -> np.ndarray:
 
 
 def merge(shards: Sequence[Shard], depth: int) -> Merged:
-    """The suffixes of all shards in order, by ``depth`` rounds over their transforms."""
-    sizes = np.array([len(s.suffixes) for s in shards], dtype=np.int64)
+    """The suffixes of all shards in order, by at most ``depth`` rounds over their transforms."""
+    sizes = np.array([len(s.place) for s in shards], dtype=np.int64)
     offsets = np.cumsum(sizes) - sizes
-    alphabet = np.sort(np.concatenate([s.alphabet for s in shards]))
-    alphabet = alphabet[np.append(True, alphabet[1:] != alphabet[:-1])[: len(alphabet)]]
-    before = np.concatenate([_renamed(s, alphabet) for s in shards]).astype(np.int32)
+    before = np.concatenate([s.before for s in shards]).astype(np.int32)
     back = np.concatenate([s.back + at for s, at in zip(shards, offsets, strict=True)]).astype(np.int32)
     ended = np.concatenate([np.arange(at, at + s.ended, dtype=np.int32) for s, at in zip(shards, offsets, strict=True)])
     total = int(sizes.sum())
@@ -186,15 +221,18 @@ def merge(shards: Sequence[Shard], depth: int) -> Merged:
         block = np.cumsum(new, dtype=np.int32)
         if new.all():
             break
-    shard = np.searchsorted(offsets, interleave, side="right") - 1
-    suffixes = np.concatenate([s.suffixes for s in shards])[interleave]
-    return Merged(shard, suffixes, shared)
+    return Merged(np.concatenate([s.place for s in shards])[interleave], shared)
 
 
-def _renamed(shard: Shard, alphabet: np.ndarray) -> np.ndarray:
-    """The shard's symbols as numbers of a larger alphabet."""
-    numbers = np.append(np.searchsorted(alphabet, shard.alphabet), -1)
-    return numbers[shard.before]
+def shards_of(strings: Strings, suffixes: Suffixes, depth: int, shard_bytes: int) -> list[Shard]:
+    """The transforms of consecutive strings with about ``shard_bytes`` in each shard."""
+    bounds, start = [], 0
+    while start < len(strings.begin):
+        stop = int(np.searchsorted(strings.begin, strings.begin[start] + max(shard_bytes, 1)))
+        bounds.append((strings.begin[start], strings.end[stop - 1] + 1))
+        start = stop
+    parts = (suffixes.between(*bound) for bound in bounds)
+    return [build(part, depth) for part in parts if len(part.place)]
 
 
 def repeated(strings: Sequence[bytes], often: np.ndarray, length: int, step: int, shard_bytes: int) -> tuple[np.ndarray, np.ndarray]:
@@ -206,32 +244,20 @@ def repeated(strings: Sequence[bytes], often: np.ndarray, length: int, step: int
     depth, rest = divmod(length, step)
     if rest:
         raise ValueError("step must divide length")
-    sets, shards, first = [], [], []
-    start = 0
-    sizes = np.cumsum([len(s) + 1 for s in strings])
-    while start < len(strings):
-        end = max(start + 1, int(np.searchsorted(sizes, (sizes[start - 1] if start else 0) + shard_bytes, side="right")))
-        sets.append(Strings.of(strings[start:end]))
-        shards.append(build(sets[-1], step, depth))
-        first.append(start)
-        start = end
+    whole_text = Strings.of(strings)
+    shards = shards_of(whole_text, in_windows(whole_text, step, depth, often), depth, shard_bytes)
     if not shards:
         return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
     merged = merge(shards, depth)
-    at = np.cumsum([0, *(len(s.text) for s in sets)])
-    text = np.concatenate([s.text for s in sets])
-    begin = np.concatenate([s.begin + a for s, a in zip(sets, at, strict=False)])
-    end = np.concatenate([s.end + a for s, a in zip(sets, at, strict=False)])
-    place = merged.suffixes + at[merged.shard]
-    string = np.searchsorted(begin, place, side="right") - 1
-    whole = place + length <= end[string]
-    interval = np.cumsum(merged.shared < depth) - 1
+    place, interval = merged.place, np.cumsum(merged.shared < depth)
+    string = np.searchsorted(whole_text.begin, place, side="right") - 1
+    whole = place + length <= whole_text.end[string]
     if step > _BYTES_OF_A_CODE:
-        interval = _by_content(text, place, interval, length)
+        interval = _by_content(whole_text.text, place, interval, length)
     weights = np.bincount(interval[whole], weights=1 + often[string[whole]])
     found = np.flatnonzero(whole)
     found = found[weights[interval[found]] > 1]
-    return string[found], place[found] - begin[string[found]]
+    return string[found], place[found] - whole_text.begin[string[found]]
 
 
 def _by_content(text: np.ndarray, place: np.ndarray, interval: np.ndarray, length: int) -> np.ndarray:
@@ -245,7 +271,7 @@ def _by_content(text: np.ndarray, place: np.ndarray, interval: np.ndarray, lengt
     if not differ.any():
         return interval
     interval = interval.copy()
-    free = int(interval[-1]) + 1
+    free = int(interval.max()) + 1
     for number in np.unique(interval[same[differ]]).tolist():
         numbers: dict[bytes, int] = {}
         for member in np.flatnonzero(interval == number).tolist():

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import uuid
 from collections.abc import Callable, Iterable, Iterator
@@ -54,6 +55,12 @@ def sampled(df: DataFrame, most: int, *by: str) -> DataFrame:
     return df.where(F.pmod(F.xxhash64(*by), F.lit(2**31)) < int(2**31 * most / total))
 
 
+def release(spark: SparkSession) -> None:
+    """Has the driver collect its garbage, so that executors drop the shuffle files of steps that are written and done."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def run_folder(spark: SparkSession, name: str) -> str:
     """A new folder's place among the files that all executors share."""
     return f"{shared_folder(spark).rstrip('/')}/surveysieve-{name}-{uuid.uuid4().hex}"

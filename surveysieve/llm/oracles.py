@@ -112,3 +112,30 @@ digest AS (
 SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256
 FROM kept JOIN coded USING (r), digest
 """
+
+# All windows by digest, then the gaps between their spans.
+ORACLES["op11_suffix_dedup"] = r"""
+WITH bytes AS (
+    SELECT row_number() OVER () AS r, doc_id, encode(coalesce(text, '')) AS b FROM documents
+),
+windows AS (
+    SELECT r, p, md5(b[p + 1:p + 200]) AS content
+    FROM (SELECT r, b, unnest(range(0, octet_length(b) - 199)) AS p FROM bytes)
+),
+found AS (
+    SELECT r, p FROM windows SEMI JOIN (SELECT content FROM windows GROUP BY content HAVING count(*) > 1) USING (content)
+),
+parted AS (SELECT r, p, p > lag(p, 1, -1000) OVER (PARTITION BY r ORDER BY p) + 200 AS new FROM found),
+numbered AS (SELECT r, p, count_if(new) OVER (PARTITION BY r ORDER BY p) AS span FROM parted),
+spans AS (SELECT r, span, min(p) AS start, max(p) + 200 AS stop FROM numbered GROUP BY r, span),
+ends AS (SELECT r, span, stop, lead(start) OVER (PARTITION BY r ORDER BY span) AS next FROM spans
+    UNION ALL SELECT r, 0, 0, min(start) FROM spans GROUP BY r),
+cut AS (
+    SELECT r, string_agg(hex(b[stop + 1:coalesce(next, octet_length(b))]), '' ORDER BY span) AS kept
+    FROM ends JOIN bytes USING (r) GROUP BY r
+),
+totals AS (SELECT r, count(*) AS n_spans, sum(stop - start)::BIGINT AS n_removed FROM spans GROUP BY r)
+SELECT doc_id, octet_length(b) AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+    sha256(CASE WHEN kept IS NULL THEN b ELSE unhex(kept) END) AS kept_sha256
+FROM bytes LEFT JOIN totals USING (r) LEFT JOIN cut USING (r)
+"""

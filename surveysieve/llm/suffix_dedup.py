@@ -20,13 +20,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from surveysieve.llm import bwt
-from surveysieve.llm.common import pick, slices
+from surveysieve.llm.common import pick, release, slices
 from surveysieve.llm.hashing import mixed
+from surveysieve.operators.skew import join_per_key
 from surveysieve.sources.sinks import stage_table
 
 LENGTH = 200
 # An anchor's length; and the grams by which transforms are sorted, which must divide LENGTH.
-GRAM, STEP = 40, 40
+GRAM, STEP = 40, 50
 # Windows in a piece at most, and windows whose anchors are found at once.
 PIECE_WINDOWS, BLOCK = 4_096, 1 << 20
 # Text of the pieces of one anchor beyond which they are parted further, text merged at once, and text of a shard.
@@ -40,7 +41,7 @@ _SPANS = "array<struct<start: int, stop: int>>"
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, step: int = STEP, group_bytes: int = GROUP_BYTES) -> DataFrame:
-    """(doc_id, text_sha256, n_bytes, spans, kept) of each row of ``docs`` (doc_id, text).
+    """(doc_id, n_bytes, spans, kept) of each row of ``docs`` (doc_id, text).
 
     ``spans`` are the maximal runs of bytes, as (start, stop), that are covered by a
     string of ``length`` bytes which also starts anywhere else, in the same text or
@@ -55,39 +56,48 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, step
         raise ValueError("gram must be at most length, and step must divide length")
     text = F.coalesce("text", F.lit(""))
     rows = pick(docs, "doc_id", "text").select("doc_id", text.alias("text"))
-    rows = rows.withColumn("digest", F.unhex(F.sha2(F.col("text").cast("binary"), 256)))
+    # Texts go by 128 bits of their digest.
+    rows = rows.withColumn("digest", F.substring(F.unhex(F.sha2(F.col("text").cast("binary"), 256)), 1, 16))
     spans = repeated_spans(rows, length, gram, step, group_bytes)
-    cut = rows.join(spans, "digest", "left").select("doc_id", "digest", F.col("text").cast("binary"), "spans")
+    cut = rows.join(spans, "digest", "left").select("doc_id", F.col("text").cast("binary"), "spans")
     id_type = rows.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {id_type}, digest binary, n_bytes long, spans {_SPANS}, kept binary"
-    cut = cut.mapInArrow(_without_spans, schema)
-    return cut.select("doc_id", F.lower(F.hex("digest")).alias("text_sha256"), "n_bytes", "spans", "kept")
+    return cut.mapInArrow(_without_spans, f"doc_id {id_type}, n_bytes long, spans {_SPANS}, kept binary")
 
 
 def repeated_spans(rows: DataFrame, length: int, gram: int, step: int, group_bytes: int = GROUP_BYTES) -> DataFrame:
     """(digest, spans) of each distinct text of ``rows`` (digest, text) that has repeats."""
-    long = rows.where(F.octet_length("text") >= length).select("digest", "text")
-    runs = stage_table(
-        long.mapInArrow(_anchored(length, gram), "digest binary, first int, windows int, anchor bigint, several boolean"), "anchors"
+    members = _members_of(rows, length, gram)
+    release(rows.sparkSession)
+    marks = _marks(members, length, gram, step, group_bytes, length - gram)
+    found = members.select(F.col("place.holder").alias("digest"), F.col("place.first"), "anchor", "piece")
+    holders = members.groupBy("anchor", "piece").agg(F.count("*").alias("holders"))
+    found = join_per_key(found, marks, ["anchor", "piece"], "holders", F.col("digest"), sizes=holders)
+    first = F.col("first")
+    moved = F.transform(
+        "spans", lambda s: F.struct((s["start"] + first).alias("start"), (s["stop"] + first + length - 1).alias("stop"))
     )
+    return found.groupBy("digest").agg(F.flatten(F.collect_set(moved)).alias("spans"))
+
+
+def _members_of(rows: DataFrame, length: int, gram: int) -> DataFrame:
+    """The pieces around anchors that occur more than once, by the texts that hold them."""
+    long = rows.where(F.octet_length("text") >= length).select("digest", "text")
+    schema = "digest binary, first int, windows int, anchor bigint, several boolean"
+    runs = stage_table(long.mapInArrow(_anchored(length, gram), schema), "anchors")
     # Rows of equal texts count one by one; each text has one run that begins at 0.
     often = runs.groupBy("anchor").agg(F.count("*").alias("n"), F.max("several").alias("several"))
-    often = often.where("n > 1 OR several").select("anchor")
-    copied = runs.where("first = 0").groupBy("digest").agg(F.count("*").alias("n")).where("n > 1").select("digest", F.lit(True).alias("copied"))
+    often = often.where("n > 1 OR several").select("anchor", "n")
+    copied = runs.where("first = 0").groupBy("digest").agg(F.count("*").alias("n")).where("n > 1")
     wanted = (
-        runs.join(often, "anchor", "left_semi")
+        join_per_key(runs, often, ["anchor"], "n", F.col("digest"))
         .groupBy("digest")
         .agg(F.collect_set(F.struct("first", "windows", "anchor")).alias("runs"))
-        .join(copied, "digest", "left")
+        .join(copied.select("digest", F.lit(True).alias("copied")), "digest", "left")
         .withColumn("copied", F.coalesce("copied", F.lit(False)))
     )
     once = long.mapInArrow(_once_per_task, long.schema)
     cut = once.join(wanted, "digest").select("digest", F.col("text").cast("binary"), "runs", "copied")
-    members = stage_table(cut.mapInArrow(_pieces(length), _MEMBERS), "pieces")
-    marks = _marks(members, length, gram, step, group_bytes, length - gram)
-    found = members.select(F.col("place.holder").alias("digest"), F.col("place.first"), "anchor", "piece").join(marks, ["anchor", "piece"])
-    moved = F.transform("spans", lambda s: F.struct((s["start"] + F.col("first")).alias("start"), (s["stop"] + F.col("first") + length - 1).alias("stop")))
-    return found.groupBy("digest").agg(F.flatten(F.collect_set(moved)).alias("spans"))
+    return stage_table(cut.mapInArrow(_pieces(length), _MEMBERS), "pieces")
 
 
 def anchors(text: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, np.ndarray]:
@@ -261,7 +271,8 @@ def _marks(members: DataFrame, length: int, gram: int, step: int, group_bytes: i
     parted = stage_table(parted, "parted-pieces")
     marks = _marks(parted, length, gram, step, group_bytes, rest // 2)
     back = parted.select("place", "anchor", "piece").join(marks, ["anchor", "piece"])
-    moved = F.transform("spans", lambda s: F.struct(*((s[name] + F.col("place.first")).alias(name) for name in ("start", "stop"))))
+    first = F.col("place.first")
+    moved = F.transform("spans", lambda s: F.struct(*((s[name] + first).alias(name) for name in ("start", "stop"))))
     returned = back.groupBy(F.col("place.anchor").alias("anchor"), F.col("place.holder").alias("piece")).agg(
         F.flatten(F.collect_set(moved)).alias("spans")
     )
@@ -348,10 +359,10 @@ def _anchor_places(text: bytes, length: int, gram: int) -> np.ndarray:
 
 
 def _without_spans(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc_id, digest, text, spans, which may overlap) -> the maximal spans, and what is left of the text."""
-    for batch in slices(batches, 2):
-        texts, spans, kept = batch.column(2).to_pylist(), [], []
-        for text, found in zip(texts, batch.column(3).to_pylist(), strict=True):
+    """(doc_id, text, spans, which may overlap) -> the maximal spans, and what is left of the text."""
+    for batch in slices(batches):
+        texts, spans, kept = batch.column(1).to_pylist(), [], []
+        for text, found in zip(texts, batch.column(2).to_pylist(), strict=True):
             joined: list[list[int]] = []
             for start, stop in sorted((s["start"], s["stop"]) for s in found or ()):
                 if joined and start <= joined[-1][1]:
@@ -365,10 +376,9 @@ def _without_spans(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         yield pa.RecordBatch.from_arrays(
             [
                 batch.column(0),
-                batch.column(1),
                 pa.array(list(map(len, texts)), pa.int64()),
                 pa.array(spans, pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32())]))),
                 pa.array(kept, pa.binary()),
             ],
-            ["doc_id", "digest", "n_bytes", "spans", "kept"],
+            ["doc_id", "n_bytes", "spans", "kept"],
         )
