@@ -6,10 +6,11 @@ import heapq
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from surveysieve.functions.columns import col_
+from surveysieve.operators import ip_prefixes
 from surveysieve.operators.skew import HOT_ROWS, join_per_key
 
 # Output columns of the lookup, with the range column behind each.
@@ -23,18 +24,7 @@ PLACE = {
 REGION_LEVELS = {"country": "IPCountry", "state": "IPState", "city": "IPCity"}
 
 _BLOCK_BITS = 16
-_OCTET = "(25[0-5]|2[0-4][0-9]|1[0-9][0-9]|0*[0-9]{1,2})"
-_IPV6 = "^[0-9A-Fa-f]*:[0-9A-Fa-f]*:[0-9A-Fa-f:.%]*$"
-_IPV4 = rf"^{_OCTET}(\.{_OCTET}){{3}}$"
-
-
-def ip_number(ip: Column) -> Column:
-    """Dotted IPv4 text as a number; NULL for anything else."""
-    octets = [
-        F.substring_index(F.substring_index(ip, ".", i), ".", -1).try_cast("int").cast("long") for i in range(1, 5)
-    ]
-    number = ((octets[0] * 256 + octets[1]) * 256 + octets[2]) * 256 + octets[3]
-    return F.when(ip.rlike(_IPV4), number)
+NO_ADDRESS = ("missing", "error")
 
 
 def flat_ranges(ranges: DataFrame) -> DataFrame:
@@ -111,30 +101,45 @@ def _pieces(block: int, ranges: list[tuple], schema: pa.Schema) -> pa.RecordBatc
     return pa.RecordBatch.from_arrays([pa.array([block] * len(found), pa.int64()), starts, ends, places], ["block", "start", "end", "place"])
 
 
-def locate_ips(ips: DataFrame, ranges: DataFrame, ipv6: str = "error") -> DataFrame:
+def locate_ips(ips: DataFrame, ranges: DataFrame, no_address: str = "missing") -> DataFrame:
     """Place of each distinct address in ``ips.ip``, if a range covers it.
 
     ``ranges`` holds (start_ip, end_ip, lat, lon, country, state, city); they may
-    nest or overlap, see ``flat_ranges``. Within a block of 65,536 neighbouring
-    addresses, addresses and the starts of the pieces are sorted together and
-    each address takes the last piece that started. A block holds at most
-    that many addresses and pieces, so no task grows with the data and no pairs
-    are tried.
-
-    The ranges are of IPv4 addresses. IPv6 ones are refused with an error, or
-    have no place if ``ipv6`` is "missing".
+    nest or overlap: the innermost one holds (see ``flat_ranges``). Ends that are numbers
+    are IPv4 addresses, and all addresses of other ranges have no place there; ends may also be
+    texts or 16 bytes, of IPv4 and IPv6 addresses. An IPv4 address and the IPv6 address mapped to it are the same.
+
+    What is no address at all has no place, or is an error if ``no_address`` is "error".
+    """
+    if no_address not in NO_ADDRESS:
+        raise ValueError(f"no_address must be one of {NO_ADDRESS}, not '{no_address}'")
+    digits = ip_prefixes.address_hex(F.col("ip"))
+    if no_address == "error":
+        refused = F.raise_error(F.concat(F.lit("this is no address: "), "ip")).cast("string")
+        digits = F.when(F.col("ip").isNotNull() & digits.isNull(), refused).otherwise(digits)
+    known = ips.select("ip", digits.alias("digits"))
+    if dict(ranges.dtypes)["start_ip"] in ("string", "binary"):
+        place = F.struct(*[F.col(c) for c in PLACE.values()])
+        found = ip_prefixes.locate(known, ranges, place)
+    else:
+        found = _locate_numbers(known, ranges)
+    return found.select("ip", *[F.col(f"place.{source}").alias(name) for name, source in PLACE.items()])
+
+
+def _locate_numbers(ips: DataFrame, ranges: DataFrame) -> DataFrame:
+    """(ip, place) of IPv4 addresses by ranges of numbers.
+
+    Within a block of 65,536 neighbouring addresses, addresses and the starts of the
+    pieces are sorted together and each address takes the last piece that started. A block holds at most
+    that many addresses and pieces, so no task grows with the data and no pairs are tried.
     """
-    if ipv6 not in ("error", "missing"):
-        raise ValueError(f"ipv6 must be 'error' or 'missing', not '{ipv6}'")
     starts = flat_ranges(ranges).select(
         "block", F.col("start").alias("at"), F.lit(None).cast("string").alias("ip"), F.struct("end", "place.*").alias("place")
     )
-    number = ip_number(F.col("ip"))
-    if ipv6 == "error":
-        refused = F.raise_error(F.concat(F.lit("no place can be found for the IPv6 address "), "ip")).cast("long")
-        number = F.when(F.col("ip").rlike(_IPV6), refused).otherwise(number)
+    high, low = ip_prefixes.halves(F.col("digits"))
+    first = 0xFFFF << 32
     addresses = (
-        ips.select("ip", number.alias("at"))
+        ips.select("ip", F.when((high == 0) & low.between(first, first + 2**32 - 1), low - first).alias("at"))
         .where("at IS NOT NULL")
         .select(F.shiftright("at", _BLOCK_BITS).alias("block"), "at", "ip")
     )
@@ -145,17 +150,15 @@ def locate_ips(ips: DataFrame, ranges: DataFrame, ipv6: str = "error") -> DataFr
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     found = merged.withColumn("place", F.last("place", ignorenulls=True).over(so_far))
-    return found.where(F.col("ip").isNotNull() & (F.col("at") <= F.col("place.end"))).select(
-        "ip", *[F.col(f"place.{source}").alias(name) for name, source in PLACE.items()]
-    )
+    return found.where(F.col("ip").isNotNull() & (F.col("at") <= F.col("place.end")))
 
 
 def ip_places(
-    df: DataFrame, key: str, column_ip: str, ranges: DataFrame, hot_rows: int = HOT_ROWS, ipv6: str = "error"
+    df: DataFrame, key: str, column_ip: str, ranges: DataFrame, hot_rows: int = HOT_ROWS, no_address: str = "missing"
 ) -> DataFrame:
     """(key, IPLatitude .. IPCity) of the responses whose address is in a range."""
     rows = df.select(col_(key).alias(key), col_(column_ip).cast("string").alias("ip")).where("ip IS NOT NULL")
     sizes = rows.groupBy("ip").agg(F.count("*").alias("__rows"))
     # Always true; with the count in use, the plan aggregates once for both uses.
-    located = locate_ips(sizes.where("__rows > 0"), ranges, ipv6)
+    located = locate_ips(sizes.where("__rows > 0"), ranges, no_address)
     return join_per_key(rows, located, ["ip"], "__rows", F.col(key), hot_rows, sizes=sizes).select(key, *PLACE)

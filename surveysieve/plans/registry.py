@@ -107,16 +107,16 @@ def _suspicious_name(setting, column_first_name, column_last_name, min_word_leng
     return row_flags.suspicious_name(column_first_name, column_last_name, min_word_length)
 
 
-def _ip_location(setting, column_ip, target_region, flag_missing, region_level="country", ipv6="error"):
+def _ip_location(setting, column_ip, target_region, flag_missing, region_level="country", no_address="missing"):
     if region_level not in ip_location.REGION_LEVELS:
         raise ValueError(f"region_level must be one of {sorted(ip_location.REGION_LEVELS)}, not '{region_level}'")
     require_columns(setting.df, [column_ip], f"flag '{setting.flag_name}'")
-    identity = setting.identity("ip", [column_ip], ipv6)
+    identity = setting.identity("ip", [column_ip], no_address)
     region = ip_location.REGION_LEVELS[region_level]
 
     def features():
         ranges = setting.lookup("ip_ranges")
-        places = ip_location.ip_places(setting.rows(column_ip), setting.key, column_ip, ranges, ipv6=ipv6)
+        places = ip_location.ip_places(setting.rows(column_ip), setting.key, column_ip, ranges, no_address=no_address)
         return places.select(setting.key, F.struct(*ip_location.PLACE).alias(identity))
 
     place = {name: F.col(identity)[name] for name in ip_location.PLACE}

@@ -12,7 +12,8 @@ from surveysieve.operators import bursts
 from surveysieve.operators.attempts import ATTEMPT_TYPES, attempt_counts
 from surveysieve.operators.duplicates import duplicated_text
 from surveysieve.operators.geo_location import countries, locate_points
-from surveysieve.operators.ip_location import ip_number, ip_places
+from surveysieve.operators.ip_location import ip_places
+from surveysieve.operators.ip_prefixes import ip_number
 from surveysieve.operators.skew import join_lookup, join_per_key
 from surveysieve.sources.polygons import POLYGON_SCHEMA, polygon_edges
 

@@ -14,11 +14,12 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from surveysieve.config import Flag, config_from_tables
-from surveysieve.operators import bursts, descriptives, geo_location, ip_location, similarity
+from surveysieve.operators import bursts, descriptives, geo_location, ip_location, ip_prefixes, similarity
 from surveysieve.operators.skew import join_per_key
 from surveysieve.plans.flagging import apply_flags
 from surveysieve.plans.manual import merge_labels
 from surveysieve.sources import responses, sinks
+from surveysieve.sources.ip_ranges import read_ip_ranges
 from surveysieve.sources.polygons import POLYGON_SCHEMA, polygon_edges
 
 # Errors in tasks, as they reach the driver.
@@ -147,14 +148,89 @@ def test_nested_and_overlapping_ranges(spark):
         assert found.get(str(ipaddress.IPv4Address(number))) == brute_place(ranges, number)
 
 
-def test_ipv6_addresses_are_not_lost_in_silence(spark):
-    ips = spark.createDataFrame([("1.2.3.4",), ("2001:db8::1",), ("not an address",), (None,)], "ip string")
+def test_what_is_no_address_has_no_place_or_is_refused(spark):
+    ips = spark.createDataFrame([("1.2.3.4",), ("2001:db8::1",), ("::ffff:1.2.3.4",), ("not an address",), (None,)], "ip string")
     table = spark.createDataFrame([(0, 2**32 - 1, 0.0, 0.0, "X", None, None)], "start_ip long, end_ip long, lat double, lon double, country string, state string, city string")
-    with pytest.raises(REFUSED, match="IPv6"):
-        ip_location.locate_ips(ips, table).collect()
-    assert [r.ip for r in ip_location.locate_ips(ips, table, ipv6="missing").collect()] == ["1.2.3.4"]
+    with pytest.raises(REFUSED, match="no address: not an"):
+        ip_location.locate_ips(ips, table, no_address="error").collect()
+    assert sorted(r.ip for r in ip_location.locate_ips(ips, table).collect()) == ["1.2.3.4", "::ffff:1.2.3.4"]
     with pytest.raises(ValueError):
-        ip_location.locate_ips(ips, table, ipv6="x")
+        ip_location.locate_ips(ips, table, no_address="x")
+
+
+ODD_ADDRESSES = [
+    "::", "::1", "1::", "2001:db8::1", "2001:DB8:0:0:0:0:0:1", "1:2:3:4:5:6:7:8", "1:2:3:4:5:6:7::", "::2:3:4:5:6:7:8",
+    "fe80::1%eth0", "::ffff:1.2.3.4", "64:ff9b::192.0.2.33", "1:2:3:4:5:6:1.2.3.4", "ffff:ffff:ffff:ffff:ffff:ffff:ffff:ffff",
+    "1.2.3.4", "255.255.255.255", "0.0.0.0", "8000::", "::8000:0:0:0",
+    "", ":", ":::", "1::2::3", "1:2:3:4:5:6:7", "1:2:3:4:5:6:7:8:9", "1:2:3:4:5:6:7:8::", "12345::", "g::", "1.2.3", "1.2.3.256",
+    "::1.2.3", "1.2.3.4::", ":1:2:3:4:5:6:7:8", "1:2:3:4:5:6:7:8:", "1.2.3.4:1::", "::1.2.3.400", "1:2:3:4:5:6:7:1.2.3.4", " ::1",
+]
+
+
+def python_address(text):
+    try:
+        address = ipaddress.ip_address(text.split("%")[0])
+    except ValueError:
+        return None
+    return int(address) + (0xFFFF << 32 if address.version == 4 else 0)
+
+
+def test_addresses_are_read_as_python_reads_them(spark):
+    df = spark.createDataFrame([(a,) for a in ODD_ADDRESSES], "ip string")
+    digits = ip_prefixes.address_hex(F.col("ip"))
+    for row in df.select("ip", digits.alias("digits")).collect():
+        expected = python_address(row.ip)
+        assert row.digits == (None if expected is None else f"{expected:032X}"), row.ip
+
+
+def test_prefixes_cover_a_range_exactly():
+    generator = random.Random(4)
+    for _ in range(300):
+        start = generator.randrange(2 ** generator.choice([4, 20, 127]))
+        end = min(start + generator.randrange(2 ** generator.choice([1, 9, 64, 127])), 2**128 - 1)
+        following, count = start, 0
+        for bits, first in ip_prefixes.cover(start, end):
+            assert first == following and first % (1 << (128 - bits)) == 0
+            following, count = first + (1 << (128 - bits)), count + 1
+        assert following == end + 1 and count <= 254
+    assert list(ip_prefixes.cover(0, 2**128 - 1)) == [(0, 0)] and list(ip_prefixes.cover(5, 4)) == []
+
+
+@pytest.mark.parametrize("kind", ["string", "binary"])
+def test_innermost_range_of_ipv6_addresses(spark, kind):
+    generator = random.Random(9)
+    base = 0x20010DB8 << 96
+    numbers, ranges = [], [(0, 2**128 - 1, "all"), (0xFFFF << 32, (0xFFFF << 32) + 2**31, "v4")]
+    for n in range(60):
+        start = base + generator.randrange(40) * 2**generator.choice([3, 64, 80]) + generator.randrange(9)
+        ranges.append((start, start + generator.randrange(2 ** generator.choice([2, 50, 82])), f"r{n}"))
+    ranges += [(*ranges[5][:2], "same"), (*ranges[5][:2], "also")]
+    for start, end, _ in ranges:
+        numbers += [start, end, max(start - 1, 0), min(end + 1, 2**128 - 1), (start + end) // 2]
+    # Mapped addresses are written both ways.
+    texts = {str(ipaddress.IPv6Address(n)): n for n in numbers} | {"127.255.255.255": (0xFFFF << 32) + 2**31 - 1}
+    ips = spark.createDataFrame([(t,) for t in texts], "ip string")
+    shown = {"string": lambda n: str(ipaddress.IPv6Address(n)), "binary": lambda n: n.to_bytes(16, "big")}[kind]
+    rows = [(shown(a), shown(b), 0.0, 0.0, name, None, None) for a, b, name in ranges]
+    table = spark.createDataFrame(rows, f"start_ip {kind}, end_ip {kind}, lat double, lon double, country string, state string, city string")
+    found = {r.ip: r.IPCountry for r in ip_location.locate_ips(ips, table).collect()}
+    for text, number in texts.items():
+        best = min(((-a, b, name) for a, b, name in ranges if a <= number <= b), default=(0, 0, None))
+        assert found.get(text) == best[2], text
+
+
+def test_ranges_of_both_kinds_from_csv(spark, tmp_path):
+    path = tmp_path / "ranges.csv"
+    head = "start_ip,end_ip,lat,lon,country,state,city\n"
+    path.write_text(head + "1.0.0.0,1.0.0.255,1,2,A,,\n16777472,16777500,1,2,B,,\n")
+    assert dict(read_ip_ranges(spark, str(path)).dtypes)["start_ip"] == "bigint"
+    path.write_text(head + "1.0.0.0,1.0.0.255,1,2,A,,\n16777472,16777500,1,2,B,,\n2001:db8::,2001:db8::ff,1,2,C,,\n")
+    ips = spark.createDataFrame([("1.0.0.9",), ("1.0.1.3",), ("2001:db8::f",), ("2001:db8::fff",)], "ip string")
+    found = ip_location.locate_ips(ips, read_ip_ranges(spark, str(path))).collect()
+    assert {r.ip: r.IPCountry for r in found} == {"1.0.0.9": "A", "1.0.1.3": "B", "2001:db8::f": "C"}
+    bad = spark.createDataFrame([("x", "1.2.3.4", 0.0, 0.0, "A", None, None)], "start_ip string, end_ip string, lat double, lon double, country string, state string, city string")
+    with pytest.raises(REFUSED, match="range of addresses"):
+        ip_location.locate_ips(ips, bad).collect()
 
 
 # Start times

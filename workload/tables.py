@@ -86,6 +86,28 @@ def ip_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def ip_ranges_v6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Networks of IPv6 addresses, one inside the other, of which the inner ones are narrow ranges."""
+    place = [
+        "n_nationkey * 1.5D AS lat",
+        "n_nationkey * -2.0D AS lon",
+        "concat({}, n_name) AS country",
+        "concat('STATE_', n_regionkey) AS state",
+        "cast(NULL AS string) AS city",
+    ]
+    nation = read(spark, sf_dir, "nation").withColumn("net", F.lower(F.hex(F.col("n_nationkey") * 2)))
+    ends = [
+        ("'2001:db8:' || net || '::'", "'2001:db8:' || lower(hex(n_nationkey * 2 + 1)) || ':0::3:ffff'", "''"),
+        ("'2001:0DB8:' || net || '::1:10'", "'2001:db8:' || net || '::6:0'", "'IN_'"),
+        ("'2001:db8:' || net || ':0:0:0:2:0'", "'2001:db8:' || net || '::2:80'", "'DEEP_'"),
+    ]
+    nets = [
+        nation.selectExpr(f"{start} AS start_ip", f"{end} AS end_ip", *(p.format(name) for p in place))
+        for start, end, name in ends
+    ]
+    return nets[0].unionByName(nets[1]).unionByName(nets[2])
+
+
 def polygons(spark: SparkSession, sf_dir: str) -> DataFrame:
     west = F.col("n_nationkey") % 5 * 70 - 175
     south = F.floor(F.col("n_nationkey") / 5) * 32 - 80
