@@ -20,7 +20,7 @@ from surveysieve.llm.common import pick, sampled, slices, texts_of
 # Elements of HTML by their part in a page.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noscript template iframe xmp noframes noembed".split())
-UNSHOWN = frozenset("head script style title noscript template iframe svg math canvas object audio video select option datalist button textarea form dialog map".split())
+UNSHOWN = frozenset("head script style title noscript template iframe svg math canvas object audio video select option datalist button textarea dialog map".split())
 BESIDE = frozenset("nav aside footer menu".split())
 BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure "
@@ -39,16 +39,25 @@ MAIN = frozenset(["article", "main"])
 MAIN_WORDS = frozenset(["main", "article", "articlebody"])
 # A mark of the main element counts if it holds this share of the page's words that are not dropped.
 LEAST_SHARE = 0.25
-# An element with this share of the page's shown words is not dropped for its names.
-LARGE_SHARE = 0.5
+# Words beside these in a name that only say how an element is laid out, and those that say that a page has something or not.
+LAYOUT_WORDS = frozenset(
+    "area bar block body bottom box bottombar col column container content element feed frame group holder inner item left "
+    "list main mid page panel post reader right row section slot thread top unit user visitor wrap wrapper zone".split()
+)
+# What readers write, however much it is.
+READER_WORDS = frozenset("comment comments disqus reply replies".split())
+# An element is not dropped for its names if it holds half of the page's words; one with the words of readers, if hardly one would be left.
+LARGE_SHARE, READER_SHARE = 0.5, 0.95
 
+# Quotes enclose a value only behind an equals sign.
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)",
+    r"|<(/?)([a-zA-Z][^\s/>]*)((?:=\s*\"[^\"]*\"|=\s*'[^']*'|[^>=]+|=)*+)(?:>|\Z)",
     re.DOTALL,
 )
-_ATTRIBUTE = re.compile(r"""\b(class|id|role|itemprop)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.IGNORECASE)
-_HIDDEN = re.compile(r"""(?:^|\s)hidden(?:\s|=|$)|aria-hidden\s*=\s*["']?true|display\s*:\s*none""", re.IGNORECASE)
+_ATTRIBUTE = re.compile(r"""([^\s=/>]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""")
+_NAMES = frozenset(["class", "id", "role", "itemprop"])
+_NOT_SHOWN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.IGNORECASE)
 _NAME = re.compile(r"[a-zA-Z]+")
 
 
@@ -71,6 +80,9 @@ class _Open:
     main: bool
     hidden: bool = False
     span: Span | None = None
+    # Kind of the words inside: the nearest block, and whether they belong to a link.
+    block: str = "none"
+    link: str = ""
 
 
 @dataclass
@@ -81,6 +93,8 @@ class Span:
     # Whether the element marks the main text, and whether its names say that it stands beside the text.
     main: bool
     beside: bool
+    # It is not dropped with this share of the page's words.
+    kept_from: float = LARGE_SHARE
     end: int | None = None
 
 
@@ -92,62 +106,96 @@ class Page:
     share: float = 0.0
 
 
-def _marks_main(name: str, attributes: str) -> bool:
+def _attributes(text: str) -> list[tuple[str, str]]:
+    """Names in lower case and values without their quotes."""
+    found = []
+    for name, value in _ATTRIBUTE.findall(text):
+        quoted = len(value) > 1 and value[0] in "\"'" and value[-1] == value[0]
+        found.append((name.lower(), value[1:-1] if quoted else value))
+    return found
+
+
+def _marks_main(name: str, attributes: list[tuple[str, str]]) -> bool:
     """Whether an element says that it is the page's main one: by its name, or by the whole role or property."""
     if name in MAIN:
         return True
-    for key, value in _ATTRIBUTE.findall(attributes):
-        if (key.lower(), value.strip("\"' \n\t").lower()) in (("role", "main"), ("itemprop", "articlebody")):
-            return True
-    return False
+    return any((key, value.strip().lower()) in (("role", "main"), ("itemprop", "articlebody")) for key, value in attributes)
+
 
+def _named_beside(name: str, attributes: list[tuple[str, str]]) -> float:
+    """If one whole name of an element says that it stands beside the text, the share of the page up to which that holds; else 0.
 
-def _named_beside(name: str, attributes: str) -> bool:
-    """Whether one whole name of an element consists of words for what stands beside the text only."""
+    All its words do, or are about the layout: ``comment-list`` and ``ad-slot``, but neither
+    ``has-comments`` nor ``tag-cookies``.
+    """
     if name in ("html", "body"):
-        return False
-    for _, value in _ATTRIBUTE.findall(attributes):
-        for each in value.split():
+        return 0.0
+    share = 0.0
+    for key, value in attributes:
+        for each in value.split() if key in _NAMES else ():
             said = [word.lower() for word in _NAME.findall(each)]
-            if said and BESIDE_WORDS.issuperset(said):
-                return True
-    return False
+            beside = [word in BESIDE_WORDS or word + "s" in BESIDE_WORDS for word in said]
+            if any(beside) and all(b or word in LAYOUT_WORDS for b, word in zip(beside, said, strict=True)):
+                # What follows a label of the page itself is its subject.
+                if len(said) < 2 or said[0] not in ("tag", "tags", "post", "page"):
+                    share = max(share, LARGE_SHARE if READER_WORDS.isdisjoint(said) else READER_SHARE)
+    return share
 
 
-def _role(name: str, attributes: str) -> tuple[bool, bool, bool]:
+def _hidden(name: str, attributes: list[tuple[str, str]]) -> bool:
+    """Whether an element is not shown."""
+    return name in UNSHOWN or any(
+        key == "hidden"
+        or (key == "aria-hidden" and value.strip().lower() == "true")
+        or (key == "style" and _NOT_SHOWN.search(value) is not None)
+        for key, value in attributes
+    )
+
+
+def _role(name: str, attributes: list[tuple[str, str]]) -> tuple[bool, bool, bool]:
     """Whether an element stands beside the text, may have a header that belongs to it, or is not shown."""
     said: set[str] = set()
-    if attributes:
-        for _, value in _ATTRIBUTE.findall(attributes):
+    for key, value in attributes:
+        if key in _NAMES:
             said.update(word.lower() for word in _NAME.findall(value))
-    hidden = name in UNSHOWN or bool(attributes and _HIDDEN.search(attributes))
     main = name in MAIN or (name not in ("html", "body") and bool(said & MAIN_WORDS))
-    return name in BESIDE, main, hidden
+    return name in BESIDE, main, _hidden(name, attributes)
 
 
 def read_page(source: str) -> Page:
     """Tags and words of a page in order. Faulty nesting is taken as browsers do, roughly."""
     page, stack, block, place = Page(), [], 0, 0
     spans: list[Span] = []
+    open_names: Counter[str] = Counter()
     aside = main = hidden = 0
     end = len(source)
 
-    def push(name: str, attributes: str) -> None:
+    def push(name: str, attributes: list[tuple[str, str]]) -> None:
         nonlocal aside, main, hidden
         is_aside, is_main, is_hidden = _role(name, attributes)
         if name == "header":
             is_aside = not main
         span = None
         if not (is_aside or aside):
-            marks, beside = _marks_main(name, attributes), name != "header" and _named_beside(name, attributes)
-            if marks or beside:
-                spans.append(span := Span(len(page.items), marks, beside))
-        stack.append(_Open(name, is_aside, is_main, is_hidden, span))
+            marks, share = _marks_main(name, attributes), 0.0 if name == "header" else _named_beside(name, attributes)
+            if name == "form":
+                share = max(share, LARGE_SHARE)
+            if marks or share:
+                spans.append(span := Span(len(page.items), marks, share > 0, LARGE_SHARE if marks else share))
+        around = stack[-1] if stack else None
+        if name in BLOCKS:
+            nearest, link = name, ""
+        else:
+            nearest, link = (around.block, around.link) if around else ("none", "")
+            link = "link-" if name == "a" else link
+        stack.append(_Open(name, is_aside, is_main, is_hidden, span, nearest, link))
+        open_names[name] += 1
         aside, main, hidden = aside + is_aside, main + is_main, hidden + is_hidden
 
     def pop() -> _Open:
         nonlocal aside, main, hidden
         top = stack.pop()
+        open_names[top.name] -= 1
         if top.span:
             top.span.end = len(page.items)
         aside, main, hidden = aside - top.aside, main - top.main, hidden - top.hidden
@@ -156,7 +204,7 @@ def read_page(source: str) -> Page:
     def words(start: int, stop: int) -> None:
         if start < stop and (text := html.unescape(source[start:stop])):
             count = len(text.split())
-            kind = "words:" + ("aside" if aside else "hidden" if hidden else _nearest(stack))
+            kind = "words:" + ("aside" if aside else "hidden" if hidden else stack[-1].link + stack[-1].block if stack else "none")
             page.items.append(Item(kind, count, text, block, bool(aside or hidden)))
 
     while place < end:
@@ -178,7 +226,7 @@ def read_page(source: str) -> Page:
         name = match[2].lower()
         block += name in BLOCKS
         if match[1]:
-            if any(entry.name == name for entry in stack):
+            if open_names[name]:
                 while pop().name != name:
                     pass
         elif name in RAW:
@@ -189,12 +237,12 @@ def read_page(source: str) -> Page:
         elif name not in VOID:
             if name in BLOCKS:
                 while stack and stack[-1].name in ("p", "b", "i", "em", "strong", "span", "a", "font", "u", "small"):
-                    if not any(entry.name == "p" for entry in stack):
+                    if not open_names["p"]:
                         break
                     pop()
             if name == "li" and stack and stack[-1].name == "li":
                 pop()
-            push(name, match[3] or "")
+            push(name, _attributes(match[3]) if match[3] else [])
             if match[3] and match[3].endswith("/"):
                 pop()
         if name in VOID:
@@ -216,13 +264,13 @@ def _shown(page: Page) -> list[int]:
 
 
 def _drop_beside(page: Page, spans: Sequence[Span]) -> None:
-    """Drops elements that are named as beside the text, unless they hold the main element or much of the page."""
+    """Drops forms and elements that are named as beside the text, unless they hold the main element or too much of the page."""
     up_to = _shown(page)
     # In order, as spans are.
     mains = [span.start for span in spans if span.main and not span.beside]
     last = 0
     for span in spans:
-        if not span.beside or span.end <= last or up_to[span.end] - up_to[span.start] >= LARGE_SHARE * max(up_to[-1], 1):
+        if not span.beside or span.end <= last or up_to[span.end] - up_to[span.start] >= span.kept_from * max(up_to[-1], 1):
             continue
         place = bisect_left(mains, span.start)
         if place < len(mains) and mains[place] < span.end:
@@ -231,7 +279,7 @@ def _drop_beside(page: Page, spans: Sequence[Span]) -> None:
         for item in page.items[span.start : span.end]:
             if item.kind.startswith("words:"):
                 item.kind, item.dropped = "words:aside", True
-            elif item.kind[4:] in VOID:
+            else:
                 item.dropped = True
 
 
@@ -257,17 +305,6 @@ def _place_main(page: Page, marks: Sequence[Span]) -> None:
     page.share = inside / total
 
 
-def _nearest(stack: Sequence[_Open]) -> str:
-    """Kind of the block that holds the words, and whether they belong to a link."""
-    link = ""
-    for entry in reversed(stack):
-        if entry.name == "a":
-            link = "link-"
-        if entry.name in BLOCKS:
-            return link + entry.name
-    return link + "none"
-
-
 # Scores
 
 # Scores of kinds that no labelled page shows, and where there are no labelled pages.
@@ -336,7 +373,8 @@ def item_scores(page: Page, weights: dict[str, float]) -> list[float]:
             else:
                 scores.append(item.words * _with_bonus(each, item.main, page.share))
         else:
-            scores.append(0.0 if item.kind.startswith("words:") else each)
+            left_out = item.dropped and item.main == "in"
+            scores.append(0.0 if left_out or item.kind.startswith("words:") else each)
     return scores
 
 

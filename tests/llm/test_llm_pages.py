@@ -6,6 +6,7 @@ import html
 import io
 import os
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -92,6 +93,64 @@ def test_parts_beside_the_text_are_left_out():
     marked = WHOLE.replace('<div class="post">', "<main>").replace("</div>\n<section", "</main>\n<section")
     assert html_text.main_text(marked, {}) == expected
 
+ARTICLE = "<h1>A heading of words</h1>" + "".join(
+    f"<p>{' '.join(f'word{i}x{j}' for j in range(30))}</p>" for i in range(10)
+)
+ARTICLE_TEXT = "A heading of words\n\n" + "\n\n".join(" ".join(f"word{i}x{j}" for j in range(30)) for i in range(10))
+REPLIES = "".join(f"<p>{' '.join(f'reply{i}x{j}' for j in range(30))}</p>" for i in range(30))
+ADVERT = "<p>buy this now for less</p>"
+# How pages may hold the article, plain or as the main element, and what may stand around or in it.
+FRAMES = [
+    "<body>{}</body>",
+    '<body><form id="aspnetForm"><div class="menu">home news</div>{}</form></body>',
+    '<body class="overflow hidden x"><div data-title="The hidden truth">{}</div></body>',
+    '<body><div class="content has-comments">{}</div></body>',
+    '<body><div class="wrapper with-sidebar" id=main-page>{}</div></body>',
+    '<body><div id="page-no-nav">{}</div></body>',
+    '<body><div class="post category-social tag-cookies" aria-hidden="false">{}</div></body>',
+    "<body><div title=don't>{}</div></body>",
+    f'<body>{{}}<div class="comments">{REPLIES}</div></body>',
+    f'<body><div id="post">{{}}<section id="user-comments">{REPLIES}</section></div></body>',
+    f'<body>{{}}<div class="comment-list"><form><textarea>say</textarea></form>{REPLIES}</div></body>',
+    f'<body><div class=ad-slot>{ADVERT}</div>{{}}<div hidden>{REPLIES}</div><div style="color:red; display : none">{REPLIES}</div></body>',
+    '<body>{}<form class="contact"><label>Your name</label><input><p>We answer soon</p></form></body>',
+]
+
+
+@pytest.mark.parametrize("frame", range(len(FRAMES)))
+@pytest.mark.parametrize("element", ["article", "main", "div", 'div class="entry"'])
+def test_article_in_pages_of_many_shapes(frame, element):
+    name = element.split()[0]
+    page = FRAMES[frame].format(f"<{element}>{ARTICLE}</{name}>")
+    assert html_text.main_text(f"<html><head><title>Title</title></head>{page}</html>", {}) == ARTICLE_TEXT
+
+
+def test_what_stands_beside_inside_the_article_is_left_out():
+    for beside in (
+        f'<div class="comment-list">{REPLIES}</div>',
+        f'<div class="ad-slot">{ADVERT}</div>',
+        f"<aside>{ADVERT}</aside>",
+        "<form><label>Find</label><input><button>go</button></form>",
+        "<select><option>one</select>",
+    ):
+        middle = ARTICLE.replace("</h1>", "</h1>" + beside)
+        assert html_text.main_text(f"<body><article>{middle}</article></body>", {}) == ARTICLE_TEXT
+
+
+def test_deep_nesting_takes_linear_time():
+    page = "<div>" * 20_000 + "word " + "</span>" * 20_000
+    started = time.perf_counter()
+    assert html_text.main_text(page, {}) == "word"
+    assert time.perf_counter() - started < 5
+
+
+def test_attributes_are_read_as_browsers_read_them():
+    read = html_text._attributes(""" class="a b" id=x'y hidden data-q='"' =odd style = "display:none" / alt=""")
+    assert read[:5] == [("class", "a b"), ("id", "x'y"), ("hidden", ""), ("data-q", '"'), ("odd", "")]
+    assert ("style", "display:none") in read
+
+
+
 
 def test_learned_scores():
     counts = Counter()
