@@ -78,14 +78,15 @@ def _groups(source: DataFrame, narrow: DataFrame, hot_rows: int) -> DataFrame:
         .groupBy("digest", "lanes", "lane", "content")
         .agg(F.count("*").alias("n"), F.max(_best()).alias("best"))
     )
-    # Only hot digests have further lanes, so the others' contents need not be sent again.
+    # Only hot digests have further lanes. The others' rows are combined already: their contents need not
+    # be sent again, and a number of its own keeps each of them apart.
     is_hot = F.col("lanes").isNotNull()
     combined = (
         salted.select(
             "digest",
             "lanes",
             F.when(is_hot, F.col("content")).alias("content"),
-            F.when(~is_hot, F.col("best")).alias("settled"),
+            F.when(~is_hot, F.monotonically_increasing_id()).alias("settled"),
             "n",
             "best",
         )

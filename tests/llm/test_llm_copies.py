@@ -309,3 +309,9 @@ def test_a_shared_prefix_is_compared_in_blocks(spark):
     pairs, _ = simhash.near_pairs(spark.createDataFrame(rows, "doc_id long, fingerprint string"), 3, 64, group=30)
     found = pairs.collect()
     assert {(r.fingerprint_a, r.fingerprint_b) for r in found} == expected and len(found) == len(expected)
+
+
+def test_texts_of_one_digest_stay_apart_without_ids(spark):
+    rows = [(None, "abc"), (None, "xyz"), (None, "xyz"), (7, "a b"), (7, "b c")]
+    found = exact_dedup.mark_copies(documents(spark, rows), digest=lambda content: F.lit(b"same")).collect()
+    assert sorted((r.group_size, r.kept) for r in found) == [(1, True), (1, True), (1, True), (2, False), (2, True)]
