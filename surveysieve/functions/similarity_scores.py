@@ -42,16 +42,33 @@ def pack(texts: Sequence[str]) -> Pack:
     return Pack(tuple(lengths), tuple(offsets), positions, full)
 
 
-def lcs_lengths(text: str, partners: Pack) -> list[int]:
+# Where to look whether the rest of a text can still make up for what is missing, as parts of it.
+_LOOKS = (0.6, 0.75, 0.88)
+
+
+def lcs_lengths(text: str, partners: Pack, needed: np.ndarray | None = None) -> list[int]:
+    """LCS of a text with each partner; with ``needed``, what was found so far if none can reach its number any more."""
     full, unmatched = partners.full, partners.full
-    for bits in filter(None, map(partners.positions.get, text)):
-        matched = unmatched & bits
-        # matched is part of unmatched: the exclusive or takes it away, faster than a difference.
-        unmatched = ((unmatched + matched) | (unmatched ^ matched)) & full
-    return [
-        length - ((unmatched >> offset) & ((1 << length) - 1)).bit_count()
-        for length, offset in zip(partners.lengths, partners.offsets, strict=True)
-    ]
+    looks = [int(len(text) * part) for part in _LOOKS] if needed is not None else []
+    for start, stop in zip([0, *looks], [*looks, len(text)], strict=True):
+        for bits in filter(None, map(partners.positions.get, text[start:stop])):
+            matched = unmatched & bits
+            # matched is part of unmatched: the exclusive or takes it away, faster than a difference.
+            unmatched = ((unmatched + matched) | (unmatched ^ matched)) & full
+        if stop < len(text) and (_matched(unmatched, partners) + len(text) - stop < needed).all():
+            break
+    return _matched(unmatched, partners).tolist()
+
+
+def _matched(unmatched: int, partners: Pack) -> np.ndarray:
+    """Zeros of each partner's part of the state."""
+    return np.array(
+        [
+            length - ((unmatched >> offset) & ((1 << length) - 1)).bit_count()
+            for length, offset in zip(partners.lengths, partners.offsets, strict=True)
+        ],
+        dtype=np.int64,
+    )
 
 
 def percent(common, total):
@@ -97,6 +114,18 @@ class Tokens:
         return cls(form, tokens, sum(map(len, tokens)))
 
 
+def sharing_score(a: Tokens, b: Tokens) -> float:
+    """The score that two forms reach by the tokens that both have, against those of either one alone."""
+    shared = a.tokens & b.tokens
+    if not shared:
+        return 0.0
+    if len(shared) in (len(a.tokens), len(b.tokens)):
+        return 100.0
+    common = sum(map(len, shared)) + len(shared) - 1
+    own = (t.characters + len(t.tokens) - 1 - common for t in (a, b))
+    return max(_from_distance(rest, common + common + rest) for rest in own)
+
+
 def token_score(scorer: str, a: Tokens, b: Tokens, least: int) -> int:
     """The score of two forms by their tokens, if it is at least ``least``; else some lower number.
 
@@ -147,7 +176,10 @@ def score(scorer: str, a: str, b: str) -> float:
     return max(plain, token_set_score(a, b)) if scorer == "token_ratio" else plain
 
 
-def character_counts(texts: Sequence[str], buckets: int = 128) -> np.ndarray:
+CHARACTER_CLASSES = 128
+
+
+def character_counts(texts: Sequence[str], buckets: int = CHARACTER_CLASSES) -> np.ndarray:
     """Occurrences of each character class; characters fall into classes by code point."""
     counts = np.zeros((len(texts), buckets), dtype=np.int32)
     for row, text in enumerate(texts):

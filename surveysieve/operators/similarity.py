@@ -1,57 +1,64 @@
-"""Pairs of similar answers: an exact all-pairs join within bounds that lose nothing.
+"""Pairs of similar answers: exact, within bounds that lose nothing.
 
-Equal texts are merged first. Two texts can reach a score only if their lengths
-are close enough, so texts are cut into length classes and each class into
-blocks of bounded size; every block meets itself and the blocks of the classes
-within reach, each pair of blocks in a task of its own. Inside, a bound on the
-shared characters skips hopeless pairs, and the rest is scored.
+Equal texts are merged first. Two texts can reach a score by their characters only if
+their lengths and characters are alike: blocks of like texts meet, unless even their bounds are
+too far apart (``text_blocks``), and the texts of a block are scored side by side for each
+visitor. Scores by shared tokens also come from texts of any length: these pairs are found by an
+inverted index on tokens (``token_index``).
 """
 
 from __future__ import annotations
 
 import math
-from itertools import chain
+from collections import defaultdict
+from collections.abc import Iterable, Iterator
+from dataclasses import dataclass, field
+from io import StringIO
+from itertools import combinations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from surveysieve.functions.columns import col_
 from surveysieve.functions.similarity_scores import (
-    PLAIN_SCORERS,
+    CHARACTER_CLASSES,
     SCORERS,
+    TOKEN_SET_SCORERS,
     Pack,
     Tokens,
     character_counts,
     lcs_lengths,
     pack,
     percent,
+    sharing_score,
     token_score,
 )
 from surveysieve.functions.text import sorted_tokens, strip, text_key
-from surveysieve.operators.skew import HOT_ROWS, join_per_key, task_partitions
+from surveysieve.operators.skew import HOT_ROWS, is_small, join_per_key
+from surveysieve.operators.text_blocks import compare_blocks
+from surveysieve.operators.token_index import LANE_POSTINGS, candidate_pairs, token_postings, with_texts
 from surveysieve.sources.sinks import stage_table
 
 MIN_LENGTH = 7
 SCORER = "token_sort_ratio"
 THRESHOLD = 65
 
-BLOCK_CHARACTERS = 131_072
-# So that the matches of two blocks fit a task even if all of their texts are short and alike.
-BLOCK_TEXTS = 1_024
-_CLASSES_IN_REACH = 4
+# So many texts are compared each with each.
+FEW_TEXTS = 256
 # Texts per pack, and how many of them must be asked for to score the whole pack at once.
 _PACK, _WORTH_A_PACK = 64, 8
 _PAIR = "id_i {key}, id_j {key}, score int, copies_i long, copies_j long"
-_ENTRY = "struct<other: {key}, score: int, text: string, n: bigint>"
+_PAIR_COLUMNS = ["id_i", "id_j", "score", "copies_i", "copies_j"]
 
 
 def distinct_texts(df: DataFrame, key: str, column_name: str, min_length: int, scorer: str) -> DataFrame:
     """One row per distinct text: key, first and last response, copies, prepared form.
 
-    Written as a table, since its length classes decide how the texts are cut
-    into blocks, and so that merging and preparing them is done once.
+    Written as a table, so that merging and preparing the texts is done once.
     """
     if scorer not in SCORERS:
         raise ValueError(f"similarity must be one of {SCORERS}, not '{scorer}'")
@@ -94,12 +101,7 @@ def similar_pairs(
     """
     _check(threshold)
     texts = distinct_texts(df, key, column_name, min_length, fuzz_func)
-    meetings = _meetings(texts, fuzz_func, threshold, block_characters)
-
-    def compare(group: pd.DataFrame) -> pd.DataFrame:
-        return _pairs_of(group, fuzz_func, math.ceil(threshold))
-
-    pairs = meetings.drop("text").groupBy("left", "right").applyInPandas(compare, _PAIR.format(key=_key_type(df, key)))
+    pairs = _pairs_of_texts(texts, _key_type(df, key), fuzz_func, threshold, block_characters)
     return pairs.unionByName(
         texts.where("copies > 1 AND long").selectExpr(
             "first_id AS id_i", "first_id AS id_j", "100 AS score", "copies AS copies_i", "copies AS copies_j"
@@ -122,173 +124,231 @@ def similar_members(
     return found.select("representative", col_(key))
 
 
-def _meetings(texts: DataFrame, scorer: str, threshold: float, block_characters: int | None) -> DataFrame:
-    """The texts under every pair of blocks (left, right) they take part in."""
+def _pairs_of_texts(
+    texts: DataFrame, key_type: str, scorer: str, threshold: float, block_characters: int | None
+) -> DataFrame:
+    """The similar pairs of different texts; each is found in one way only."""
     least = math.ceil(threshold)
-    plain = scorer in PLAIN_SCORERS
-    carried = ["first_id", "form", "text", "long", "copies"]
-    classed = texts.select(*carried, _length_class(plain, least).alias("class"))
-    plan = _blocks(classed, block_characters)
-    # At most one row per length class, a few hundred in all.
-    lookup = F.broadcast(texts.sparkSession.createDataFrame(plan, ", ".join(f"{c} long" for c in _PLAN)))
-    blocked = classed.join(lookup, "class").select(
-        *carried,
-        (F.col("first_block") + F.pmod(F.xxhash64("first_id"), "blocks")).alias("own"),
-        F.explode(F.sequence(F.col("from_block"), F.col("to_block"))).alias("other"),
-    )
-    meetings = blocked.select(
-        F.least("own", "other").alias("left"),
-        F.greatest("own", "other").alias("right"),
-        (F.col("own") <= F.col("other")).alias("is_left"),
-        *carried,
-    )
-    # Scoring dwarfs the bytes shuffled, so the partitions follow the number of tasks, not the size.
-    tasks = int((plan["blocks"] * (plan["to_block"] - plan["from_block"] + 1)).sum()) // 2 + 1
-    return meetings.repartition(task_partitions(texts.sparkSession, tasks), "left", "right")
-
-
-def _length_class(plain: bool, least: int):
-    """Class numbers such that only classes within reach hold lengths that can match."""
-    length = F.length("form")
-    if not plain:
-        return F.lit(0)
-    # A shared subsequence is no longer than the shorter text: the longer one may
-    # have (200 - least) / least times its length. The slack covers rounding.
-    width = math.log((200 - least) / least) / _CLASSES_IN_REACH + 1e-9
-    width = max(width, 0.01)
-    return F.when(length == 0, F.lit(-1_000_000)).otherwise(F.floor(F.ln(length.cast("double")) / width).cast("int"))
-
-
-_PLAN = ["class", "first_block", "blocks", "from_block", "to_block"]
-
-
-def _blocks(classed: DataFrame, block_characters: int | None) -> pd.DataFrame:
-    """Blocks per length class, from one aggregate of a row per class."""
-    # The average length serves for all scorers; blocks hold about equal work.
-    sizes = (
-        classed.groupBy("class")
-        .agg(F.count("*").alias("texts"), F.sum(F.length("form") + 1).alias("characters"))
-        .toPandas()
-        .sort_values("class", ignore_index=True)
-    )
-    if sizes.empty:
-        return pd.DataFrame(columns=_PLAN)
-    parallel = classed.sparkSession.sparkContext.defaultParallelism
-    room = block_characters or int(min(BLOCK_CHARACTERS, max(2_048, sizes["characters"].sum() / parallel)))
-    # Blocks hold about ``room`` characters and ``BLOCK_TEXTS`` texts at most; a text that is longer has one of its own.
-    wanted = np.maximum(np.ceil(sizes["characters"] / room), np.ceil(sizes["texts"] / BLOCK_TEXTS))
-    sizes["blocks"] = np.minimum(wanted, sizes["texts"]).astype("int64")
-    sizes["first_block"] = sizes["blocks"].cumsum() - sizes["blocks"]
-    numbers = sizes["class"].to_numpy()
-    low = np.searchsorted(numbers, numbers - _CLASSES_IN_REACH, side="left")
-    high = np.searchsorted(numbers, numbers + _CLASSES_IN_REACH, side="right") - 1
-    first, blocks = sizes["first_block"].to_numpy(), sizes["blocks"].to_numpy()
-    return sizes.assign(from_block=first[low], to_block=first[high] + blocks[high] - 1)[_PLAN]
-
-
-def _matches(group: pd.DataFrame, scorer: str, least: int):
-    """(left texts, right texts, positions i, positions j, scores) of the matches of two blocks."""
-    group = group.assign(length=group["form"].str.len()).sort_values(["length", "first_id"], ignore_index=True)
-    within = bool(len(group)) and group["left"].iat[0] == group["right"].iat[0]
-    left = group[group["is_left"]].reset_index(drop=True)
-    right = left if within else group[~group["is_left"]].reset_index(drop=True)
-    found = iter(())
-    if len(left) and len(right):
-        match = _plain_matches if scorer in PLAIN_SCORERS else _token_matches
-        found = match(left, right, within, scorer, least)
-    i, j, value = np.fromiter(chain.from_iterable(found), dtype=np.int64).reshape(-1, 3).T
-    return left, right, i, j, value
-
-
-def _pairs_of(group: pd.DataFrame, scorer: str, least: int) -> pd.DataFrame:
-    left, right, i, j, value = _matches(group, scorer, least)
+    schema = _PAIR.format(key=key_type)
+    if block_characters is None and is_small(texts, FEW_TEXTS):
+        # Not worth a plan.
+        return texts.repartition(1).mapInArrow(_all_pairs(scorer, least), schema)
+
+    def compare(block: pd.DataFrame):
+        return _Block(block, scorer, least).pairs
+
+    if scorer not in TOKEN_SET_SCORERS:
+        shaped = texts.select("first_id", F.col("form").alias("shape"), "long", "copies")
+        return compare_blocks(shaped, least, compare, schema, block_characters)
+    distinct = F.array_join(F.array_distinct(F.split("form", " ")), " ")
+    shaped = texts.select("first_id", distinct.alias("shape"), "form", "long", "copies")
+    found = compare_blocks(shaped.where("shape <> ''"), least, compare, schema, block_characters)
+    if scorer == "token_ratio":
+        whole = texts.select("first_id", F.col("form").alias("shape"), "form", "long", "copies")
+
+        def compare_whole(block: pd.DataFrame):
+            return _Block(block, scorer, least, whole=True).pairs
+
+        found = found.unionByName(compare_blocks(whole, least, compare_whole, schema, block_characters))
+    return found.unionByName(_pairs_by_tokens(texts, scorer, least, schema))
+
+
+def _pairs_by_tokens(texts: DataFrame, scorer: str, least: int, schema: str) -> DataFrame:
+    """The pairs that reach the score by what they share."""
+    postings = stage_table(token_postings(texts, least), "postings")
+    candidates = with_texts(candidate_pairs(postings), texts)
+
+    def score(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = batch.to_pandas()
+            values = np.zeros(len(rows), dtype=np.int32)
+            for n, (a, b) in enumerate(zip(rows["form_i"], rows["form_j"], strict=True)):
+                one, other = Tokens.of(a), Tokens.of(b)
+                if int(sharing_score(one, other)) >= least:
+                    values[n] = token_score(scorer, one, other, least)
+            found = rows[values >= least].assign(score=values[values >= least])
+            yield pa.RecordBatch.from_pandas(found[_PAIR_COLUMNS], preserve_index=False)
+
+    return candidates.select("id_i", "id_j", "form_i", "form_j", "copies_i", "copies_j").mapInArrow(score, schema)
+
+
+def _all_pairs(scorer: str, least: int):
+    """All texts of a task, each with each."""
+
+    def task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = pd.concat([pd.DataFrame(), *(batch.to_pandas() for batch in batches)], ignore_index=True)
+        found = []
+        if len(rows) and scorer in TOKEN_SET_SCORERS:
+            texts, long = [Tokens.of(form) for form in rows["form"]], rows["long"].to_list()
+            for i, j in combinations(range(len(rows)), 2):
+                if (long[i] or long[j]) and (value := token_score(scorer, texts[i], texts[j], least)) >= least:
+                    found.append((i, j, value))
+        elif len(rows):
+            batch = _Block(rows.assign(shape=rows["form"]), scorer, least).pairs(None, None)
+            if batch is not None:
+                yield batch
+        if found:
+            yield _pair_batch(rows, rows, *(np.array(column) for column in zip(*found, strict=True)))
+
+    return task
+
+
+class _Beside:
+    """Texts side by side, whose common subsequences with another text are found for a pack of them at once."""
+
+    def __init__(self, texts: list[str]):
+        self.texts = texts
+        self.packs: dict[int, Pack] = {}
+        self.single: dict[int, Pack] = {}
+
+    def common(self, near: np.ndarray, text: str, needed: np.ndarray) -> np.ndarray:
+        """Lengths of the longest common subsequences with the texts at ``near``, which ascend.
+
+        Where a length falls short of ``needed``, some smaller one may be returned.
+        """
+        common = np.zeros(len(near), dtype=np.int64)
+        if not len(near):
+            return common
+        packs = near // _PACK
+        starts = np.flatnonzero(np.append(True, packs[1:] != packs[:-1])).tolist()
+        for start, stop in zip(starts, [*starts[1:], len(near)], strict=True):
+            if stop - start >= _WORTH_A_PACK:
+                number = int(packs[start])
+                if number not in self.packs:
+                    self.packs[number] = pack(self.texts[number * _PACK : (number + 1) * _PACK])
+                least = np.full(len(self.packs[number].lengths), np.inf)
+                least[near[start:stop] - number * _PACK] = needed[start:stop]
+                found = np.array(lcs_lengths(text, self.packs[number], least))
+                common[start:stop] = found[near[start:stop] - number * _PACK]
+                continue
+            for at, place in enumerate(near[start:stop].tolist(), start):
+                if place not in self.single:
+                    self.single[place] = pack([self.texts[place]])
+                common[at] = lcs_lengths(text, self.single[place])[0]
+        return common
+
+
+class _Block:
+    """Texts that are scored side by side against one visitor after the other.
+
+    For token sets, ``shape`` has each token once, and pairs that reach the score by
+    what they share are left to the index. ``whole`` finds those that remain by all of their tokens.
+    """
+
+    def __init__(self, block: pd.DataFrame, scorer: str, least: int, whole: bool = False):
+        lengths = block["shape"].str.len()
+        self.rows = block.assign(length=lengths).sort_values(["length", "first_id"], ignore_index=True)
+        self.scorer, self.least, self.whole = scorer, least, whole
+        self.shapes = self.rows["shape"].to_list()
+        self.lengths, self.long = self.rows["length"].to_numpy(), self.rows["long"].to_numpy()
+        self.counts = character_counts(self.shapes)
+        self.whole_shapes = _Beside(self.shapes)
+        self.tokens = [Tokens.of(form) for form in self.rows["form"]] if scorer in TOKEN_SET_SCORERS else []
+        self.holders: dict[str, list[int]] = defaultdict(list)
+        for place, tokens in enumerate(self.tokens):
+            for token in tokens.tokens:
+                self.holders[token].append(place)
+
+    def pairs(self, _, visitors: pd.DataFrame | None) -> pa.RecordBatch | None:
+        """Scores of the visitors, or of the block's own pairs, as a batch of pairs."""
+        other = self.rows if visitors is None else visitors
+        places, visits, values = [], [], []
+        counts = self.counts if visitors is None else character_counts(other["shape"].to_list())
+        columns = zip(other["shape"], counts, other["long"], other["form"] if self.tokens else other["shape"], strict=True)
+        for visit, (shape, count, is_long, form) in enumerate(columns):
+            after = visit + 1 if visitors is None else 0
+            place, value = self._matches(shape, count, is_long, form, after)
+            if len(place):
+                places.append(place)
+                visits.append(np.full(len(place), visit))
+                values.append(value)
+        if not places:
+            return None
+        i, j, value = map(np.concatenate, (places, visits, values))
+        return _pair_batch(self.rows, other, i, j, value)
+
+    def _matches(self, shape: str, count: np.ndarray, is_long: bool, form: str, after: int) -> tuple[np.ndarray, np.ndarray]:
+        """(places, scores) of the block's texts from ``after`` on that are similar to a text."""
+        length = len(shape)
+        lengths = self.lengths[after:]
+        allowed = percent(np.minimum(lengths, length), lengths + length).astype(np.int64) >= self.least
+        if not is_long:
+            allowed &= self.long[after:]
+        if self.scorer == "QRatio":
+            allowed &= (lengths > 0) & (length > 0)
+        near = np.flatnonzero(allowed) + after
+        if self.tokens and not self.whole:
+            return self._token_matches(near, shape, count, Tokens.of(form))
+        shared = np.minimum(self.counts[near], count).sum(axis=1)
+        near = near[percent(shared, self.lengths[near] + length).astype(np.int64) >= self.least]
+        total = self.lengths[near] + length
+        needed = np.floor(total * (self.least - 1e-6) / 200)
+        values = percent(self.whole_shapes.common(near, shape, needed), total).astype(np.int64)
+        near, values = near[values >= self.least], values[values >= self.least]
+        if self.whole:
+            return self._only_by_whole(near, Tokens.of(form))
+        return near, values
+
+    def _token_matches(self, near: np.ndarray, shape: str, count: np.ndarray, text: Tokens) -> tuple[np.ndarray, np.ndarray]:
+        """By the tokens that only one of two texts has, for pairs that share too little to be found by that."""
+        total = self.lengths[near] + len(shape)
+        shared = np.minimum(self.counts[near], count).sum(axis=1)
+        near = near[100 - 100 * (total - 2 * shared) / np.maximum(total, 1) >= self.least - 1e-6]
+        held = [(len(token), self.holders[token]) for token in text.tokens if token in self.holders]
+        size = len(self.rows)
+        places = np.concatenate([np.array(p) for _, p in held] or [np.zeros(0, dtype=np.int64)])
+        weights = np.repeat([n for n, _ in held], [len(p) for _, p in held])
+        number = np.bincount(places, minlength=size)[near]
+        letters = np.bincount(places, weights=weights, minlength=size)[near]
+        # What both hold, joined; and what each has besides, with the space in between.
+        joined = letters + np.maximum(number - 1, 0)
+        joint = np.minimum(number, 1)
+        total = self.lengths[near] + len(shape)
+        own, other = (lengths - joined - joint for lengths in (self.lengths[near], len(shape)))
+        by_sharing = np.maximum(
+            *(100 - 100 * (joint + rest) / np.maximum(joined + rest + joint + joined, 1) for rest in (own, other))
+        ) * joint
+        least_edits = 100 - 100 * np.abs(own - other) / np.maximum(total, 1)
+        open_ = (by_sharing < self.least + 1e-6) & (least_edits >= self.least - 1e-6)
+        near, apart, total = near[open_], (own + other)[open_], total[open_]
+        # What the tokens of their own have in common is no longer than what the whole shapes have.
+        needed = np.floor((apart - total * (100 - self.least + 1e-6) / 100) / 2)
+        edits = apart - 2 * self.whole_shapes.common(near, shape, needed)
+        near = near[100 - 100 * edits / np.maximum(total, 1) >= self.least - 1e-6]
+        values = np.zeros(len(near), dtype=np.int64)
+        for n, place in enumerate(near.tolist()):
+            if int(sharing_score(text, self.tokens[place])) < self.least:
+                # Without the whole forms, which have a search of their own.
+                value = token_score("token_set_ratio", text, self.tokens[place], self.least)
+                if value >= self.least:
+                    values[n] = token_score(self.scorer, text, self.tokens[place], self.least)
+        return near[values > 0], values[values > 0]
+
+    def _only_by_whole(self, near: np.ndarray, text: Tokens) -> tuple[np.ndarray, np.ndarray]:
+        """Those that do not reach the score as token sets."""
+        values = np.zeros(len(near), dtype=np.int64)
+        for n, place in enumerate(near.tolist()):
+            if token_score("token_set_ratio", text, self.tokens[place], self.least) < self.least:
+                values[n] = token_score(self.scorer, text, self.tokens[place], self.least)
+        return near[values > 0], values[values > 0]
+
+
+def _pair_batch(left: pd.DataFrame, right: pd.DataFrame, i: np.ndarray, j: np.ndarray, value: np.ndarray) -> pa.RecordBatch:
     id_i, id_j = left["first_id"].to_numpy()[i], right["first_id"].to_numpy()[j]
     copies_i, copies_j = left["copies"].to_numpy()[i], right["copies"].to_numpy()[j]
     swap = id_i > id_j
-    return pd.DataFrame(
-        {
-            "id_i": np.where(swap, id_j, id_i),
-            "id_j": np.where(swap, id_i, id_j),
-            "score": value,
-            "copies_i": np.where(swap, copies_j, copies_i),
-            "copies_j": np.where(swap, copies_i, copies_j),
-        }
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array(np.where(swap, id_j, id_i)),
+            pa.array(np.where(swap, id_i, id_j)),
+            pa.array(value.astype(np.int32)),
+            pa.array(np.where(swap, copies_j, copies_i)),
+            pa.array(np.where(swap, copies_i, copies_j)),
+        ],
+        _PAIR_COLUMNS,
     )
 
 
-def _totals_of(group: pd.DataFrame, scorer: str, least: int, entries: bool) -> pd.DataFrame:
-    """One row per text that has matches between two blocks: their copies, and who they are."""
-    left, right, i, j, value = _matches(group, scorer, least)
-    sides = []
-    for own, other, at, of in ((left, right, i, j), (right, left, j, i)):
-        side = pd.DataFrame(
-            {
-                "first_id": own["first_id"].to_numpy()[at],
-                "other": other["first_id"].to_numpy()[of],
-                "score": value,
-                "n": other["copies"].to_numpy()[of],
-            }
-        )
-        if entries:
-            side["text"] = other["text"].to_numpy()[of]
-        sides.append(side)
-    both = pd.concat(sides, ignore_index=True)
-    totals = both.groupby("first_id")["n"].sum().rename("others").to_frame()
-    if entries:
-        both["entries"] = pd.Series(both[["other", "score", "text", "n"]].to_dict("records"), dtype=object)
-        totals["entries"] = both.groupby("first_id")["entries"].agg(list).astype(object)
-    return totals.reset_index()
-
-
-def _plain_matches(left, right, within, scorer, least):
-    forms = right["form"].to_list()
-    lengths, long = right["length"].to_numpy(), right["long"].to_numpy()
-    counts = character_counts(forms)
-    left_counts = counts if within else character_counts(left["form"].to_list())
-    packs: dict[tuple[int, int], Pack] = {}
-
-    def packed(begin, end):
-        if (begin, end) not in packs:
-            packs[begin, end] = pack(forms[begin:end])
-        return packs[begin, end]
-
-    for i, (form, length, is_long) in enumerate(zip(left["form"], left["length"], left["long"], strict=True)):
-        allowed = long | is_long
-        if within:
-            allowed = allowed & (np.arange(len(forms)) > i)
-        if scorer == "QRatio":
-            allowed = allowed & (lengths > 0) & (length > 0)
-        allowed = allowed & (percent(np.minimum(lengths, length), lengths + length).astype(np.int64) >= least)
-        near = np.flatnonzero(allowed)
-        shared = np.minimum(counts[near], left_counts[i]).sum(axis=1)
-        near = near[percent(shared, lengths[near] + length).astype(np.int64) >= least]
-        common = np.zeros(len(near), dtype=np.int64)
-        numbers, starts, sizes = np.unique(near // _PACK, return_index=True, return_counts=True)
-        for number, start, size in zip(numbers.tolist(), starts.tolist(), sizes.tolist(), strict=True):
-            wanted = near[start : start + size]
-            if size >= _WORTH_A_PACK:
-                begin = number * _PACK
-                whole = lcs_lengths(form, packed(begin, begin + _PACK))
-                common[start : start + size] = np.array(whole)[wanted - begin]
-            else:
-                common[start : start + size] = [lcs_lengths(form, packed(j, j + 1))[0] for j in wanted.tolist()]
-        values = percent(common, lengths[near] + length).astype(np.int64)
-        for j, value in zip(near[values >= least].tolist(), values[values >= least].tolist(), strict=True):
-            yield i, j, value
-
-
-def _token_matches(left, right, within, scorer, least):
-    others = [Tokens.of(form) for form in right["form"]]
-    long = right["long"].to_list()
-    own = others if within else [Tokens.of(form) for form in left["form"]]
-    for i, (text, is_long) in enumerate(zip(own, left["long"].to_list(), strict=True)):
-        for j in range(i + 1 if within else 0, len(others)):
-            if is_long or long[j]:
-                value = token_score(scorer, text, others[j], least)
-                if value >= least:
-                    yield i, j, value
-
-
 def similar_answers(
     df: DataFrame,
     key: str,
@@ -309,53 +369,99 @@ def similar_answers(
     """
     _check(threshold)
     texts = distinct_texts(df, key, column_name, min_length, fuzz_func)
-    listed = list_name is not None
-    meetings = _meetings(texts, fuzz_func, threshold, block_characters)
-
-    def compare(group: pd.DataFrame) -> pd.DataFrame:
-        return _totals_of(group, fuzz_func, math.ceil(threshold), listed)
-
-    key_type = _key_type(df, key)
-    entry = _ENTRY.format(key=key_type)
-    schema = f"first_id {key_type}, others long" + (f", entries array<{entry}>" if listed else "")
-    partial = (meetings if listed else meetings.drop("text")).groupBy("left", "right").applyInPandas(compare, schema)
-    matched = partial.groupBy("first_id").agg(
-        F.sum("others").alias("others"), *([F.flatten(F.collect_list("entries")).alias("entries")] if listed else [])
-    )
-    own_copies = F.when(F.col("long"), F.col("copies") - 1).otherwise(0)
-    per_text = (
-        texts.join(matched, "first_id", "left")
-        .withColumn("own", own_copies)
-        .where("own > 0 OR others > 0")
-        .select(
-            "text_key", "first_id", "last_id", "copies", "own",
-            (F.col("own") + F.coalesce("others", F.lit(0))).alias(count_name),
-            *([F.col("entries"), F.col("text").alias("own_text")] if listed else []),
-        )
-    )
+    pairs = _pairs_of_texts(texts, _key_type(df, key), fuzz_func, threshold, block_characters)
+    own = texts.where("copies > 1 AND long").select("first_id", (F.col("copies") - 1).alias("n"))
+    if list_name is None:
+        # Each pair is used once, so it need not be written.
+        sides = F.array(F.struct(F.col("id_i").alias("first_id"), F.col("copies_j").alias("n")),
+                        F.struct(F.col("id_j").alias("first_id"), F.col("copies_i").alias("n")))
+        counted = pairs.select(F.inline(sides)).unionByName(own).groupBy("first_id").agg(F.sum("n").alias(count_name))
+        return _per_response(df, key, column_name, texts, counted, hot_rows).select(key, col_(count_name))
+    pairs = stage_table(pairs, "similar-pairs")
+    lists = similar_lists(pairs, texts, count_name, list_name)
+    held = _per_response(df, key, column_name, texts, lists, hot_rows)
+    is_first = F.col(key) == F.col("__first_id")
+    shown = F.when(is_first, col_(list_name)).otherwise(F.coalesce(F.col("for_copies"), col_(list_name)))
+    return held.select(key, col_(count_name), shown.alias(list_name))
+
+
+def _per_response(df: DataFrame, key: str, column_name: str, texts: DataFrame, per_text: DataFrame, hot_rows: int) -> DataFrame:
+    """What the distinct texts have, for each response that holds one; (first_id, ...) -> (key, __first_id, ...)."""
+    per_key = texts.select("first_id", "text_key", "copies").join(per_text, "first_id")
+    per_key = per_key.withColumnRenamed("first_id", "__first_id")
     rows = df.select(
-        col_(key).alias(key),
-        text_key(F.coalesce(col_(column_name).cast("string"), F.lit(""))).alias("text_key"),
-    )
-    found = join_per_key(rows, per_text, ["text_key"], "copies", F.col(key), hot_rows, sizes=texts)
-    if not listed:
-        return found.select(key, col_(count_name))
-    itself = F.struct(
-        F.when(F.col(key) == F.col("first_id"), F.col("last_id")).otherwise(F.col("first_id")).alias("other"),
-        F.lit(100).alias("score"),
-        F.col("own_text").alias("text"),
-        F.col("own").alias("n"),
-    )
-    none = F.array().cast(f"array<{entry}>")
-    entries = F.array_sort(
-        F.concat(F.coalesce("entries", none), F.when(F.col("own") > 0, F.array(itself)).otherwise(none))
+        col_(key).alias(key), text_key(F.coalesce(col_(column_name).cast("string"), F.lit(""))).alias("text_key")
     )
+    return join_per_key(rows, per_key, ["text_key"], "copies", F.col(key), hot_rows, sizes=texts)
+
 
-    def shown(match):
-        times = F.when(match["n"] > 1, F.concat(F.lit(" x"), match["n"].cast("string"))).otherwise("")
-        return F.concat(
-            match["other"].cast("string"), F.lit(". ("), match["score"].cast("string"), F.lit(') "'),
-            match["text"], F.lit('"'), times,
-        )
+def similar_lists(pairs: DataFrame, texts: DataFrame, count_name: str, list_name: str) -> DataFrame:
+    """(first_id, count, list, for_copies) of each distinct text that has similar ones.
 
-    return found.select(key, col_(count_name), F.array_join(F.transform(entries, shown), "; ").alias(list_name))
+    One pass over the entries, sorted by text and by whom they name: the task
+    holds the list it is writing and a batch of entries. The entry for a text's own copies names
+    the last one for the first response and the first one for the others, so texts with copies get a second list.
+    """
+    own = texts.where("copies > 1 AND long")
+    sides = F.array(
+        F.struct(F.col("id_i").alias("first_id"), F.col("id_j").alias("other"), "score", F.col("copies_j").alias("n")),
+        F.struct(F.col("id_j").alias("first_id"), F.col("id_i").alias("other"), "score", F.col("copies_i").alias("n")),
+    )
+    entries = stage_table(pairs.select(F.inline(sides)), "similar-sides")
+    counts = entries.groupBy("other").agg(F.count("*").alias("entries"))
+    named = texts.select(F.col("first_id").alias("other"), "text")
+    shown = join_per_key(entries, named, ["other"], "entries", F.col("first_id"), LANE_POSTINGS, sizes=counts)
+    # An entry is for both lists, or for one of them.
+    columns = ["first_id", "other", "score", "text", "n"]
+    itself = own.select("first_id", F.lit(100).alias("score"), "text", (F.col("copies") - 1).alias("n"), "last_id")
+    shown = (
+        shown.select(*columns, F.lit(0).alias("list"))
+        .unionByName(itself.select("first_id", F.col("last_id").alias("other"), "score", "text", "n", F.lit(1).alias("list")))
+        .unionByName(itself.select("first_id", F.col("first_id").alias("other"), "score", "text", "n", F.lit(2).alias("list")))
+    )
+    schema = T.StructType([texts.schema["first_id"]]).add(count_name, T.LongType())
+    schema = schema.add(list_name, T.StringType()).add("for_copies", T.StringType())
+    return shown.repartition("first_id").sortWithinPartitions("first_id", "other", "list").mapInArrow(_listed(schema.names), schema)
+
+
+@dataclass
+class _List:
+    """The list that a task is writing, as text."""
+
+    owner: object
+    count: int = 0
+    first: StringIO = field(default_factory=StringIO)
+    rest: StringIO = field(default_factory=StringIO)
+    copies: bool = False
+
+    def add(self, entry: str, n: int, which: int) -> None:
+        if which < 2:
+            self.count += n
+            self.first.write(f"; {entry}" if self.first.tell() else entry)
+        if which != 1:
+            self.rest.write(f"; {entry}" if self.rest.tell() else entry)
+        self.copies = self.copies or which == 2
+
+    def batch(self, names: list[str], kind: pa.DataType) -> pa.RecordBatch:
+        row = self.owner, self.count, self.first.getvalue(), self.rest.getvalue() if self.copies else None
+        kinds = kind, pa.int64(), pa.string(), pa.string()
+        return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, kinds, strict=True)], names)
+
+
+def _listed(names: list[str]):
+    """Entries sorted by text -> one row per text."""
+
+    def task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        writing, kind = None, None
+        for batch in batches:
+            kind = batch.column(0).type
+            for owner, other, score, text, n, which in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if writing is None or writing.owner != owner:
+                    if writing is not None:
+                        yield writing.batch(names, kind)
+                    writing = _List(owner)
+                writing.add(f'{other}. ({score}) "{text}"' + (f" x{n}" if n > 1 else ""), n, which)
+        if writing is not None:
+            yield writing.batch(names, kind)
+
+    return task

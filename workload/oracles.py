@@ -249,6 +249,22 @@ SELECT response_id, lat AS "IPLatitude", lon AS "IPLongitude", country AS "IPCou
 FROM resp JOIN nested ON ip_number BETWEEN start_ip AND end_ip
 QUALIFY row_number() OVER (PARTITION BY response_id ORDER BY depth DESC) = 1"""
 
+# Addresses without their first 32 bits, which all have in common, as numbers.
+_NET = "1208925819614629174706176::HUGEINT"
+ORACLES["ip_location_v6"] = f"""
+WITH resp AS (
+  SELECT event_id AS response_id, (user_id % 50) * {_NET} + (event_id % 8) * 65536 + event_id % 200 AS address FROM events),
+ranges AS (
+  SELECT n.*, n_nationkey * 2 * {_NET} + s AS start_ip, n_nationkey * 2 * {_NET} + e AS end_ip, name, depth
+  FROM nation n, (VALUES
+    (0::HUGEINT, {_NET} + 3 * 65536 + 65535, '', 1),
+    (65536 + 16, 6 * 65536, 'IN_', 2),
+    (2 * 65536, 2 * 65536 + 128, 'DEEP_', 3)) AS nested(s, e, name, depth))
+SELECT response_id, n_nationkey * 1.5::DOUBLE AS "IPLatitude", n_nationkey * -2.0::DOUBLE AS "IPLongitude",
+  concat(name, n_name) AS "IPCountry", concat('STATE_', n_regionkey) AS "IPState", NULL::VARCHAR AS "IPCity"
+FROM resp JOIN ranges ON address BETWEEN start_ip AND end_ip
+QUALIFY row_number() OVER (PARTITION BY response_id ORDER BY depth DESC) = 1"""
+
 ORACLES["flag_rerun"] = """
 SELECT event_id AS response_id, value AS duration, coalesce(value <= 5, false) AS "F_Short", coalesce(value <= 5, false) AS "F_Same"
 FROM events"""

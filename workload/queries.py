@@ -237,6 +237,19 @@ def ip_location_nested(spark, sf_dir):
     return ip_location.ip_places(rows, KEY, "ip", outer.unionByName(inner).unionByName(innermost))
 
 
+@query
+def ip_location_v6(spark, sf_dir):
+    """Places of IPv6 addresses by the innermost range of 128-bit addresses."""
+    address = """CASE response_id % 3
+        WHEN 0 THEN concat('2001:db8:', hex(user % 50), '::', hex(near), ':', hex(far))
+        WHEN 1 THEN concat('2001:0db8:', lower(hex(user % 50)), ':0:0:0:', hex(near), ':', lpad(hex(far), 4, '0'))
+        ELSE concat('2001:db8:', hex(user % 50), '::0.', near, '.', far div 256, '.', far % 256) END AS ip"""
+    rows = tables.read(spark, sf_dir, "events").selectExpr(
+        "event_id AS response_id", "user_id AS user", "event_id % 8 AS near", "event_id % 200 AS far"
+    )
+    return ip_location.ip_places(rows.selectExpr(KEY, address), KEY, "ip", tables.ip_ranges_v6(spark, sf_dir))
+
+
 _ip_location("ip_location_country", target_region="NATION_7", flag_missing=False)
 _ip_location("ip_location_state", target_region="STATE_2", flag_missing=False, region_level="state")
 _ip_location("ip_location_city_missing", target_region="CITY_7", flag_missing=True, region_level="city")
@@ -447,6 +460,13 @@ def similar_pairs_conversations(spark, sf_dir):
     return similarity.similar_pairs(turns, KEY, "text")
 
 
+@query
+def similar_pairs_token_set_conversations(spark, sf_dir):
+    """Pairs of long texts by the tokens they share, whatever else they hold; each text whole."""
+    turns = tables.read(spark, sf_dir, "conversations").selectExpr("conv_id * 100000 + turn AS response_id", "text")
+    return similarity.similar_pairs(turns, KEY, "text", 7, "token_set_ratio", 80)
+
+
 @query
 def similar_members(spark, sf_dir):
     """Who stands for each response in the pairs of similar texts."""
