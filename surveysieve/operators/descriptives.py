@@ -2,13 +2,19 @@
 
 Everything starts from one table of patterns: each combination of flags, groups
 and classes that occurs, with its number of responses. It is aggregated before
-any shuffle, and its size follows the configuration, not the responses.
+any shuffle, and its size follows the configuration, not the responses. With so many
+flags that nearly every response has a combination of its own, responses are
+not combined, and each report adds up what its tasks have summed.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections import Counter
+from collections.abc import Iterable, Iterator, Sequence
 
+import numpy as np
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -18,12 +24,18 @@ from surveysieve.functions.columns import any_of, col_, require_columns
 # Prefixes of class labels in co-occurrence tables.
 PREFIXES = {"AUTOMATED_FLAG": "(auto) ", "MANUAL_FLAG": "(manual) ", "FINAL_FLAG": "(final) "}
 TOTAL = "Total"
+# Flags and groups from which on responses are not combined to patterns.
+MANY_COLUMNS = 24
+# Pairs of labels that a task adds up before it hands them on.
+_MOST_PAIRS = 1_000_000
 
 
 def patterns(df: DataFrame, config: Config, class_columns: Sequence[str] = ()) -> DataFrame:
-    """Each occurring combination of flags, group counts and classes, with its count ``n``."""
+    """Each occurring combination of flags, group counts and classes, with its count ``n``; or each response with 1."""
     names = [c for c in [*config.flag_names, *config.group_names] if c in df.columns]
     require_columns(df, class_columns, "classification")
+    if len(names) >= MANY_COLUMNS:
+        return df.select(*[col_(c) for c in [*names, *class_columns]], F.lit(1).cast("long").alias("n"))
     return df.groupBy(*[col_(c) for c in [*names, *class_columns]]).agg(F.count("*").alias("n"))
 
 
@@ -100,30 +112,68 @@ def classification_counts(df: DataFrame, class_column: str, weight: Column | Non
     )
 
 
-def _labels(config: Config, table: DataFrame, class_columns: Sequence[str], use_groups: bool) -> Column:
-    """Labels active in a pattern: flags or groups, then classes with their prefix."""
-    names = [c for c in (config.group_names if use_groups else config.flag_names) if c in table.columns]
-    active = [(F.lit(c), col_(c) > 0 if use_groups else col_(c)) for c in names]
-    classes = [
-        (F.concat(F.lit(PREFIXES.get(c, "")), col_(c).cast("string")), col_(c).isNotNull()) for c in class_columns
-    ]
-    return F.array_compact(F.array(*[F.when(on, label) for label, on in [*active, *classes]]))
-
-
 def cooccurrence(
     table: DataFrame, config: Config, class_columns: Sequence[str], use_groups: bool = False
 ) -> DataFrame:
-    """(label_a, label_b, n) of the labels that occur together; n of a label with itself is its total."""
+    """(label_a, label_b, n) of the labels that occur together; n of a label with itself is its total.
+
+    Labels are flags or groups, then classes with their prefix. Each task adds up X'NX of its
+    rows' 0-1 matrix X and their counts N, so what is shuffled are at most a task's
+    pairs of labels, however many rows there are and however they combine.
+    """
     require_columns(table, class_columns, "classification")
-    labelled = table.groupBy(_labels(config, table, class_columns, use_groups).alias("labels")).agg(
-        F.sum("n").alias("n")
-    )
-    return (
-        labelled.select("n", "labels", F.explode("labels").alias("label_a"))
-        .select("n", "label_a", F.explode("labels").alias("label_b"))
-        .groupBy("label_a", "label_b")
-        .agg(F.sum("n").cast("long").alias("n"))
+    names = [c for c in (config.group_names if use_groups else config.flag_names) if c in table.columns]
+    active = [F.coalesce(col_(c) > 0 if use_groups else col_(c), F.lit(False)).alias(f"__a{i}") for i, c in enumerate(names)]
+    classes = [
+        F.concat(F.lit(PREFIXES.get(c, "")), col_(c).cast("string")).alias(f"__c{i}") for i, c in enumerate(class_columns)
+    ]
+    pairs = table.select(F.col("n").cast("long"), *active, *classes).mapInArrow(
+        _pair_counts(names), "label_a string, label_b string, n long"
     )
+    return pairs.groupBy("label_a", "label_b").agg(F.sum("n").cast("long").alias("n"))
+
+
+def _pair_counts(names: Sequence[str]):
+    """Rows of counts, active names and classes -> how often two labels occur together, per task."""
+
+    def add(total: Counter, a: Sequence[str], b: Sequence[str], counts: np.ndarray) -> None:
+        for i, j in zip(*np.nonzero(counts), strict=True):
+            total[a[i], b[j]] += int(counts[i, j])
+
+    def batch_of(total: Counter) -> pa.RecordBatch:
+        columns = [[pair[0] for pair in total], [pair[1] for pair in total], list(total.values())]
+        kinds = [pa.string(), pa.string(), pa.int64()]
+        arrays = [pa.array(column, kind) for column, kind in zip(columns, kinds, strict=True)]
+        return pa.RecordBatch.from_arrays(arrays, ["label_a", "label_b", "n"])
+
+    def task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: Counter = Counter()
+        square = np.zeros((len(names), len(names)), dtype=np.int64)
+        for batch in batches:
+            frame = batch.to_pandas()
+            n = frame["n"].to_numpy(dtype=np.int64)
+            x = frame.iloc[:, 1 : 1 + len(names)].to_numpy(dtype=np.int64).reshape(len(frame), len(names))
+            weighted = x * n[:, None]
+            square += weighted.T @ x
+            coded = [pd.factorize(frame[c]) for c in frame.columns[1 + len(names) :]]
+            for codes, labels in coded:
+                has = codes >= 0
+                with_names = np.zeros((len(labels), len(names)), dtype=np.int64)
+                np.add.at(with_names, codes[has], weighted[has])
+                add(total, labels, names, with_names)
+                add(total, names, labels, with_names.T)
+                for other_codes, other_labels in coded:
+                    both = has & (other_codes >= 0)
+                    sums = pd.Series(n[both]).groupby([codes[both], other_codes[both]]).sum()
+                    for (i, j), count in sums.items():
+                        total[labels[i], other_labels[j]] += int(count)
+            if len(total) > _MOST_PAIRS:
+                yield batch_of(total)
+                total.clear()
+        add(total, names, names, square)
+        yield batch_of(total)
+
+    return task
 
 
 OTHER = "other"

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import os
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
 
@@ -59,12 +59,41 @@ def write_csv(df: DataFrame, path: str, key: str | None = None) -> None:
     """CSV with a header, for review; every character of an answer is kept."""
     if key is not None:
         df = df.orderBy(key)
-    df.write.mode("overwrite").options(**CSV_OPTIONS).csv(path)
+    _replace(df.sparkSession, path, lambda aside: df.write.options(**CSV_OPTIONS).csv(aside))
 
 
 def write_report(df: DataFrame, folder: str, name: str) -> None:
     """One report table; replaces the table of that name only."""
-    df.write.mode("overwrite").parquet(os.path.join(folder, name))
+    _replace(df.sparkSession, os.path.join(folder, name), df.write.parquet)
+
+
+def _replace(spark: SparkSession, path: str, write: Callable[[str], None]) -> None:
+    """Writes a table aside and puts it in the place of an earlier one when it is whole.
+
+    If writing fails, the earlier table stays as it is; if the switch fails, it is put back. ``path`` may
+    be what the new table is made from.
+    """
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = place.getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def beside(kind: str):
+        # Names that begin like this are no data for readers of the folder.
+        return spark._jvm.org.apache.hadoop.fs.Path(place.getParent(), f"_{place.getName()}.{kind}-{uuid.uuid4().hex}")
+
+    aside, earlier = beside("new"), beside("old")
+    try:
+        write(aside.toString())
+        there = files.exists(place)
+        if there and not files.rename(place, earlier):
+            raise OSError(f"cannot move {path} aside")
+        if not files.rename(aside, place):
+            if there:
+                files.rename(earlier, place)
+            raise OSError(f"cannot put a new table at {path}")
+    except BaseException:
+        files.delete(aside, True)
+        raise
+    files.delete(earlier, True)
 
 
 def read_report(spark: SparkSession, folder: str, name: str) -> DataFrame:

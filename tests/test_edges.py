@@ -6,6 +6,7 @@ import random
 import sys
 import time
 
+import pyarrow as pa
 import pytest
 from pyspark.accumulators import AccumulatorParam
 from py4j.protocol import Py4JJavaError
@@ -13,7 +14,7 @@ from pyspark import cloudpickle
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from surveysieve.config import Flag, config_from_tables
+from surveysieve.config import Config, Flag, config_from_tables
 from surveysieve.operators import bursts, descriptives, geo_location, ip_location, ip_prefixes, similarity
 from surveysieve.operators.skew import join_per_key
 from surveysieve.plans.flagging import apply_flags
@@ -350,3 +351,53 @@ def test_cells_inside_a_country_have_no_segments(spark):
     inner = [cells[x, y] for x in range(1, 9) for y in range(1, 9)]
     assert all((r.parity, r.near, r.steps) == (1, [], []) for r in inner)
     assert all(cells[x, y].near for x, y in ((0, 3), (9, 3), (3, 0), (3, 9)))
+
+
+# Publishing tables
+
+
+def test_an_earlier_table_stays_until_the_new_one_is_whole(spark, tmp_path):
+    folder = str(tmp_path / "reports")
+    old = spark.range(5).toDF("n")
+    failing = spark.range(0, 100, 1, 8).select(F.when(F.col("id") < 90, F.col("id")).otherwise(F.raise_error(F.lit("stop"))).alias("n"))
+    csv = str(tmp_path / "table.csv")
+    sinks.write_report(old, folder, "counts")
+    sinks.write_csv(old, csv)
+    for write in (lambda: sinks.write_report(failing, folder, "counts"), lambda: sinks.write_csv(failing, csv)):
+        with pytest.raises(REFUSED):
+            write()
+    assert sorted(r.n for r in sinks.read_report(spark, folder, "counts").collect()) == list(range(5))
+    assert spark.read.csv(csv, header=True).count() == 5
+    # A table may be made from the one that it replaces.
+    doubled = sinks.read_report(spark, folder, "counts").selectExpr("n * 2 AS n")
+    sinks.write_report(doubled, folder, "counts")
+    assert sorted(r.n for r in sinks.read_report(spark, folder, "counts").collect()) == [0, 2, 4, 6, 8]
+    assert os.listdir(folder) == ["counts"] and sorted(os.listdir(tmp_path)) == ["reports", "table.csv"]
+
+
+# Many flags
+
+
+def test_cooccurrence_of_many_flags_shuffles_pairs_of_labels_only(spark):
+    generator = random.Random(17)
+    flags = [f"F_{i}" for i in range(60)]
+    rows = [(*(generator.choice([True, False, None]) for _ in flags), generator.choice(["x", "y", None]), f"m{generator.randrange(9)}") for _ in range(800)]
+    schema = ", ".join(f"{f} boolean" for f in flags) + ", AUTOMATED_FLAG string, MANUAL_FLAG string"
+    df = spark.createDataFrame(rows, schema).repartition(3)
+    settings = Config(flags=tuple(Flag(f, "check_CustomCondition") for f in flags))
+    table = descriptives.patterns(df, settings, ["AUTOMATED_FLAG", "MANUAL_FLAG"])
+    expected = {}
+    for row in rows:
+        labels = [f for f, on in zip(flags, row, strict=False) if on]
+        labels += [p + v for p, v in zip(("(auto) ", "(manual) "), row[60:], strict=True) if v is not None]
+        for a in labels:
+            for b in labels:
+                expected[a, b] = expected.get((a, b), 0) + 1
+    found = descriptives.cooccurrence(table, settings, ["AUTOMATED_FLAG", "MANUAL_FLAG"])
+    assert {(r.label_a, r.label_b): r.n for r in found.collect()} == expected
+    combined = table.groupBy(*[F.col(c) for c in table.columns if c != "n"]).agg(F.sum("n").alias("n"))
+    again = descriptives.cooccurrence(combined, settings, ["AUTOMATED_FLAG", "MANUAL_FLAG"])
+    assert {(r.label_a, r.label_b): r.n for r in again.collect()} == expected
+    batches = [pa.RecordBatch.from_pylist([{"n": 2, "__a0": True, "__a1": k % 2 == 0} for k in range(1_000)]) for _ in range(20)]
+    handed_on = list(descriptives._pair_counts(["a", "b"])(batches))
+    assert sum(b.num_rows for b in handed_on) == 4 and handed_on[0].column(2).to_pylist()[0] == 40_000
