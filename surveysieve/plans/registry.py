@@ -9,6 +9,7 @@ from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 from typing import Any
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -75,6 +76,31 @@ def register_flag(name: str, method: Callable[..., Column | Columns]) -> None:
     _METHODS[name] = method
 
 
+def register_batch_flag(name: str, method: Callable[..., pa.Array | Sequence[bool | None]]) -> None:
+    """Make ``method(batch, **parameters)`` available to configurations, which name the ``columns`` of its batches.
+
+    It gets Arrow batches of these columns and returns whether each row is flagged. Flags of
+    this kind that stand beside each other share one pass through Python.
+    """
+
+    def made(setting: Setting, columns: Sequence[str], **parameters: Any) -> Column:
+        what = f"flag '{setting.flag_name}'"
+        columns = [columns] if isinstance(columns, str) else list(columns)
+        require_columns(setting.df, columns, what)
+        try:
+            inspect.signature(method).bind(None, **parameters)
+        except TypeError as error:
+            raise ValueError(f"{what}, method '{name}': {error}") from None
+
+        def flagged(rows: pa.Array) -> pa.Array:
+            found = method(pa.RecordBatch.from_struct_array(rows), **parameters)
+            return found if isinstance(found, pa.Array) else pa.array(found, pa.bool_())
+
+        return F.arrow_udf(flagged, "boolean")(F.struct(*map(col_, columns)))
+
+    _METHODS[name] = made
+
+
 def flag_columns(setting: Setting, method_name: str, parameters: Mapping[str, Any]) -> Columns:
     if method_name not in _METHODS:
         raise ValueError(f"flag '{setting.flag_name}': unknown method '{method_name}'")

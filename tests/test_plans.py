@@ -3,6 +3,7 @@
 import json
 import sys
 
+import pyarrow.compute as pc
 import pytest
 from pyspark.sql import functions as F
 
@@ -12,7 +13,7 @@ from surveysieve.operators import descriptives
 from surveysieve.plans import jobs
 from surveysieve.plans.flagging import apply_flags, flag_responses
 from surveysieve.plans.manual import add_placeholders, merge_labels
-from surveysieve.plans.registry import Columns, register_flag
+from surveysieve.plans.registry import Columns, register_batch_flag, register_flag
 from surveysieve.plans.rules import classify
 from surveysieve.sources import responses, sinks
 from surveysieve.sources.ip_ranges import read_ip_ranges
@@ -118,6 +119,35 @@ def test_own_flags(survey):
     ]
 
 
+def test_batch_flags_share_one_pass_through_python(survey):
+    sizes = []
+
+    def longer(batch, least):
+        sizes.append(batch.num_rows)
+        return [len(text or "") >= least for text in batch.column("Q4.1").to_pylist()]
+
+    def either(batch):
+        return pc.or_kleene(pc.equal(batch.column(0), 100), pc.is_null(batch.column("Q7.1")))
+
+    register_batch_flag("own_Longer", longer)
+    register_batch_flag("own_Either", either)
+    flags = [
+        Flag("F_Long", "own_Longer", "FG", {"columns": "Q4.1", "least": 15}),
+        Flag("F_Either", "own_Either", "FG", {"columns": ["Progress", "Q7.1"]}),
+        Flag("F_Both", "check_CustomCondition", None, {"condition": "F_Long and F_Either"}),
+    ]
+    got = apply_flags(survey, flags, "response_id")
+    plan = got.select("response_id", "F_Long", "F_Either")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
+    rows = got.orderBy("response_id").collect()
+    assert [(r.F_Long, r.F_Either, r.F_Both) for r in rows] == [
+        (True, True, True), (True, True, True), (False, True, False), (False, True, False), (False, True, False),
+    ]
+    for wrong in ({"columns": ["gone"]}, {"columns": ["Q4.1"]}, {"columns": ["Q4.1"], "least": 1, "most": 2}):
+        with pytest.raises((ValueError, KeyError)):
+            apply_flags(survey, [Flag("F", "own_Longer", None, wrong)], "response_id")
+
+
 @pytest.mark.parametrize(
     "method, parameters, error",
     [

@@ -249,6 +249,13 @@ SELECT response_id, lat AS "IPLatitude", lon AS "IPLongitude", country AS "IPCou
 FROM resp JOIN nested ON ip_number BETWEEN start_ip AND end_ip
 QUALIFY row_number() OVER (PARTITION BY response_id ORDER BY depth DESC) = 1"""
 
+# A missing answer does not count for the span of the others.
+ORACLES["flag_batches"] = _with(RESPONSES) + """
+SELECT response_id, coalesce(q1 = q2, false) AS "F_Same",
+  coalesce(greatest(q1, q2, q3, q4) - least(q1, q2, q3, q4) >= 6, false) AS "F_Apart",
+  coalesce(duration >= 0 AND duration <= 5, false) AS "F_Short"
+FROM resp"""
+
 # Addresses without their first 32 bits, which all have in common, as numbers.
 _NET = "1208925819614629174706176::HUGEINT"
 ORACLES["ip_location_v6"] = f"""

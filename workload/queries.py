@@ -6,13 +6,14 @@ import os
 import uuid
 from collections.abc import Callable
 
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from surveysieve.config import Flag
 from surveysieve.functions.columns import col_
 from surveysieve.operators import attempts, bursts, descriptives, geo_location, ip_location, row_flags, similarity
-from surveysieve.plans import flagging, jobs
+from surveysieve.plans import flagging, jobs, registry
 from surveysieve.plans.manual import add_placeholders, merge_labels
 from surveysieve.plans.rules import classify
 from surveysieve.sources import responses as source
@@ -237,6 +238,34 @@ def ip_location_nested(spark, sf_dir):
     return ip_location.ip_places(rows, KEY, "ip", outer.unionByName(inner).unionByName(innermost))
 
 
+def _same_answers(batch):
+    """Whether all answers of a row are there and equal."""
+    first, *others = batch.columns
+    same = pc.is_valid(first)
+    for other in others:
+        same = pc.and_(same, pc.fill_null(pc.equal(first, other), False))
+    return same
+
+
+def _far_apart(batch, at_least):
+    """Whether the answers of a row span so much."""
+    return pc.greater_equal(pc.subtract(pc.max_element_wise(*batch.columns), pc.min_element_wise(*batch.columns)), at_least)
+
+
+@query
+def flag_batches(spark, sf_dir):
+    """Own flags on Arrow batches, which share one pass, beside others."""
+    registry.register_batch_flag("own_SameAnswers", _same_answers)
+    registry.register_batch_flag("own_FarApart", _far_apart)
+    flags = [
+        Flag("F_Same", "own_SameAnswers", None, {"columns": ["q1", "q2"]}),
+        Flag("F_Apart", "own_FarApart", None, {"columns": ["q1", "q2", "q3", "q4"], "at_least": 6}),
+        Flag("F_Short", "check_ValueInRange", None, {"column_name": "duration", "lower_threshold": 0, "upper_threshold": 5}),
+    ]
+    flagged = flagging.apply_flags(tables.responses(spark, sf_dir), flags, KEY)
+    return flagged.select(KEY, "F_Same", "F_Apart", "F_Short")
+
+
 @query
 def ip_location_v6(spark, sf_dir):
     """Places of IPv6 addresses by the innermost range of 128-bit addresses."""
