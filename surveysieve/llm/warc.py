@@ -186,12 +186,22 @@ class Original:
 
 
 def warc_record(archive: str, record: ArcRecord, original: Original | None) -> bytes:
-    """The record's newer form; given an original, it keeps its headers only and refers to that."""
-    headers, head, payload = split_http(record.block)
-    block = record.block if original is None else head
+    """The record's newer form; given an original, it keeps its headers only and refers to that.
+
+    What is no HTTP response (names looked up, files of other protocols, any unknown type) becomes a
+    resource with the whole block as its payload and the type that the legacy record gives.
+    """
+    if not record.block.startswith(b"HTTP/"):
+        kind, content_type = "resource", record.content_type if "/" in record.content_type else "application/octet-stream"
+        block = payload = record.block
+        original = None
+    else:
+        kind, content_type = "response" if original is None else "revisit", "application/http; msgtype=response"
+        _, head, payload = split_http(record.block)
+        block = record.block if original is None else head
     lines = [
         "WARC/1.1",
-        f"WARC-Type: {'response' if original is None else 'revisit'}",
+        f"WARC-Type: {kind}",
         f"WARC-Record-ID: {record_id(archive, record)}",
         f"WARC-Date: {warc_date(record.date)}",
         f"WARC-Target-URI: {record.url}",
@@ -206,8 +216,9 @@ def warc_record(archive: str, record: ArcRecord, original: Original | None) -> b
             f"WARC-Refers-To-Target-URI: {original.url}",
             f"WARC-Refers-To-Date: {original.date}",
             f"X-Refers-To-Page-Id: {original.page_id}",
+            f"X-Payload-Length: {len(payload)}",
         ]
-    lines += ["Content-Type: application/http; msgtype=response", f"Content-Length: {len(block)}", "", ""]
+    lines += [f"Content-Type: {content_type}", f"Content-Length: {len(block)}", "", ""]
     return "\r\n".join(lines).encode() + block + b"\r\n\r\n"
 
 
@@ -411,11 +422,13 @@ def _found(records: Iterable[tuple[dict[str, str], bytes]], most: int = 2_000) -
         if kind not in ("response", "revisit"):
             continue
         http, _, payload = split_http(block)
-        digest = headers["warc-payload-digest"].removeprefix("sha1:")
-        if kind == "response" and payload_digest(payload) != digest:
+        own = payload_digest(payload) if kind == "response" else None
+        digest = headers.get("warc-payload-digest", f"sha1:{own}").removeprefix("sha1:")
+        if own not in (None, digest):
             raise ValueError(f"record {headers['warc-record-id']} has another payload than its digest tells")
         page_id, refers_to = http.get("x-page-id"), headers.get("x-refers-to-page-id")
-        length = int(http["content-length"])
+        # The length is that of what is there; servers may not tell it.
+        length = len(payload) if kind == "response" else int(headers["x-payload-length"])
         rows.append(
             (
                 int(page_id) if page_id is not None else None,

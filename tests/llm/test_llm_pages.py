@@ -341,3 +341,27 @@ def test_new_records_follow_from_the_legacy_ones():
     assert warc.warc_date("200102030405") == "2001-02-03T04:05:00Z"
     with pytest.raises(ValueError, match="length"):
         list(warc.read_warc(io.BytesIO(warc.member(warc.warc_record("some", first, None)[:-6]))))
+
+
+def test_records_that_are_no_http_responses_and_responses_without_a_length():
+    chunked = b"HTTP/1.1 200 OK\r\nTransfer-Encoding: chunked\r\nX-Page-Id: 5\r\n\r\n3\r\none\r\n0\r\n\r\n"
+    blocks = [("dns:example.org", "text/dns", b"20010203040506\nexample.org. 100 IN A 192.0.2.1\n"),
+              ("http://example.org/", "text/html", chunked), ("ftp://example.org/a", "-", b"bytes"),
+              ("http://example.org/old", "text/html", b"<html>an answer without headers</html>")]
+    for version in (1, 2):
+        records = [
+            warc.ArcRecord(url, "192.0.2.9", "20010203040506", kind, block, 10 * n) for n, (url, kind, block) in enumerate(blocks)
+        ]
+        original = warc.Original(5, "<urn:uuid:x>", "http://example.org/", "2001-02-03T04:05:06Z")
+        parts = [warc.warc_record("some", record, None) for record in records]
+        parts += [warc.warc_record("some", records[1], original), warc.warc_record("some", records[0], original)]
+        found = list(warc.read_warc(io.BytesIO(b"".join(map(warc.member, parts)))))
+        assert [h["warc-type"] for h, _ in found] == ["resource", "response", "resource", "resource", "revisit", "resource"], version
+        assert [h["content-type"].split(";")[0] for h, _ in found[:4]] == ["text/dns", "application/http", "application/octet-stream", "text/html"]
+        assert found[0][1] == blocks[0][2] and found[0][0]["warc-payload-digest"] == "sha1:" + warc.payload_digest(blocks[0][2])
+        rows = [row for batch in warc._found(found) for row in batch.to_pylist()]
+        payload = b"3\r\none\r\n0\r\n\r\n"
+        assert [(r["page_id"], r["payload_bytes"], r["payload_digest"], r["record_type"], r["refers_to"]) for r in rows] == [
+            (5, len(payload), warc.payload_digest(payload), "response", None),
+            (5, len(payload), warc.payload_digest(payload), "revisit", 5),
+        ]
