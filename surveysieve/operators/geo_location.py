@@ -14,6 +14,9 @@ from surveysieve.sources.sinks import stage_table
 FIRST_COUNTRIES = ("United States of America", "China", "India")
 
 CELL_DEGREES = 1.0
+# Border segments near a cell beyond which it is cut into four, and how often; so a cell may hold more
+# only where so many segments come within a thousandth of its width.
+CELL_SEGMENTS, CELL_LEVELS = 256, 10
 
 
 def _cell(value: Column, size: float) -> Column:
@@ -71,14 +74,52 @@ def classified_cells(banded: DataFrame, covered: DataFrame, size: float) -> Data
     return joined.where("parity = 1 OR size(near) > 0 OR size(steps) > 0")
 
 
+def adaptive_cells(edges: DataFrame, size: float, most: int = CELL_SEGMENTS, levels: int = CELL_LEVELS) -> DataFrame:
+    """``classified_cells`` of all sizes that are needed: level, country, cell_y, cell_x, near, parity, steps.
+
+    Cells of the next level are half as wide and high. Segments are counted first, and only
+    collected for cells near which there are at most ``most``; the others are cut into four.
+    """
+    cell = ["country", "cell_y", "cell_x"]
+    banded, covered = _grid(edges, ["country"], size)
+    found = []
+    for level in range(levels + 1):
+        dense = None
+        if level < levels and (level or edges.limit(most + 1).count() > most):
+            west, east = F.col("cell_x") * size, (F.col("cell_x") + 1) * size
+            reach = (F.greatest("x1", "x2") >= west) & (F.least("x1", "x2") <= east)
+            near = covered.join(banded, ["country", "cell_y"]).where(reach).groupBy(*cell).agg(F.count("*").alias("n"))
+            dense = stage_table(near.where(F.col("n") > most).select(*cell), "dense-cells")
+            dense = None if dense.isEmpty() else dense
+        settled = covered if dense is None else covered.join(dense, cell, "left_anti")
+        found.append(classified_cells(banded, settled, size).withColumn("level", F.lit(level)))
+        if dense is None:
+            break
+        size /= 2
+        halves = F.array(*[F.struct(F.lit(y).alias("y"), F.lit(x).alias("x")) for y in (0, 1) for x in (0, 1)])
+        covered = dense.withColumn("half", F.explode(halves)).select(
+            "country", (F.col("cell_y") * 2 + F.col("half.y")).alias("cell_y"), (F.col("cell_x") * 2 + F.col("half.x")).alias("cell_x")
+        )
+        banded = _grid(edges, ["country"], size)[0].join(covered.select("country", "cell_y").distinct(), ["country", "cell_y"], "left_semi")
+    cells = found[0]
+    for more in found[1:]:
+        cells = cells.unionByName(more)
+    return cells
+
+
 def locate_points(
-    points: DataFrame, polygons: DataFrame, cell_degrees: float = CELL_DEGREES, small_rows: int = SMALL_ROWS
+    points: DataFrame,
+    polygons: DataFrame,
+    cell_degrees: float = CELL_DEGREES,
+    small_rows: int = SMALL_ROWS,
+    most_segments: int = CELL_SEGMENTS,
 ) -> DataFrame:
     """(lat, lon, name) of the distinct points strictly inside a polygon.
 
     A point is inside if a line to the east crosses an odd number of border
     segments and it lies on none. Parity covers holes and countries in several
-    parts. Cells are classified once, in a staged table; a point then meets the cells of its place,
+    parts. Cells are classified once, in a staged table, smaller ones where borders are
+    dense; a point then meets the cells of its place,
     and tests only the segments near it, none in a cell that is wholly inside.
     """
     first = F.coalesce(
@@ -93,13 +134,20 @@ def locate_points(
         .select("name", "iso3", F.row_number().over(Window.orderBy(first, "name", "iso3")).alias("country"))
     )
     edges = polygon_edges(polygons).join(numbers, ["name", "iso3"])
-    cells = stage_table(classified_cells(*_grid(edges, ["country"], cell_degrees), cell_degrees), "cells")
+    cells = stage_table(adaptive_cells(edges, cell_degrees, most_segments), "cells")
     small = is_small(cells.select(F.explode_outer("near")), small_rows)
-    placed = points.select(
-        "lat", "lon", _cell(F.col("lat"), cell_degrees).alias("cell_y"), _cell(F.col("lon"), cell_degrees).alias("cell_x")
-    )
+    # A point is in one cell of each level, and a country has at most one of these.
+    places = [
+        F.struct(
+            F.lit(level).alias("level"),
+            _cell(F.col("lat"), cell_degrees / 2**level).alias("cell_y"),
+            _cell(F.col("lon"), cell_degrees / 2**level).alias("cell_x"),
+        )
+        for level in sorted(row["level"] for row in cells.select("level").distinct().collect()) or [0]
+    ]
+    placed = points.select("lat", "lon", F.inline(F.array(*places)))
     point = F.struct("lat", "lon")
-    met = join_lookup(placed, cells, ["cell_y", "cell_x"], point, small)
+    met = join_lookup(placed, cells, ["level", "cell_y", "cell_x"], point, small)
     px, py = F.col("lon"), F.col("lat")
 
     def crosses(s: Column) -> Column:

@@ -1,6 +1,7 @@
 """What must not be lost or changed on the way in and out, and what is refused."""
 
 import ipaddress
+import math
 import os
 import random
 import sys
@@ -401,3 +402,30 @@ def test_cooccurrence_of_many_flags_shuffles_pairs_of_labels_only(spark):
     batches = [pa.RecordBatch.from_pylist([{"n": 2, "__a0": True, "__a1": k % 2 == 0} for k in range(1_000)]) for _ in range(20)]
     handed_on = list(descriptives._pair_counts(["a", "b"])(batches))
     assert sum(b.num_rows for b in handed_on) == 4 and handed_on[0].column(2).to_pylist()[0] == 40_000
+
+
+# Dense borders
+
+
+def test_cells_adapt_to_dense_borders(spark):
+    """A border of many segments within two degrees: no cell holds more than the bound, and points are placed as by all segments."""
+    n = 4_000
+    ring = []
+    for i in range(n):
+        angle, radius = 2 * math.pi * i / n, 0.7 + 0.2 * (i % 2) * (i % 7) / 7
+        ring.append((10.3 + radius * math.cos(angle), 5.4 + radius * math.sin(angle)))
+    square = [(9.0, 4.0), (9.0, 7.5), (12.0, 7.5), (12.0, 4.0)]
+    rows = [("Star", "ST", 0, ring), ("Zone", "ZN", 0, square), ("Zone", "ZN", 1, [(9.5, 4.5), (9.5, 4.6), (9.6, 4.6)])]
+    polygons = spark.createDataFrame(rows, POLYGON_SCHEMA)
+    edges = polygon_edges(polygons.where("name = 'Star'")).selectExpr("1 AS country", "x1", "y1", "x2", "y2")
+    cells = geo_location.adaptive_cells(edges, 1.0, 64).select("level", F.size("near").alias("near")).collect()
+    assert max(c.near for c in cells) <= 64 and len({c.level for c in cells}) > 2
+    generator = random.Random(2)
+    points = [(generator.uniform(3.9, 7.6), generator.uniform(8.9, 12.1)) for _ in range(400)] + [(5.4 + 0.7 * k / 100, 10.3) for k in range(130)]
+    df = spark.createDataFrame(points, "lat double, lon double")
+
+    def place(limit):
+        return {(r.lat, r.lon): r.name for r in geo_location.locate_points(df, polygons, most_segments=limit).collect()}
+
+    found = place(64)
+    assert found == place(10**9) and {"Star", "Zone"} <= set(found.values())
