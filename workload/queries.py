@@ -238,25 +238,24 @@ def ip_location_nested(spark, sf_dir):
     return ip_location.ip_places(rows, KEY, "ip", outer.unionByName(inner).unionByName(innermost))
 
 
-def _same_answers(batch):
-    """Whether all answers of a row are there and equal."""
-    first, *others = batch.columns
-    same = pc.is_valid(first)
-    for other in others:
-        same = pc.and_(same, pc.fill_null(pc.equal(first, other), False))
-    return same
-
-
-def _far_apart(batch, at_least):
-    """Whether the answers of a row span so much."""
-    return pc.greater_equal(pc.subtract(pc.max_element_wise(*batch.columns), pc.min_element_wise(*batch.columns)), at_least)
-
-
 @query
 def flag_batches(spark, sf_dir):
     """Own flags on Arrow batches, which share one pass, beside others."""
-    registry.register_batch_flag("own_SameAnswers", _same_answers)
-    registry.register_batch_flag("own_FarApart", _far_apart)
+
+    def same_answers(batch):
+        """Whether all answers of a row are there and equal."""
+        first, *others = batch.columns
+        same = pc.is_valid(first)
+        for other in others:
+            same = pc.and_(same, pc.fill_null(pc.equal(first, other), False))
+        return same
+
+    def far_apart(batch, at_least):
+        """Whether the answers of a row span so much."""
+        return pc.greater_equal(pc.subtract(pc.max_element_wise(*batch.columns), pc.min_element_wise(*batch.columns)), at_least)
+
+    registry.register_batch_flag("own_SameAnswers", same_answers)
+    registry.register_batch_flag("own_FarApart", far_apart)
     flags = [
         Flag("F_Same", "own_SameAnswers", None, {"columns": ["q1", "q2"]}),
         Flag("F_Apart", "own_FarApart", None, {"columns": ["q1", "q2", "q3", "q4"], "at_least": 6}),
