@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 from surveysieve.functions.box_counts import box_weights, reach
 from surveysieve.functions.columns import col_, naive_micros
 from surveysieve.operators.skew import HOT_ROWS, join_per_key, task_partitions
+from surveysieve.sources.sinks import stage_table
 
 SLICE_ROWS = 100_000
 MAX_SLICES = 65_536
@@ -134,11 +135,17 @@ def burst_counts(
         (max_start_time_difference, max_duration_difference, 1),
         (unflag_start_time_difference, unflag_duration_difference, -1),
     )
-    rows = df.select(
+    timed = df.select(
         col_(key).alias(key),
-        naive_micros(wall_clock(df, column_start_time, start_time_format)).alias("t"),
+        wall_clock(df, column_start_time, start_time_format).alias("__start"),
         col_(column_duration).cast("double").alias("d"),
-    ).where("t IS NOT NULL AND d IS NOT NULL AND NOT isnan(d)")
+    )
+    if radii and _is_text(df, column_start_time):
+        # Texts are parsed once, not by each of the steps that use the times.
+        timed = stage_table(timed, "start-times")
+    rows = timed.select(col_(key), naive_micros(F.col("__start")).alias("t"), "d").where(
+        "t IS NOT NULL AND d IS NOT NULL AND NOT isnan(d)"
+    )
     if not radii:
         return rows.select(key, F.lit(0).cast("long").alias(name))
     # + 0.0 gives both zeros the same bits, as equality does.
@@ -157,9 +164,14 @@ def burst_counts(
 
 
 # Spellings of start times that need no format: month/day/year, on a clock of 24 or of 12 hours.
+# A text fits at most one: they differ in the number of colons and in having a half of the day.
 US_FORMATS = ("M/d/y H:m", "M/d/y H:m:s", "M/d/y h:m a", "M/d/y h:m:s a", "M/d/y")
 
 
+def _is_text(df: DataFrame, column: str) -> bool:
+    return df.select(col_(column)).schema[0].dataType.simpleString() == "string"
+
+
 def wall_clock(df: DataFrame, column: str, start_time_format: str | None = None) -> Column:
     """Start time as a timestamp without zone.
 
@@ -168,17 +180,28 @@ def wall_clock(df: DataFrame, column: str, start_time_format: str | None = None)
     fit is refused with an error.
     """
     value = col_(column)
-    if df.select(value).schema[0].dataType.simpleString() != "string":
+    if not _is_text(df, column):
         return value.try_cast("timestamp_ntz")
     text = F.nullif(F.trim(value), F.lit(""))
     if start_time_format is not None:
         known = [_by_format(text, start_time_format)]
     else:
-        known = [text.try_cast("timestamp_ntz"), *(_by_format(F.upper(text), pattern) for pattern in US_FORMATS)]
+        known = [text.try_cast("timestamp_ntz"), _by_us_format(F.upper(text))]
     refused = F.raise_error(F.concat(F.lit(f"{column}: not a start time: "), text)).cast("timestamp_ntz")
     return F.when(text.isNotNull(), F.coalesce(*known, refused))
 
 
+def _by_us_format(text: Column) -> Column:
+    """By the one of ``US_FORMATS`` that the text may fit, since an attempt that fails costs much more than one that does not."""
+    colons = F.length(text) - F.length(F.replace(text, F.lit(":"), F.lit("")))
+    halves = text.contains("M")
+    found = F.lit(None).cast("timestamp_ntz")
+    for pattern in US_FORMATS:
+        of_half = halves if pattern.endswith("a") else ~halves
+        found = F.when((colons == pattern.count(":")) & of_half, _by_format(text, pattern)).otherwise(found)
+    return found
+
+
 def _by_format(text: Column, pattern: str) -> Column:
     return F.try_to_timestamp(text, F.lit(pattern)).cast("timestamp_ntz")
 

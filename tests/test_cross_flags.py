@@ -129,6 +129,25 @@ def test_bursts_start_as_text(spark):
     assert as_dict(bursts.burst_counts(df, "id", "s", "d", -1, 1)) == {0: 0, 1: 0, 2: 0}
 
 
+def test_start_texts_are_parsed_once(spark):
+    rows = [(n, f"1/2/2024 3:04:{n:02d} PM", 1.0) for n in range(9)]
+    df = spark.createDataFrame(rows, "id long, s string, d double")
+    counts = bursts.burst_counts(df, "id", "s", "d", 1, 1)
+    # The steps use times from a table, not the parser.
+    assert "gettimestamp" not in counts._jdf.queryExecution().toString().lower()
+    assert as_dict(counts) == {n: 1 if n in (0, 8) else 2 for n in range(9)}
+
+
+def test_each_spelling_of_a_start_is_tried_where_it_may_fit(spark):
+    good = ["1/2/2024 3:04", "1/2/2024 3:04:05", "1/2/2024 3:04 pm", "1/2/2024 3:04:05 PM", "1/2/2024"]
+    df = spark.createDataFrame([(t,) for t in good], "t string")
+    found = [row[0].hour for row in df.select(bursts.wall_clock(df, "t")).collect()]
+    assert found == [3, 3, 15, 15, 0]
+    for bad in ("1/2/2024 25:04", "1/2/2024 3:04:05:06", "1/2/2024 PM", "1/2/2024 13:04 PM"):
+        with pytest.raises(Exception, match="not a start time"):
+            spark.createDataFrame([(bad,)], "t string").select(bursts.wall_clock(df, "t")).collect()
+
+
 def test_slices_stay_small_when_all_starts_are_equal(spark):
     n = 4_000
     df = spark.range(n).selectExpr("id", "timestamp_ntz'2024-01-01 00:00:00' AS s", "cast(id AS double) AS d")
