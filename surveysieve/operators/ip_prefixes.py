@@ -139,6 +139,8 @@ def cover(start: int, end: int) -> Iterator[tuple[int, int]]:
 def locate(ips: DataFrame, ranges: DataFrame, place: Column) -> DataFrame:
     """(ip, place) of the distinct addresses ``ips`` (ip, digits) that a range covers."""
     table = stage_table(prefixes(ranges, place), "prefixes")
+    # Texts become numbers once, not for each length and step that uses them.
+    ips = stage_table(ips.select("ip", "digits"), "addresses")
     # At most one row per length.
     lengths = sorted(row["bits"] for row in table.select("bits").distinct().collect())
     high, low = halves(F.col("digits"))

@@ -221,6 +221,16 @@ def test_innermost_range_of_ipv6_addresses(spark, kind):
         assert found.get(text) == best[2], text
 
 
+def test_address_texts_are_read_once(spark):
+    ips = spark.createDataFrame([("2001:db8::1",), ("1.2.3.4",), ("2001:db9::",)], "ip string")
+    rows = [("2001:db8::", "2001:db8::ff", 0.0, 0.0, "A", None, None), ("1.2.3.0", "1.2.3.9", 0.0, 0.0, "B", None, None)]
+    table = spark.createDataFrame(rows, "start_ip string, end_ip string, lat double, lon double, country string, state string, city string")
+    found = ip_location.locate_ips(ips, table)
+    # The steps use digits from a table, and do not take the texts apart.
+    assert "rlike" not in found._jdf.queryExecution().toString().lower()
+    assert {r.ip: r.IPCountry for r in found.collect()} == {"2001:db8::1": "A", "1.2.3.4": "B"}
+
+
 def test_ranges_of_both_kinds_from_csv(spark, tmp_path):
     path = tmp_path / "ranges.csv"
     head = "start_ip,end_ip,lat,lon,country,state,city\n"
