@@ -23,7 +23,7 @@ from surveysieve.llm import bwt
 from surveysieve.llm.common import pick, release, slices
 from surveysieve.llm.hashing import mixed
 from surveysieve.operators.skew import join_per_key
-from surveysieve.sources.sinks import stage_table
+from surveysieve.sources.sinks import stage_result, stage_table
 
 LENGTH = 200
 # An anchor's length; and the grams by which transforms are sorted, which must divide LENGTH.
@@ -58,7 +58,9 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, step
     rows = pick(docs, "doc_id", "text").select("doc_id", text.alias("text"))
     # Texts go by 128 bits of their digest.
     rows = rows.withColumn("digest", F.substring(F.unhex(F.sha2(F.col("text").cast("binary"), 256)), 1, 16))
-    spans = repeated_spans(rows, length, gram, step, group_bytes)
+    # Written before the texts move again, so that the tables of pieces and their shuffle files can go.
+    spans = stage_result(rows.sparkSession, lambda: repeated_spans(rows, length, gram, step, group_bytes), "spans")
+    release(rows.sparkSession)
     cut = rows.join(spans, "digest", "left").select("doc_id", F.col("text").cast("binary"), "spans")
     id_type = rows.schema["doc_id"].dataType.simpleString()
     return cut.mapInArrow(_without_spans, f"doc_id {id_type}, n_bytes long, spans {_SPANS}, kept binary")
@@ -66,7 +68,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, step
 
 def repeated_spans(rows: DataFrame, length: int, gram: int, step: int, group_bytes: int = GROUP_BYTES) -> DataFrame:
     """(digest, spans) of each distinct text of ``rows`` (digest, text) that has repeats."""
-    members = _members_of(rows, length, gram)
+    members = stage_result(rows.sparkSession, lambda: _members_of(rows, length, gram), "pieces")
     release(rows.sparkSession)
     marks = _marks(members, length, gram, step, group_bytes, length - gram)
     found = members.select(F.col("place.holder").alias("digest"), F.col("place.first"), "anchor", "piece")
@@ -97,7 +99,7 @@ def _members_of(rows: DataFrame, length: int, gram: int) -> DataFrame:
     )
     once = long.mapInArrow(_once_per_task, long.schema)
     cut = once.join(wanted, "digest").select("digest", F.col("text").cast("binary"), "runs", "copied")
-    return stage_table(cut.mapInArrow(_pieces(length), _MEMBERS), "pieces")
+    return cut.mapInArrow(_pieces(length), _MEMBERS)
 
 
 def anchors(text: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, np.ndarray]:
@@ -255,6 +257,7 @@ def _marks(members: DataFrame, length: int, gram: int, step: int, group_bytes: i
         ),
         "distinct-pieces",
     )
+    release(members.sparkSession)
     sizes = pieces.groupBy("anchor").agg(F.sum(F.octet_length("text")).alias("bytes"))
     large = sizes.where(F.col("bytes") > group_bytes).select("anchor")
     part_on = rest > 0 and not large.isEmpty()

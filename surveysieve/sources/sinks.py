@@ -52,6 +52,18 @@ def stages(spark: SparkSession) -> Iterator[None]:
             place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
+def stage_result(spark: SparkSession, make: Callable[[], DataFrame], name: str) -> DataFrame:
+    """``stage_table`` of what ``make`` returns; tables that it stages itself are removed once this one is written."""
+    around = _stages.get()
+    with stages(spark):
+        result = make()
+        token = _stages.set(around)
+        try:
+            return stage_table(result, name)
+        finally:
+            _stages.reset(token)
+
+
 _stages: ContextVar[list[str] | None] = ContextVar("stages", default=None)
 
 

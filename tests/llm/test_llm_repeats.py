@@ -1,3 +1,4 @@
+import os
 import random
 from collections import Counter
 
@@ -6,6 +7,7 @@ import pytest
 from cases import LONG, TEXTS, documents, edge_documents, near_copy, prose
 
 from surveysieve.llm import bwt, suffix_dedup
+from surveysieve.sources.sinks import shared_folder
 
 
 def slow_repeats(strings, often, length):
@@ -156,3 +158,12 @@ def test_a_passage_in_very_many_documents_is_parted(spark):
 def test_clashing_columns_do_no_harm(spark):
     assert edge_documents(spark).columns[2:]
     assert suffix_dedup.remove_repeats(edge_documents(spark)).count() == len(TEXTS)
+
+
+def test_tables_on_the_way_are_removed(spark):
+    rows = [(n, f"{n} " + "the same passage " * 20) for n in range(4)]
+    folder = shared_folder(spark)
+    before = set(os.listdir(folder))
+    cut = suffix_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert {name.split("-")[1] for name in set(os.listdir(folder)) - before} == {"spans"}
+    assert all(len(row.spans) == 1 for row in cut.collect())
