@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import gc
 import os
+import sys
 import uuid
 from collections.abc import Callable, Iterable, Iterator
+from types import ModuleType
 
 import numpy as np
 import pyarrow as pa
@@ -94,11 +96,26 @@ def texts_of(column: pa.Array) -> list[str]:
 
 
 def on_worker(key: tuple, make: Callable):
-    """An object kept for the tasks of a Python worker, until one of another key is asked for."""
+    """An object kept until one of another key is asked for: for a task where this package travels with the job, else for the worker."""
     if key not in _KEPT:
         _KEPT.clear()
+        _process().clear()
         _KEPT[key] = make()
     return _KEPT[key]
 
 
+def on_process(key: tuple, make: Callable):
+    """An object kept for all tasks of a Python worker, until one of another key is asked for."""
+    kept = _process()
+    if key not in kept:
+        kept.clear()
+        kept[key] = make()
+    return kept[key]
+
+
+def _process() -> dict:
+    # This package travels with the job, and each task has its globals anew; a module that does not travel outlasts them.
+    return sys.modules.setdefault("surveysieve_process", ModuleType("surveysieve_process")).__dict__.setdefault("kept", {})
+
+
 _KEPT: dict = {}

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 
 from surveysieve.llm.hashing import mixed
@@ -159,12 +160,12 @@ class PartEncoder:
 def _distinct(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, list[bytes], np.ndarray]:
     """Places and hashes of one of each distinct part, and for each part which of them it is."""
     first, second = hashes(data, starts, ends)
-    order = np.argsort(first)
-    ordered, beside = first[order], second[order]
-    # Parts that share the first hash alone may be counted as distinct several times, which does no harm.
-    new = np.ones(len(order), dtype=bool)
-    new[1:] = (ordered[1:] != ordered[:-1]) | (beside[1:] != beside[:-1])
-    parts = np.empty(len(order), dtype=np.int64)
-    parts[order] = np.cumsum(new) - 1
-    buffer = np.stack([ordered[new], beside[new]], axis=1).tobytes()
-    return order[new], [buffer[i : i + 16] for i in range(0, len(buffer), 16)], parts
+    parts = pa.array(first).dictionary_encode().indices.to_numpy()
+    distinct = np.zeros(int(parts.max()) + 1 if len(parts) else 0, dtype=np.int64)
+    distinct[parts] = np.arange(len(parts))
+    if (second[distinct][parts] != second).any():
+        # Some parts share the first hash alone.
+        _, distinct, parts = np.unique(np.stack([first, second], axis=1), axis=0, return_index=True, return_inverse=True)
+        parts = parts.reshape(-1)
+    buffer = np.stack([first[distinct], second[distinct]], axis=1).tobytes()
+    return distinct, [buffer[i : i + 16] for i in range(0, len(buffer), 16)], parts

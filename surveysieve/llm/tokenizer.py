@@ -6,18 +6,32 @@ import json
 import os
 import re
 from array import array
+from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 from tokenizers import Tokenizer
 
-from surveysieve.llm.common import on_worker
+from surveysieve.llm.common import on_process, on_worker
 from surveysieve.llm.parts import PartEncoder
 
 _OTHER_SPACE = re.compile(r"[^\S ]")
 
+# A space and letters that every version of Unicode knows: one word for byte-level vocabularies.
+_WORD = re.compile(r" [A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u021f]+")
+
+# How byte-level vocabularies cut texts into words, and the characters that they have for the bytes of these words.
+_BYTE_WORDS = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True}
+_BYTE_CHARACTERS = np.arange(256, dtype="<u4")
+_BYTE_CHARACTERS[[0x20, 0xAD]] = 0x120, 0x143
+_BYTE_CHARACTERS[0x7F:0xA1] = np.arange(0x121, 0x143)
+
 # Parts that the library encodes in one call, as one text.
 JOINED = 256
 
+# Words that its model encodes before their ids are dealt out.
+WORDS = 1_024
+
 
 def load(path: str) -> Tokenizer:
     """The library's tokenizer without truncation, padding or threads of its own."""
@@ -34,7 +48,8 @@ class LibraryEncoder:
     Many parts are given to it as one text, so joined that no token crosses from
     one to the next; the ids are dealt out by the bytes that each token stands
     for. Parts that may hold special tokens or white space other than ASCII's, or
-    that the next one could change, are encoded one by one.
+    that the next one could change, are encoded one by one. What is one word to a
+    byte-level vocabulary goes straight to the library's model, in the characters that stand for its bytes.
     """
 
     def __init__(self, path: str, joint: bytes):
@@ -48,10 +63,37 @@ class LibraryEncoder:
             # Each character stands for one byte here.
             self.sizes[number] = len(token.removesuffix(ending)) if ending else len(token)
         self.openings = {token["content"][:2] for token in model["added_tokens"]}
+        self.byte_words = (
+            not joint
+            and model["normalizer"] is None
+            and model["model"]["type"] == "BPE"
+            and model["model"].get("dropout") is None
+            and model["pre_tokenizer"] == _BYTE_WORDS
+            # A special token of letters alone would have to be looked for in them.
+            and not any(token["content"].strip().isalpha() for token in model["added_tokens"])
+        )
 
     def __call__(self, parts: list[bytes]) -> list[bytes]:
         if self.joint:
             return self._in_blocks(parts)
+        if not self.byte_words:
+            return self._in_text(parts)
+        simple = [_WORD.fullmatch(text) is not None for text in map(bytes.decode, parts)]
+        words = self._of_words([part for part, whether in zip(parts, simple, strict=True) if whether])
+        others = iter(self._in_text([part for part, whether in zip(parts, simple, strict=True) if not whether]))
+        return [next(words if whether else others) for whether in simple]
+
+    def _of_words(self, parts: list[bytes]) -> Iterator[bytes]:
+        tokenize = self.tokenizer.model.tokenize
+        for start in range(0, len(parts), WORDS):
+            # The line breaks in between stay as they are.
+            data = np.frombuffer(b"\n".join(parts[start : start + WORDS]), dtype=np.uint8)
+            found = list(map(tokenize, _BYTE_CHARACTERS[data].tobytes().decode("utf-32-le").split("\n")))
+            ids = array("I", [token.id for tokens in found for token in tokens]).tobytes()
+            cuts = [0, *accumulate(4 * len(tokens) for tokens in found)]
+            yield from (ids[a:b] for a, b in zip(cuts, cuts[1:]))
+
+    def _in_text(self, parts: list[bytes]) -> list[bytes]:
         # The text after a part that ends in white space, or a part without any, could change its tokens.
         joinable = [part[:1].isspace() and (part[-1:].isalnum() or not part.decode()[-1].isspace()) for part in parts]
         together = iter(self._in_blocks([part for part, whether in zip(parts, joinable, strict=True) if whether]))
@@ -95,7 +137,7 @@ class LibraryEncoder:
 
 def spaced_ids(path: str, texts: list[str]) -> list[bytes]:
     """Ids of whole texts as little-endian unsigned 32-bit integers, for byte-level vocabularies."""
-    encoder = on_worker(("spaced", path), lambda: PartEncoder(LibraryEncoder(path, b""), limit=700_000))
+    encoder = on_process(("spaced", path), lambda: PartEncoder(LibraryEncoder(path, b""), limit=400_000))
     return encoder([text.encode() for text in texts])
 
 

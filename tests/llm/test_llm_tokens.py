@@ -1,5 +1,7 @@
 """Packing, encoding, token files and token counts against the libraries, id by id."""
 
+import os
+import uuid
 import zlib
 from array import array
 from collections import Counter, defaultdict
@@ -13,7 +15,7 @@ import tiktoken
 from cases import TEXTS, documents, prose
 from tokenizers import Tokenizer
 
-from surveysieve.llm import bpe, packing, parts, queries, token_counts, token_files, tokenizer
+from surveysieve.llm import bpe, common, packing, parts, queries, token_counts, token_files, tokenizer
 
 WORDS = public_tokenizers.path("word_bpe_49k.json")
 BYTES = public_tokenizers.path("byte_bpe_50k.json")
@@ -38,6 +40,34 @@ def test_ids_equal_the_librarys(encode, path):
     assert encode(path, texts[::-1]) == library_ids(path, texts[::-1])
 
 
+def test_words_of_letters_are_encoded_as_the_library_does():
+    letters = [chr(code) for code in range(0x41, 0x250)] + ["\u1e00", "\u03a9", "\u2160"]
+    texts = [" ".join(f"{a}{b}ab" for b in letters[i::40]) for i, a in enumerate(letters)]
+    assert tokenizer.LibraryEncoder(BYTES, b"").byte_words
+    assert tokenizer.spaced_ids(BYTES, texts) == library_ids(BYTES, texts)
+
+
+def test_parts_of_one_hash_are_told_apart(monkeypatch):
+    hashes = parts.hashes
+    monkeypatch.setattr(parts, "hashes", lambda *given: (hashes(*given)[0] % np.uint64(2), hashes(*given)[1]))
+    texts = ["one two three one", "four two five", "", "six one"]
+    encoder = parts.PartEncoder(tokenizer.LibraryEncoder(BYTES, b""))
+    assert encoder([text.encode() for text in texts]) == library_ids(BYTES, texts)
+
+
+def test_encoded_parts_outlast_a_task(spark):
+    """The package travels with each task; what its encoder keeps must not be made anew by each."""
+
+    def run(batches):
+        for batch in batches:
+            made = common.on_process(("test",), lambda: uuid.uuid4().hex)
+            yield pa.RecordBatch.from_pydict({"worker": [os.getpid()] * batch.num_rows, "made": [made] * batch.num_rows})
+
+    rows = spark.range(0, 64, 1, 64).mapInArrow(run, "worker long, made string").collect()
+    workers = {row.worker for row in rows}
+    assert len(workers) < len(rows) and len({(row.worker, row.made) for row in rows}) == len(workers)
+
+
 def test_parts_are_forgotten_without_harm():
     model = bpe.PairIndexEncoder(BYTES)
     encoder = parts.PartEncoder(lambda new: model.parts([part.decode() for part in new]), limit=5)
