@@ -109,6 +109,7 @@ def on_process(key: tuple, make: Callable):
     kept = _process()
     if key not in kept:
         kept.clear()
+        _KEPT.clear()
         kept[key] = make()
     return kept[key]
 

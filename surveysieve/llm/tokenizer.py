@@ -12,7 +12,7 @@ from itertools import accumulate
 import numpy as np
 from tokenizers import Tokenizer
 
-from surveysieve.llm.common import on_process, on_worker
+from surveysieve.llm.common import on_process
 from surveysieve.llm.parts import PartEncoder
 
 _OTHER_SPACE = re.compile(r"[^\S ]")
@@ -20,11 +20,34 @@ _OTHER_SPACE = re.compile(r"[^\S ]")
 # A space and letters that every version of Unicode knows: one word for byte-level vocabularies.
 _WORD = re.compile(r" [A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u021f]+")
 
-# How byte-level vocabularies cut texts into words, and the characters that they have for the bytes of these words.
+# Small letters that are whole characters: one word, that stays as it is, for vocabularies that put letters in lower case.
+_LOWER_WORD = re.compile(r"[a-z\u00df-\u00f6\u00f8-\u00ff]+")
+
+# How vocabularies of either kind change texts and cut them into words, and their characters for the bytes of these words.
 _BYTE_WORDS = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True}
+_LOWER_WORDS = {
+    "type": "Sequence",
+    "pretokenizers": [
+        {
+            "type": "Split",
+            "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"},
+            "behavior": "Removed",
+            "invert": True,
+        },
+        _BYTE_WORDS | {"use_regex": False},
+    ],
+}
 _BYTE_CHARACTERS = np.arange(256, dtype="<u4")
 _BYTE_CHARACTERS[[0x20, 0xAD]] = 0x120, 0x143
 _BYTE_CHARACTERS[0x7F:0xA1] = np.arange(0x121, 0x143)
+_LOWER_CASE = {
+    "type": "Sequence",
+    "normalizers": [
+        {"type": "NFC"},
+        {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "},
+        {"type": "Lowercase"},
+    ],
+}
 
 # Parts that the library encodes in one call, as one text.
 JOINED = 256
@@ -48,8 +71,8 @@ class LibraryEncoder:
     Many parts are given to it as one text, so joined that no token crosses from
     one to the next; the ids are dealt out by the bytes that each token stands
     for. Parts that may hold special tokens or white space other than ASCII's, or
-    that the next one could change, are encoded one by one. What is one word to a
-    byte-level vocabulary goes straight to the library's model, in the characters that stand for its bytes.
+    that the next one could change, are encoded one by one. What is one word to the
+    vocabulary goes straight to the library's model, in the characters that stand for its bytes.
     """
 
     def __init__(self, path: str, joint: bytes):
@@ -63,24 +86,24 @@ class LibraryEncoder:
             # Each character stands for one byte here.
             self.sizes[number] = len(token.removesuffix(ending)) if ending else len(token)
         self.openings = {token["content"][:2] for token in model["added_tokens"]}
-        self.byte_words = (
-            not joint
-            and model["normalizer"] is None
-            and model["model"]["type"] == "BPE"
+        steps = model["normalizer"], model["pre_tokenizer"]
+        direct = (
+            model["model"]["type"] == "BPE"
             and model["model"].get("dropout") is None
-            and model["pre_tokenizer"] == _BYTE_WORDS
             # A special token of letters alone would have to be looked for in them.
             and not any(token["content"].strip().isalpha() for token in model["added_tokens"])
         )
+        self.byte_words = direct and not joint and steps == (None, _BYTE_WORDS)
+        self.lower_words = direct and bool(joint) and steps == (_LOWER_CASE, _LOWER_WORDS)
 
     def __call__(self, parts: list[bytes]) -> list[bytes]:
-        if self.joint:
-            return self._in_blocks(parts)
-        if not self.byte_words:
-            return self._in_text(parts)
-        simple = [_WORD.fullmatch(text) is not None for text in map(bytes.decode, parts)]
+        encode = self._in_blocks if self.joint else self._in_text
+        if not (self.byte_words or self.lower_words):
+            return encode(parts)
+        word = _WORD if self.byte_words else _LOWER_WORD
+        simple = [word.fullmatch(text) is not None for text in map(bytes.decode, parts)]
         words = self._of_words([part for part, whether in zip(parts, simple, strict=True) if whether])
-        others = iter(self._in_text([part for part, whether in zip(parts, simple, strict=True) if not whether]))
+        others = iter(encode([part for part, whether in zip(parts, simple, strict=True) if not whether]))
         return [next(words if whether else others) for whether in simple]
 
     def _of_words(self, parts: list[bytes]) -> Iterator[bytes]:
@@ -143,7 +166,7 @@ def spaced_ids(path: str, texts: list[str]) -> list[bytes]:
 
 def word_ids(path: str, texts: list[str]) -> list[bytes]:
     """The same for vocabularies that drop white space and put letters in lower case."""
-    encoder = on_worker(("words", path), lambda: PartEncoder(LibraryEncoder(path, b" "), words=True))
+    encoder = on_process(("words", path), lambda: PartEncoder(LibraryEncoder(path, b" "), words=True, limit=400_000))
     return encoder([_lower(text.encode()) for text in texts])
 
 

@@ -47,6 +47,46 @@ def test_words_of_letters_are_encoded_as_the_library_does():
     assert tokenizer.spaced_ids(BYTES, texts) == library_ids(BYTES, texts)
 
 
+def test_words_of_small_letters_are_encoded_as_the_library_does():
+    letters = [chr(code) for code in range(0x41, 0x180)] + ["\u0301", "\u0308", "\u03a3", "\u1e9e", "\ufb01", "'s", "'re"]
+    texts = [" ".join(f"{a}{b}ab a{b}{a}" for b in letters[i::30]) for i, a in enumerate(letters)]
+    assert tokenizer.LibraryEncoder(WORDS, b" ").lower_words
+    assert tokenizer.word_ids(WORDS, texts) == library_ids(WORDS, texts)
+
+
+def test_words_stay_with_the_library_where_it_cuts_or_changes_them_otherwise(tmp_path):
+    import json
+
+    with open(WORDS, encoding="utf-8") as file:
+        model = json.load(file)
+    steps = model["normalizer"]["normalizers"]
+    model["normalizer"]["normalizers"] = [{"type": "NFD"}, *steps[1:]]
+    path = str(tmp_path / "other.json")
+    with open(path, "w", encoding="utf-8") as file:
+        json.dump(model, file)
+    texts = ["façade été über straße", "plain words été"]
+    assert not tokenizer.LibraryEncoder(path, b" ").lower_words
+    assert library_ids(path, texts) != library_ids(WORDS, texts)
+    assert tokenizer.word_ids(path, texts) == library_ids(path, texts)
+
+
+def test_words_of_earlier_tasks_are_kept(spark):
+    """Packing must not encode the words of all texts anew in each task."""
+
+    def run(batches):
+        for batch in batches:
+            numbers = batch.column(0).to_pylist()
+            ids = tokenizer.word_ids(WORDS, ["".join("abcdefghij"[int(digit)] for digit in f"{n:04}") for n in numbers])
+            kept = len(common.on_process(("words", WORDS), dict)._kept)
+            yield pa.RecordBatch.from_pydict({"worker": [os.getpid()] * len(ids), "kept": [kept] * len(ids)})
+
+    rows = spark.range(0, 64, 1, 64).mapInArrow(run, "worker long, kept long").collect()
+    tasks = Counter(row.worker for row in rows)
+    # Workers may have kept words of other tests.
+    assert len(tasks) < len(rows)
+    assert all(max(row.kept for row in rows if row.worker == worker) >= n for worker, n in tasks.items())
+
+
 def test_parts_of_one_hash_are_told_apart(monkeypatch):
     hashes = parts.hashes
     monkeypatch.setattr(parts, "hashes", lambda *given: (hashes(*given)[0] % np.uint64(2), hashes(*given)[1]))
