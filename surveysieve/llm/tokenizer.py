@@ -166,7 +166,7 @@ def spaced_ids(path: str, texts: list[str]) -> list[bytes]:
 
 def word_ids(path: str, texts: list[str]) -> list[bytes]:
     """The same for vocabularies that drop white space and put letters in lower case."""
-    encoder = on_process(("words", path), lambda: PartEncoder(LibraryEncoder(path, b" "), words=True, limit=400_000))
+    encoder = on_process(("words", path), lambda: PartEncoder(LibraryEncoder(path, b" "), words=True, limit=200_000))
     return encoder([_lower(text.encode()) for text in texts])
 
 
