@@ -5,10 +5,6 @@ from __future__ import annotations
 import numpy as np
 import xxhash
 
-from surveysieve.llm.common import on_worker
-
-KEPT_WORDS = 400_000
-
 # Odd multipliers; any would do.
 MIX = np.array([0xBF58476D1CE4E5B9, 0x94D049BB133111EB], dtype=np.uint64)
 
@@ -22,13 +18,8 @@ def mixed(values: np.ndarray) -> np.ndarray:
 
 def word_hashes(text: str) -> np.ndarray:
     """One 64-bit hash per word; words are what ASCII white space separates."""
-    kept: dict = on_worker(("word hashes",), dict)
-    words = text.encode().split()
-    if len(kept) > KEPT_WORDS:
-        kept.clear()
-    for word in set(words).difference(kept):
-        kept[word] = xxhash.xxh3_64_intdigest(word)
-    return np.fromiter(map(kept.__getitem__, words), dtype=np.uint64, count=len(words))
+    # Hashing a word again is faster than looking it up among very many.
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, text.encode().split()), dtype=np.uint64)
 
 
 def shingles(text: str, size: int = 5) -> np.ndarray:

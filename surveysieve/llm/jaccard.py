@@ -151,7 +151,7 @@ def _split(rows: DataFrame) -> DataFrame:
     for child in range(CHILDREN):
         token = F.pmod(F.xxhash64("node", F.lit(child)), F.lit(TOKENS)).cast("int")
         children.append(F.xxhash64("node", F.lit(child), F.substring(F.col("sketch"), token + 1, F.lit(1))))
-    return rows.select(F.explode(F.array(*children)).alias("node"), "set_key", "n", "sketch")
+    return rows.select(F.explode(F.array(*children)).alias("node"), "set_key", "n", "sketch", F.col("size").alias("parent"))
 
 
 def _in_blocks(rows: DataFrame, small: int) -> DataFrame:
@@ -170,17 +170,22 @@ def candidates(distinct: DataFrame, similarity: float, target: float, small: int
     Sets are split by sampled tokens until a node holds at most ``small`` of them;
     these are compared by their sketches. Of each node only links that connect its
     alike sets are returned, one fewer than there are sets. Nodes that are still
-    large at ``depth`` are compared block by block. Where so many splits lose too
+    large at ``depth`` are compared block by block, and so are those of near copies, which
+    splits hardly part, where that copies their sets no more often than splits may. Where so many splits lose too
     many pairs for ``target``, there are fewer.
     """
     while depth and needed_tokens(similarity, target, depth) is None:
         depth -= 1
-    rows = _root_nodes(distinct, root_tokens(similarity, target, depth=depth))
+    rows = _root_nodes(distinct, root_tokens(similarity, target, depth=depth)).withColumn("parent", F.lit(None).cast("long"))
     found = None
     for level in range(depth + 1):
-        sizes = rows.groupBy("node").agg(F.count("*").alias("size"))
-        large = stage_table(sizes.where(F.col("size") > small), "jaccard-large")
-        n_large = large.count()
+        sizes = rows.groupBy("node").agg(F.count("*").alias("size"), F.max("parent").alias("parent"))
+        blocks = F.ceil(F.col("size") / small)
+        alike = (2 * F.col("size") > F.coalesce("parent", 2 * F.col("size"))) & (blocks <= CHILDREN ** (depth - level))
+        last = alike | (blocks <= CHILDREN) | F.lit(level == depth)
+        large = stage_table(sizes.where(F.col("size") > small).select("node", "size", last.alias("last")), "jaccard-large")
+        counts = {row["last"]: row["count"] for row in large.groupBy("last").count().collect()}
+        n_large = sum(counts.values())
         if not n_large:
             links = _compared(rows, similarity)
             return links if found is None else found.unionByName(links)
@@ -189,9 +194,11 @@ def candidates(distinct: DataFrame, similarity: float, target: float, small: int
         links = _compared(rows.join(sought, "node", "left_anti"), similarity)
         found = links if found is None else found.unionByName(links)
         within = rows.join(sought, "node")
-        if level < depth:
-            rows = stage_table(_split(within.drop("size")), "jaccard-split")
-    return found.unionByName(_compared(_in_blocks(within, small), similarity))
+        if True in counts:
+            found = found.unionByName(_compared(_in_blocks(within.where("last"), small), similarity))
+        if False not in counts:
+            return found
+        rows = stage_table(_split(within.where("NOT last")), "jaccard-split")
 
 
 def least_matches(similarity: float) -> int:
@@ -203,32 +210,68 @@ def least_matches(similarity: float) -> int:
 def _compared(rows: DataFrame, similarity: float) -> DataFrame:
     least, share = least_matches(similarity), float(similarity)
 
-    def links(keys: list, sizes: np.ndarray, sketches: np.ndarray) -> Iterator[tuple[int, int]]:
-        parent = np.arange(len(keys))
-        for start in range(0, len(keys), 64):
-            part = slice(start, start + 64)
-            alike = (sketches[part, None, :] == sketches[None, start:, :]).sum(axis=2) >= least
-            small, large = np.minimum(sizes[part, None], sizes[None, start:]), np.maximum(sizes[part, None], sizes[None, start:])
-            alike &= small >= share * large - 1e-9
-            for a, b in zip(*(places.tolist() for places in np.nonzero(alike)), strict=True):
-                _unite(parent, start + a, start + b)
-        for place in range(len(keys)):
-            if (root := _root(parent, place)) != place:
-                yield root, place
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in repeated(batches):
-            keys = group.column(1).to_pylist()
+            keys = group.column(1)
             sketches = np.frombuffer(b"".join(group.column(3).to_pylist()), dtype=np.uint8).reshape(len(keys), -1)
-            found = list(links(keys, group.column(2).to_numpy().astype(np.float64), sketches))
-            if found:
-                yield _links([keys[a] for a, _ in found], [keys[b] for _, b in found])
+            roots = alike_roots(group.column(2).to_numpy().astype(np.float64), sketches, least, share)
+            hung = np.flatnonzero(roots != np.arange(len(keys)))
+            if len(hung):
+                yield pa.RecordBatch.from_arrays([keys.take(pa.array(roots[hung])), keys.take(pa.array(hung))], ["a", "b"])
 
     return _by(rows.select("node", "set_key", "n", "sketch"), "node").mapInArrow(run, "a binary, b binary")
 
 
-def _links(a: list, b: list) -> pa.RecordBatch:
-    return pa.RecordBatch.from_pydict({"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary())})
+def alike_roots(sizes: np.ndarray, sketches: np.ndarray, least: int, share: float) -> np.ndarray:
+    """For each set of a node the first one that it is connected to by alike sets, whose sketches have ``least`` equal bytes.
+
+    Sets that are known to be connected are not compared with each other, so a
+    node of near copies takes a few passes over it.
+    """
+    tokens = np.ascontiguousarray(sketches.T)
+
+    def alike(rows: np.ndarray, columns: np.ndarray) -> np.ndarray:
+        if len(rows) * len(columns) <= 1024:
+            found = (sketches[rows, None, :] == sketches[None, columns, :]).sum(axis=2) >= least
+        else:
+            equal = np.zeros((len(rows), len(columns)), dtype=np.uint8)
+            for own, other in zip(tokens[:, rows], tokens[:, columns], strict=True):
+                equal += own[:, None] == other[None, :]
+            found = equal >= least
+        small, large = np.minimum(sizes[rows, None], sizes[None, columns]), np.maximum(sizes[rows, None], sizes[None, columns])
+        return found & (small >= share * large - 1e-9)
+
+    n = len(sizes)
+    roots, joined, open_ = np.arange(n), np.zeros(n, dtype=bool), np.ones(n, dtype=bool)
+    while open_.any():
+        # The sets of a component that has begun, else new ones, meet all sets that are open and not of that component.
+        begun = np.flatnonzero(joined & open_)
+        rows = begun[roots[begun] == roots[begun[0]]] if len(begun) else np.flatnonzero(open_)
+        columns = np.flatnonzero(open_ & (roots != roots[rows[0]])) if len(begun) else rows
+        if not len(columns):
+            open_[rows] = False
+            continue
+        rows = rows[:64]
+        row, column = np.nonzero(alike(rows, columns))
+        a, b = rows[row], columns[column]
+        linked = a != b
+        joined[a[linked]] = joined[b[linked]] = True
+        roots = connected(roots, a, b)
+        open_[rows] = False
+    return roots
+
+
+def connected(roots: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """``roots``, the least place of each place's component, after the places ``a`` are linked to ``b``."""
+    a, b = roots[a], roots[b]
+    while (apart := a != b).any():
+        a, b = a[apart], b[apart]
+        hung = np.arange(len(roots))
+        np.minimum.at(hung, np.maximum(a, b), np.minimum(a, b))
+        while (hung[hung] != hung).any():
+            hung = hung[hung]
+        roots, a, b = hung[roots], hung[a], hung[b]
+    return roots
 
 
 def _by(rows: DataFrame, *keys: str) -> DataFrame:
@@ -270,19 +313,6 @@ def groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[list[list]]
         yield columns
 
 
-def _root(parent: np.ndarray, place: int) -> int:
-    while parent[place] != place:
-        parent[place] = parent[parent[place]]
-        place = parent[place]
-    return int(place)
-
-
-def _unite(parent: np.ndarray, a: int, b: int) -> None:
-    a, b = _root(parent, a), _root(parent, b)
-    if a != b:
-        parent[max(a, b)] = min(a, b)
-
-
 # Components
 
 
@@ -362,12 +392,9 @@ def exact_links(docs: DataFrame, members: DataFrame, similarity: float, size: in
             links = np.zeros(len(keys), dtype=np.int64)
             np.add.at(links, a, weights[b])
             np.add.at(links, b, weights[a])
-            parent = np.arange(len(keys))
-            for x, y in zip(a.tolist(), b.tolist(), strict=True):
-                _unite(parent, x, y)
             linked = np.flatnonzero(links)
-            roots = [(_root(parent, x), x) for x in linked.tolist()]
-            hung = [(r, x) for r, x in roots if r != x]
+            roots = connected(np.arange(len(keys)), a, b)
+            hung = [(roots[x], x) for x in linked.tolist() if roots[x] != x]
             yield pa.RecordBatch.from_pydict(
                 {
                     "a": pa.array([keys[x] for x in linked] + [keys[r] for r, _ in hung], pa.binary()),
@@ -382,39 +409,38 @@ def exact_links(docs: DataFrame, members: DataFrame, similarity: float, size: in
 def similar_pairs(sets: list[np.ndarray], limit: Fraction, side: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Places a < b of all pairs with a Jaccard similarity of at least ``limit``; with ``side``, pairs across sides only."""
     sizes = np.array([len(s) for s in sets], dtype=np.int64)
-    common = _common(sets)
-    union = sizes[:, None] + sizes[None, :] - common
+    rows, columns = (np.arange(len(sets)),) * 2 if side is None else (np.flatnonzero(side), np.flatnonzero(~side))
+    common = _common(sets, rows, columns)
+    union = sizes[rows, None] + sizes[None, columns] - common
     alike = (common * limit.denominator >= union * limit.numerator) & (common > 0)
-    if side is not None:
-        alike &= side[:, None] != side[None, :]
-    a, b = np.nonzero(np.triu(alike, 1))
-    return a, b
+    a, b = np.nonzero(np.triu(alike, 1) if side is None else alike)
+    a, b = rows[a], columns[b]
+    return np.minimum(a, b), np.maximum(a, b)
 
 
-def _common(sets: list[np.ndarray], width: int = 4096) -> np.ndarray:
-    """Shared elements of every pair of sets."""
+def _common(
+    sets: list[np.ndarray], rows: np.ndarray | None = None, columns: np.ndarray | None = None, width: int = 4096
+) -> np.ndarray:
+    """Shared elements of the sets at ``rows`` with those at ``columns``; of all sets without these."""
     m = len(sets)
+    rows, columns = (np.arange(m) if places is None else places for places in (rows, columns))
     if m <= 8:
-        out = np.zeros((m, m), dtype=np.int64)
-        for a in range(m):
-            for b in range(a + 1, m):
-                out[a, b] = out[b, a] = len(np.intersect1d(sets[a], sets[b], assume_unique=True))
-        return out
+        common = [[len(np.intersect1d(sets[a], sets[b], assume_unique=True)) for b in columns] for a in rows]
+        return np.array(common, dtype=np.int64).reshape(len(rows), len(columns))
     values = np.concatenate(sets)
     owners = np.repeat(np.arange(m), [len(s) for s in sets])
-    _, columns, counts = np.unique(values, return_inverse=True, return_counts=True)
-    shared = counts[columns] > 1
+    _, elements, counts = np.unique(values, return_inverse=True, return_counts=True)
+    shared = counts[elements] > 1
     number = np.cumsum(counts > 1) - 1
-    columns, owners = number[columns[shared]], owners[shared]
-    order = np.argsort(columns, kind="stable")
-    columns, owners = columns[order], owners[order]
-    out = np.zeros((m, m), dtype=np.float64)
-    n_columns = int((counts > 1).sum())
-    for start in range(0, n_columns, width):
-        a, b = np.searchsorted(columns, [start, start + width])
+    elements, owners = number[elements[shared]], owners[shared]
+    order = np.argsort(elements, kind="stable")
+    elements, owners = elements[order], owners[order]
+    out = np.zeros((len(rows), len(columns)), dtype=np.float64)
+    for start in range(0, int((counts > 1).sum()), width):
+        a, b = np.searchsorted(elements, [start, start + width])
         dense = np.zeros((m, width), dtype=np.float32)
-        dense[owners[a:b], columns[a:b] - start] = 1
-        out += dense @ dense.T
+        dense[owners[a:b], elements[a:b] - start] = 1
+        out += dense[rows] @ dense[columns].T
     return out.astype(np.int64)
 
 

@@ -147,6 +147,35 @@ def test_one_of_each_class_stays(spark, edge_docs, no_docs):
     assert jaccard.drop_similar(no_docs).count() == 0
 
 
+def test_node_of_near_copies_is_compared_once():
+    """Components are those of all pairs, and connected sets are not compared with each other."""
+    generator = np.random.default_rng(5)
+    for n, changed in ((1, 0.2), (6, 0.3), (150, 0.45), (150, 0.35), (400, 0.0)):
+        centres = generator.integers(0, 256, size=(5, jaccard.TOKENS))
+        sketches = centres[generator.integers(0, 5, n)]
+        sketches = np.where(generator.random(sketches.shape) < changed, generator.integers(0, 256, sketches.shape), sketches).astype(np.uint8)
+        sizes = generator.integers(80, 105, n).astype(np.float64)
+        alike = (sketches[:, None] == sketches[None]).sum(axis=2) >= 32
+        alike &= np.minimum.outer(sizes, sizes) >= 0.8 * np.maximum.outer(sizes, sizes)
+        expected = list(range(n))
+        for _ in range(n):
+            expected = [min(expected[b] for b in np.flatnonzero(row)) for row in alike]
+        assert jaccard.alike_roots(sizes, sketches, 32, 0.8).tolist() == expected
+
+
+def test_near_copies_are_not_split_in_vain(spark, monkeypatch):
+    """A class larger than a node is copied to blocks, not to all nodes of all splits."""
+    base = prose(1, 200)
+    rows = [(i, near_copy(base, i, 1)) for i in range(400)]
+    distinct = jaccard._distinct(jaccard.shingle_sets(documents(spark, rows), 5)).localCheckpoint()
+    sent, compared = [], jaccard._compared
+    monkeypatch.setattr(jaccard, "_compared", lambda found, *rest: sent.append(found.count()) or compared(found, *rest))
+    links = jaccard.candidates(distinct, 0.8, jaccard.TARGET_RECALL, small=50)
+    roots = jaccard.components(links).groupBy("root").count().collect()
+    assert [r["count"] for r in roots] == [distinct.count()]
+    assert sum(sent) < 15 * 400 * 64
+
+
 def test_shared_elements():
     generator = np.random.default_rng(3)
     for n in (2, 7, 40):
